@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from .decontamination import op5_decontamination
+from .langid import op2_language
+from .token_counts import op3_token_counts
 from .toxicity import op1_toxicity
 
-QUERIES = {f.__name__: f for f in (op1_toxicity,)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_language, op3_token_counts, op5_decontamination)}
 ORACLES: dict[str, str] = {}
