@@ -8,8 +8,7 @@ import uuid
 from collections.abc import Callable
 from typing import Any
 
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: A word of letters in any script.
@@ -70,5 +69,15 @@ class Memo(dict):
         return value
 
 
-def arrow_rows(columns: dict[str, Any], schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
+def ranked_within(df: DataFrame, key: str, order: list[str], rows_a_part: int = 20_000) -> DataFrame:
+    """Adds ``rank``, 0-based and gapless within ``key``, without bringing a key's rows together.
+
+    Rows are dealt by a hash of ``order`` into parts; a row's rank is the rows of
+    its key in parts before, and its place in its own part. Equal rows get ranks
+    of their own in any order.
+    """
+    parts = max(1, -(-df.count() // rows_a_part))
+    dealt = df.withColumn("_part", F.pmod(F.xxhash64(*order), F.lit(parts)).cast("int"))
+    before = dealt.groupBy(key, "_part").agg(F.count("*").alias("_n")).withColumn("_before", F.sum("_n").over(Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))).select(key, "_part", F.coalesce("_before", F.lit(0)).alias("_before"))
+    placed = dealt.withColumn("_place", F.row_number().over(Window.partitionBy(key, "_part").orderBy(*order)) - 1)
+    return placed.join(before, [key, "_part"]).withColumn("rank", F.col("_before") + F.col("_place")).drop("_part", "_place", "_before")

@@ -19,10 +19,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Memo, slim, table, written
+from .common import Memo, ranked_within, slim, table, written
 
 CAPACITY = 4096
 END_ID = 1
@@ -176,20 +176,6 @@ def tokenized_pieces(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str
     return slim(docs, id_col, text_col).select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
-def ranked_within(df: DataFrame, key: str, order: list[str], rows_a_part: int = 100_000) -> DataFrame:
-    """Adds ``rank``, 0-based and gapless within ``key``, without bringing a key's rows together.
-
-    Rows are dealt by a hash of ``order`` into parts; a row's rank is the rows of
-    its key in parts before, and its place in its own part. Equal rows get ranks
-    of their own in any order.
-    """
-    parts = max(1, -(-df.count() // rows_a_part))
-    dealt = df.withColumn("_part", F.pmod(F.xxhash64(*order), F.lit(parts)).cast("int"))
-    before = dealt.groupBy(key, "_part").agg(F.count("*").alias("_n")).withColumn("_before", F.sum("_n").over(Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))).select(key, "_part", F.coalesce("_before", F.lit(0)).alias("_before"))
-    placed = dealt.withColumn("_place", F.row_number().over(Window.partitionBy(key, "_part").orderBy(*order)) - 1)
-    return placed.join(before, [key, "_part"]).withColumn("rank", F.col("_before") + F.col("_place")).drop("_part", "_place", "_before")
-
-
 def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to rows with ``doc_id, piece, length`` (and other columns).
 
