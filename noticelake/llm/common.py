@@ -58,7 +58,7 @@ class Memo(dict):
     It only saves repeated work: an entry depends on its key alone.
     """
 
-    def __init__(self, make: Callable[[Any], Any], most: int = 300_000):
+    def __init__(self, make: Callable[[Any], Any], most: int = 150_000):
         super().__init__()
         self.make, self.most = make, most
 

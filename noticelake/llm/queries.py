@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .decontamination import op5_decontamination
 from .gif import op8_gif
+from .jaccard import op4_jaccard
 from .langid import op2_language
 from .packing import op10_packing
 from .pii import op7_pii
@@ -12,5 +13,5 @@ from .sharding import op9_sharding
 from .token_counts import op3_token_counts
 from .toxicity import op1_toxicity
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_language, op3_token_counts, op5_decontamination, op6_secrets, op7_pii, op8_gif, op9_sharding, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_language, op3_token_counts, op4_jaccard, op5_decontamination, op6_secrets, op7_pii, op8_gif, op9_sharding, op10_packing)}
 ORACLES: dict[str, str] = {}

@@ -14,6 +14,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -86,6 +87,12 @@ class SecretFinder:
         return base, sorted(base + more, key=_order)
 
 
+@lru_cache(maxsize=2)
+def secret_finder(settings: SecretSettings) -> SecretFinder:
+    """One for each worker: the vocabulary is read once."""
+    return SecretFinder(settings)
+
+
 def _order(span: tuple[str, int, int]) -> tuple[int, int]:
     return span[1], KINDS.index(span[0])
 
@@ -113,7 +120,7 @@ def find_secrets(docs: DataFrame, settings: SecretSettings = SecretSettings(), i
     """Counts of base spans by kind, their digest, and all spans, for every row; null is as empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finder = SecretFinder(settings)
+        finder = secret_finder(settings)
         for batch in batches:
             cols: dict[str, list] = {f.name: [] for f in _OUT}
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
@@ -134,7 +141,7 @@ def mask_secrets(docs: DataFrame, settings: SecretSettings = SecretSettings(), t
     schema = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finder = SecretFinder(settings)
+        finder = secret_finder(settings)
         for batch in batches:
             texts = [t if t is None else masked(t, finder.find(t)[1]) for t in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(texts, batch.schema.field(k).type) if k == at else batch.column(k) for k in range(batch.num_columns)], schema=batch.schema)

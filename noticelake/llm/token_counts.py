@@ -12,8 +12,10 @@ word's count depends on the word alone and is remembered.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import ahocorasick
 import pyarrow as pa
@@ -29,8 +31,6 @@ _WORDS = re.compile(f"{SPACE}[^{SPACE}]*|[^{SPACE}]+")
 
 def unigram_vocabulary(path: str | None = None) -> list[tuple[str, float]]:
     """Pieces of a public vocabulary file with log probabilities falling with rank (1/rank, normalised)."""
-    import math
-
     import public_tokenizers
     import sentencepiece
 
@@ -84,6 +84,12 @@ def words_for_counting(text: str | None) -> list[str]:
     return _WORDS.findall(text if text.startswith(SPACE) else SPACE + text)
 
 
+@lru_cache(maxsize=1)
+def _counts(vocabulary_path: str | None) -> Memo:
+    """One for each worker, so that its words are kept from task to task."""
+    return Memo(CountOnlyViterbi(unigram_vocabulary(vocabulary_path)).count)
+
+
 _OUT = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64())])
 
 
@@ -91,7 +97,7 @@ def count_tokens(docs: DataFrame, vocabulary_path: str | None = None, id_col: st
     """``doc_id, n_tokens`` for every row; 0 for a null or empty text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = Memo(CountOnlyViterbi(unigram_vocabulary(vocabulary_path)).count)
+        counts = _counts(vocabulary_path)
         for batch in batches:
             n = [sum(map(counts.__getitem__, words_for_counting(text))) for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64())], schema=_OUT)
