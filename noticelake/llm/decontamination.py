@@ -25,6 +25,7 @@ WIDTH = 13
 BLOCK_BYTES = 32 << 20
 
 _TO_SPACE = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
+_LOWER = {k: k + 32 for k in range(65, 91)}  # keeps every offset
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
@@ -85,7 +86,7 @@ class Windows:
                 merged.append([a, b])
         spans = []
         if merged:
-            places = [m.span() for m in _WORD.finditer(text)]
+            places = [m.span() for m in _WORD.finditer(text.translate(_LOWER))]
             spans = [(places[a][0], places[b - 1][1]) for a, b in merged]
         return Hits(n_words, [(a, b) for a, b in merged], sorted(items), spans)
 
