@@ -81,3 +81,15 @@ def ranked_within(df: DataFrame, key: str, order: list[str], rows_a_part: int =
     before = dealt.groupBy(key, "_part").agg(F.count("*").alias("_n")).withColumn("_before", F.sum("_n").over(Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))).select(key, "_part", F.coalesce("_before", F.lit(0)).alias("_before"))
     placed = dealt.withColumn("_place", F.row_number().over(Window.partitionBy(key, "_part").orderBy(*order)) - 1)
     return placed.join(before, [key, "_part"]).withColumn("rank", F.col("_before") + F.col("_place")).drop("_part", "_place", "_before")
+
+
+def without_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id", most_broadcast: int = 1_000_000) -> DataFrame:
+    """The rows of ``docs`` whose id is not in the one column of ``ids``.
+
+    Up to ``most_broadcast`` ids, which are counted, go to all executors (some 50
+    MB there at most) and the texts stay where they are; more are joined by a shuffle.
+    """
+    column = ids.columns[0]
+    gone = written(ids.select(F.col(column).alias("_gone")).distinct(), "gone")
+    side = F.broadcast(gone) if gone.count() <= most_broadcast else gone
+    return docs.join(side, docs[id_col] == side["_gone"], "left_anti")

@@ -14,8 +14,9 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -182,24 +183,44 @@ def bounded(labels: DataFrame, most: int, id_col: str = "doc_id") -> DataFrame:
 _SCORED = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
 
 
+@lru_cache(maxsize=1)
+def _scores(sent) -> Callable[[str | None], float]:
+    m = sent.value
+    weight = Memo(lambda w: float(m.weights[word_features(w, m.settings)].sum()))
+
+    def score(text: str | None) -> float:
+        z = m.bias + math.fsum(weight[w] for w in words_of(text))
+        return 1 / (1 + math.exp(-min(30.0, max(-30.0, z))))
+
+    return score
+
+
 def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, score, predicted`` for every row; null and empty texts get the score of no words."""
     sent = docs.sparkSession.sparkContext.broadcast(model)  # 2**bits numbers, whatever the input
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = sent.value
-        weight = Memo(lambda w: float(m.weights[word_features(w, m.settings)].sum()))
+        score = _scores(sent)
         for batch in batches:
-            scores = []
-            for text in batch.column("text").to_pylist():
-                z = m.bias + math.fsum(weight[w] for w in words_of(text))
-                scores.append(1 / (1 + math.exp(-min(30.0, max(-30.0, z)))))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64())], schema=_SCORED)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(map(score, batch.column("text").to_pylist()), pa.float64())], schema=_SCORED)
 
     rows = slim(docs, id_col, text_col).select(F.col("doc_id").cast("long"), "text")
     return rows.mapInArrow(run, "doc_id long, score double").withColumn("predicted", (F.col("score") >= model.settings.threshold).cast("int"))
 
 
+def without_toxic(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> DataFrame:
+    """The rows, with all their columns, that score below the threshold."""
+    sent, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
+    threshold = model.settings.threshold
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score = _scores(sent)
+        for batch in batches:
+            yield batch.filter(pa.array([score(t) < threshold for t in batch.column(at).to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def train_on_tables(docs: DataFrame, labels: DataFrame, settings: ToxicitySettings = ToxicitySettings(), folds: int = 3, held_out: int = 1) -> ToxicityModel:
     """Fits on the labelled documents outside the held-out fold of ids."""
     mine = labels.select("doc_id", "toxic").where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where(id_mod("doc_id", folds) != held_out)
