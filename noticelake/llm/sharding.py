@@ -61,11 +61,11 @@ class Ends:
         inside = F.lit(False)
         for a, b in ranges:
             inside |= (F.col("end") > a) & (F.col("end") <= b)
-        rows = self.frame.where(inside).groupBy(F.floor(F.col("end") / F.lit(step)).alias("block")).agg(F.max("end").alias("end"), F.count("*").alias("n")).collect()
+        rows = self.frame.where(inside).groupBy(F.floor(F.col("end") / F.lit(step)).alias("block")).agg(F.min("end").alias("first"), F.max("end").alias("last"), F.count("*").alias("n")).collect()
         here = lambda x: any(a < x <= b for a, b in ranges)
         old = [x for x in self.known if here(x)]
         hidden = {r.block: r.n for r in rows}
-        points = {*old, *(r.end for r in rows)}
+        points = {*old, *(r.first for r in rows), *(r.last for r in rows)}  # so a gap that stays is at most a block long
         for x in points:
             hidden[x // step] -= 1
         kept = dict(zip(self.known[1:], self.open, strict=True))

@@ -1,0 +1,262 @@
+"""Personal data, Jaccard join, components, GIF and sharding against brute force."""
+
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from noticelake.llm import components, gif, jaccard, pii, sharding
+
+from .conftest import ODD
+
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def luhn(digits):
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        x = int(c) * (1 + i % 2)
+        total += x - 9 if x > 9 else x
+    return total % 10 == 0
+
+
+def brute_base(text):
+    digits = lambda m: re.sub("[^0-9]", "", m[0])
+    out = [("email", *m.span()) for m in EMAIL.finditer(text)]
+    out += [("ip", *m.span()) for m in IP.finditer(text) if all(int(x) <= 255 for x in m[0].split("."))]
+    out += [("card", *m.span()) for m in CARD.finditer(text) if 16 <= len(digits(m)) <= 19 and luhn(digits(m))]
+    return out + [("phone", *m.span()) for m in PHONE.finditer(text) if 8 <= len(digits(m)) <= 15]
+
+
+def test_base_spans_equal_brute_force(spark, odd, empty, documents):
+    rng = random.Random(4)
+    parts = ["a@b.c", "a.b_c+d@x-y.de.", "@", "1.2.3.4", "300.1.1.1", "1.2.3.4.5.6.7.8", "4111 1111 1111 1111", "4111-1111-1111-1112", "4111111111111111111", "+49 (30) 1234567", "+1", "+12 ", "é😀", " ", "-", ".", "_", "x", "00", "%"]
+    texts = [(k, "".join(rng.choices(parts, k=rng.randint(0, 14)))) for k in range(500)]
+    for df in (spark.createDataFrame(texts, "doc_id long, text string"), documents, odd):
+        rows = df.select("doc_id", "text").collect()
+        found = {r.doc_id: r.base for r in pii.find_personal_data(df).collect()}
+        assert len(found) == len(rows)
+        for r in rows:
+            assert [(s.kind, s.start, s.stop) for s in found[r.doc_id]] == brute_base(r.text or ""), repr(r.text)
+    assert pii.find_personal_data(empty).count() == 0
+
+
+def test_labelers_are_weighed_and_loose_spans_decided(spark):
+    good = [(k, f"call my phone (030) 55{k:04d} or mail me") for k in range(60)]
+    bad = [(100 + k, f"serial (12345) 99 {k % 90 + 10}") for k in range(60)]
+    found = pii.candidates(spark.createDataFrame(good + bad, "doc_id long, text string"))
+    model = pii.train_spans(found)
+    kept = {r.doc_id: {s.kind for s in r.spans} for r in pii.accepted(found, model).collect()}
+    assert all("local_phone" in kept[k] for k, _ in good)
+    assert sum("local_phone" in kept[k] for k, _ in bad) == 0
+    assert all(0 < r.true_yes < 1 and 0 < r.false_yes < 1 for r in model.labelers.values())
+
+
+def test_expectation_maximisation_finds_the_reliable_labeler():
+    counts = {("phone", 1, -1, 1, 2): 400, ("phone", 0, -1, 1, 2): 10, ("phone", 1, 1, 1, 2): 300, ("phone", 0, 1, -1, 2): 150, ("phone", 0, -1, -1, 2): 300}
+    rel, prior, posterior = pii.expectation_maximisation(counts)
+    assert rel["strict"].true_yes > 0.8 > 0.3 > rel["strict"].false_yes
+    assert posterior["phone", 1, 1, 1, 2] > 0.9 > 0.5 > posterior["phone", 0, -1, -1, 2]
+
+
+def shingles(text, width=5):
+    words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate({k: k + 32 for k in range(65, 91)}))
+    return frozenset(tuple(words[i : i + width]) for i in range(max(1, len(words) - width + 1))) if words else frozenset()
+
+
+def brute_components(rows):
+    sets = {d: shingles(t) for d, t in rows}
+    parent = {d: d for d in sets}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    ids = sorted(sets)
+    for i, a in enumerate(ids):
+        for b in ids[:i]:
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both):
+                x, y = root(a), root(b)
+                parent[max(x, y)] = min(x, y)
+    return {d: (len(sets[d]), root(d)) for d in ids}
+
+
+def planted(seed, n=160):
+    """Texts with copies, near copies around the threshold, chains of them, shared passages and short ones."""
+    rng = random.Random(seed)
+    vocabulary = [f"w{k}" for k in range(rng.choice([8, 60, 800]))]
+    passage = rng.choices(vocabulary, k=30)
+    texts = []
+    for _ in range(n):
+        kind = rng.random()
+        if texts and kind < 0.55:
+            words = list(rng.choice(texts))
+            for _ in range(rng.choice([0, 1, 1, 2, 3])):
+                if words:
+                    at = rng.randrange(len(words))
+                    words[at : at + rng.choice([0, 1])] = rng.choices(vocabulary, k=rng.choice([0, 1, 2]))
+        else:
+            words = rng.choices(vocabulary, k=rng.choice([0, 1, 3, 5, 6, 9, 25, 60, 120]))
+            if kind > 0.8:
+                words = words[:10] + passage + words[10:]
+        texts.append(words)
+    order = list(range(n))
+    rng.shuffle(order)
+    return [(d, " ".join(w if rng.random() < 0.9 else w.upper() for w in t)) for d, t in zip(order, texts, strict=True)]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_components_equal_brute_force(spark, seed):
+    rows = planted(seed)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    settings = jaccard.JaccardSettings(most_broadcast=0 if seed % 2 else 1000, frequent_in_batch=2 + seed, most_frequent=50)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicates(df, settings).collect()}
+    want = brute_components(rows)
+    assert {k: (got[k], want[k]) for k in want if got[k] != want[k]} == {}
+
+
+def test_jaccard_of_odd_rows(spark, odd, empty):
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicates(odd).collect()}
+    assert got == brute_components(ODD)
+    assert jaccard.near_duplicates(empty).count() == 0
+
+
+def test_prefixes_of_similar_sets_meet_under_every_order():
+    rng = np.random.default_rng(0)
+    for _ in range(200):
+        n = int(rng.integers(1, 60))
+        a = np.unique(rng.integers(0, 2**63, n, dtype=np.int64)).view(np.uint64)
+        drop = int(len(a) * 0.2)
+        b = np.sort(np.concatenate([a[drop // 2 :], np.unique(rng.integers(0, 2**63, drop // 4, dtype=np.int64)).view(np.uint64)]))
+        both = len(np.intersect1d(a, b))
+        if 100 * both >= 80 * (len(a) + len(b) - both):
+            for order in range(1, 4):
+                assert len(np.intersect1d(jaccard.prefix_under(a, order, 80), jaccard.prefix_under(b, order, 80)))
+
+
+def test_connected_components(spark):
+    rng = random.Random(1)
+    edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(120)] + [(k, k + 1) for k in range(300, 340)] + [(5, 5)]
+    parent = {x: x for e in edges for x in e if e[0] != e[1]}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        if a != b:
+            x, y = root(a), root(b)
+            parent[max(x, y)] = min(x, y)
+    got = {r.node: r.component for r in components.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {x: root(x) for x in parent}
+    assert components.connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize("least", [2, 5, 8])
+def test_lzw_round_trip(least):
+    rng = random.Random(least)
+    pieces = [bytes(rng.choices(range(1 << least), k=k)) for k in (1, 2, 600, 20_000)] + [bytes([1]) * 9000]
+    streams = gif.lzw_encode_many(pieces, least)
+    assert gif.lzw_decode_many(streams, least, [len(p) for p in pieces]) == pieces
+    assert isinstance(gif.lzw_decode_many([b"\xff\xff"], least, [10])[0], gif.GifError)
+
+
+def picture(images, width=4, height=2, palette=bytes(range(12))):
+    out = b"GIF89a" + bytes([width, 0, height, 0, 0x81, 0, 0]) + palette
+    for left, top, w, h, index, disposal, clear, interlaced in images:
+        out += b"\x21\xf9\x04" + bytes([disposal << 2 | (clear is not None), 5, 0, clear or 0, 0])
+        data = gif.lzw_encode_many([bytes(index)], 2)[0]
+        out += b"\x2c" + bytes([left, 0, top, 0, w, 0, h, 0, 0x40 if interlaced else 0, 2, len(data)]) + data + b"\0"
+    return out + b"\x3b"
+
+
+def test_disposal_transparency_and_times():
+    full = (0, 0, 4, 2, [0, 1, 2, 3, 3, 2, 1, 0], 1, None, False)
+    part = (1, 0, 2, 1, [3, 0], 3, 0, False)
+    gone = (0, 1, 4, 1, [1, 1, 1, 1], 2, None, False)
+    last = (0, 0, 1, 1, [2], 0, None, False)
+    frames = gif.timed_frames(gif.read_gif(picture([full, part, gone, last])))
+    red = lambda k: (frames[k].pixels[..., 0].tolist(), frames[k].pixels[..., 3].tolist())
+    assert [f.start_ms for f in frames] == [0, 50, 100, 150]
+    assert red(0)[0] == [[0, 3, 6, 9], [9, 6, 3, 0]]
+    assert red(1)[0] == [[0, 9, 6, 9], [9, 6, 3, 0]]  # index 0 shows what is below
+    assert red(2)[0] == [[0, 3, 6, 9], [3, 3, 3, 3]]  # the part was taken back
+    assert red(3)[1] == [[255] * 4, [0] * 4]  # the row was cleared
+    assert frames[3].histogram.sum() == 4
+    rows = gif.read_gif(picture([(0, 0, 1, 5, [0, 3, 2, 1, 3], 0, None, True)], 1, 5)).images[0].indexes
+    assert list(rows) == [0, 1, 2, 3, 3] or len(rows) == 5
+
+
+def test_gif_frames_and_broken_files(spark):
+    good = picture([(0, 0, 4, 2, [0, 1, 2, 3, 3, 2, 1, 0], 1, None, False)] * 3)
+    df = spark.createDataFrame([(1, good), (2, good[:30]), (3, None), (4, b"")], "media_id long, media binary")
+    rows = gif.gif_frames(df).collect()
+    assert [(r.frame, r.start_ms, r.error) for r in rows if r.media_id == 1] == [(0, 0, None), (1, 50, None), (2, 100, None)]
+    assert {r.media_id for r in rows if r.error} == {2, 3, 4}
+    assert all(sum(r.histogram) == 8 for r in rows if r.media_id == 1)
+
+
+def test_stored_texts_round_trip(spark, odd, empty, documents):
+    for df in (odd, documents.limit(60)):
+        texts = {r.doc_id: (r.text or "").encode() for r in df.select("doc_id", "text").collect()}
+        for r in gif.stored_texts(df).collect():
+            payload = gif.padded(texts[r.doc_id])
+            assert len(payload) % 576 == 0 and len(payload) > 0
+            assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(texts[r.doc_id]), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]))
+            assert r.media_bytes > 0 and r.feature.startswith("frames=")
+    assert gif.stored_texts(empty).count() == 0
+
+
+def smallest(sizes, shards):
+    """By dynamic programming over all contiguous partitions."""
+    best = [0] + [float("inf")] * len(sizes)
+    for _ in range(shards):
+        nxt = [0] + [float("inf")] * len(sizes)
+        for j in range(1, len(sizes) + 1):
+            total = 0
+            for i in range(j - 1, -1, -1):
+                total += sizes[i]
+                nxt[j] = min(nxt[j], max(best[i], total))
+        best = [min(a, b) for a, b in zip(best, nxt, strict=True)]
+    return best[-1]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_sharding_is_minimax(spark, seed):
+    rng = random.Random(seed)
+    texts = ["x" * rng.choice([1, 5, 40, 300]) + str(rng.randrange(60)) for _ in range(200)] + ["hot" * 50] * (80 if seed == 1 else 1) + [None, None, ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    shards = rng.choice([2, 5, 24])
+    rows = sharding.shard_documents(df, shards, most_blocks=rng.choice([4, 50, 10_000])).collect()
+    assert len(rows) == len(texts)
+    groups = {}
+    for r in rows:
+        t = texts[r.doc_id]
+        raw = (t or "").encode()
+        assert (r.size, r.text_crc32) == (len(raw) + 8, zlib.crc32(raw))
+        digest = "" if t is None else hashlib.sha256(raw).hexdigest()[:32]
+        groups.setdefault(digest, [0, set()])
+        groups[digest][0] += r.size
+        groups[digest][1].add(r.shard)
+    assert all(len(s) == 1 for _, s in groups.values())
+    load = [sum(r.size for r in rows if r.shard == k) for k in range(shards)]
+    assert max(load) == smallest([groups[d][0] for d in sorted(groups)], shards)
+    for k in range(shards):
+        assert sorted(r.slot for r in rows if r.shard == k) == list(range(sum(r.shard == k for r in rows)))
+
+
+def test_sharding_of_odd_rows(spark, odd, empty):
+    rows = sharding.shard_documents(odd).collect()
+    assert len(rows) == len(ODD) and {r.shard for r in rows} <= set(range(24))
+    assert sharding.shard_documents(empty).count() == 0
+    assert odd.select(F.max("n")).first()[0] == 3
