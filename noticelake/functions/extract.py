@@ -92,7 +92,7 @@ def amount(text: Column, style: str = "auto") -> Column:
 
 def short_amount(n: Column) -> Column:
     """932, 4.9K, 2.5M: one decimal above a thousand."""
-    return F.when(n >= 1e6, F.concat(F.format_number(n / 1e6, "0.0"), F.lit("M"))).when(n >= 1e3, F.concat(F.format_number(n / 1e3, "0.0"), F.lit("K"))).otherwise(F.format_number(n, "0"))
+    return F.when(n >= 1e6, F.format_string("%.1fM", n / 1e6)).when(n >= 1e3, F.format_string("%.1fK", n / 1e3)).otherwise(F.format_string("%.0f", n))
 
 
 # Contract types by words, the first that matches.

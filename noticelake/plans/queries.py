@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import tables
+from . import streams, tables
 
 QUERIES = dict(tables.QUERIES)
 ORACLES = dict(tables.ORACLES)
+__all__ = ["QUERIES", "ORACLES", "streams"]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import SparkSession
@@ -32,3 +33,12 @@ def ship(spark: SparkSession) -> None:
                     out.write(full, os.path.relpath(full, os.path.dirname(here)))
     spark.sparkContext.addPyFile(path)
     _shipped.add(app)
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new path in ``spark.checkpoint.dir``, which driver and executors share; set here only where it is unset."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        folder = tempfile.mkdtemp(prefix="noticelake-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
