@@ -8,10 +8,10 @@ must then share such prefix tokens under further orders too, and only pairs that
 pass all are compared in full.
 
 No group is expanded into pairs. Equal sets are one class from the start. Then
-each shared prefix token links its sets with the smallest one and with the
-next smaller one, which joins near copies in linear work; only sets that are
-still apart after that meet each other in the second pass, which makes the
-links complete.
+each set is compared with two partners among the sets of its shared prefix
+tokens, which joins near copies in linear work, and each two clusters by one
+pair; all sets that are still apart after that meet each other in the last
+pass, which makes the links complete.
 
 The exactness rests on 64-bit hashes: of shingles within a compared pair, and
 of sets (a second hash tells if two different sets ever meet there).
@@ -20,7 +20,6 @@ of sets (a second hash tells if two different sets ever meet there).
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -30,11 +29,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Memo, slim, table, written
+from .common import slim, table, written
 from .components import connected_components
 
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_LOWER = {k: k + 32 for k in range(65, 91)}
+#: A-Z to lower case, white space to blanks; other bytes of UTF-8 are parts of words.
+_TO_WORDS = bytes(k + 32 if 65 <= k <= 90 else 32 if 9 <= k <= 13 else k for k in range(256))
 _MULTIPLIERS = tuple(np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93))
 
 
@@ -46,16 +45,18 @@ class JaccardSettings:
     counted as frequent; ``most_frequent`` bounds the table of frequent
     shingles, which only changes the first order, never the result.
     ``most_broadcast`` bounds the ids that are sent to all executors; more are
-    joined by a shuffle.
+    joined by a shuffle. ``bridging_rounds`` only saves work: after them all
+    pairs of sets that are still apart are looked at.
     """
 
     width: int = 5
     percent: int = 80
     orders: int = 3
-    frequent_in_batch: int = 4
-    most_frequent: int = 1 << 17
+    frequent_in_batch: int = 3
+    most_frequent: int = 1 << 20
     most_broadcast: int = 1_000_000
     sketch_words: int = 8
+    bridging_rounds: int = 2
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -65,26 +66,43 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hash(word: str) -> int:
-    return int.from_bytes(hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+class Shingler:
+    """Sorted distinct 64-bit hashes of a text's word shingles.
 
+    A word's hash is a polynomial of random values of its bytes, modulo 2**64;
+    all words of a text come from one running sum.
+    """
 
-class Shingler:
-    """Sorted distinct 64-bit hashes of a text's word shingles."""
+    _BASE = 0x9E3779B97F4A7C15
 
     def __init__(self, width: int):
-        self.width, self.words = width, Memo(word_hash)
+        self.width = width
+        self.values = np.random.default_rng(2024).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        self.values[32] = 0
+        self.powers = self.inverses = np.ones(1, np.uint64)
+        self.weights = [np.uint64(pow(0xD6E8FEB86659FD93, k, 2**64)) for k in range(width)]
+
+    def words(self, text: str) -> np.ndarray:
+        raw = np.frombuffer(text.encode("utf-8", "surrogatepass").translate(_TO_WORDS), np.uint8)
+        if len(raw) >= len(self.powers):
+            n = 2 * len(raw) + 1
+            self.powers, self.inverses = (np.cumprod(np.array([1] + [x] * n, np.uint64)) for x in (self._BASE, pow(self._BASE, -1, 2**64)))
+        inside = np.concatenate([[False], raw != 32, [False]])
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        starts, ends = edges[::2], edges[1::2]
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(self.values[raw] * self.powers[: len(raw)])])
+        return _mix((sums[ends] - sums[starts]) * self.inverses[starts])
 
     def __call__(self, text: str | None) -> np.ndarray:
-        words = _WORD.findall(text.translate(_LOWER)) if text else []
-        if not words:
+        words = self.words(text) if text else ()
+        if not len(words):
             return np.empty(0, np.uint64)
-        h = np.fromiter(map(self.words.__getitem__, words), np.uint64, len(words))
-        n = max(1, len(h) - self.width + 1)
-        out = np.full(n, min(self.width, len(h)), np.uint64)  # a short sequence differs from a full shingle
-        for k in range(min(self.width, len(h))):
-            out = _mix(out * _MULTIPLIERS[0] + h[k : k + n])
-        return np.unique(out)
+        used = min(self.width, len(words))
+        n = len(words) - used + 1
+        out = np.full(n, used, np.uint64)  # a short sequence differs from a full shingle
+        for k in range(used):
+            out += words[k : k + n] * self.weights[k]
+        return np.unique(_mix(out))
 
 
 @lru_cache(maxsize=2)
@@ -93,6 +111,12 @@ def shingler(width: int) -> Shingler:
     return Shingler(width)
 
 
+def set_hashes(tokens: np.ndarray) -> tuple[int, int]:
+    """Two 64-bit hashes of a set: its id, and one that tells if two sets ever share that."""
+    digest = hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
+    return int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)
+
+
 def prefix_size(n: int, percent: int) -> int:
     """How many first tokens of a set of n hold one of any set that is similar enough."""
     return n - -(-percent * n // 100) + 1
@@ -125,16 +149,18 @@ def _sets_and_counts(s: JaccardSettings):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = shingler(s.width)
         for batch in batches:
-            cols: dict[str, list] = {f.name: [] for f in _SETS}
+            ids, sizes, ones, twos, bits = [], [], [], [], []
             distinct: dict[int, np.ndarray] = {}
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 tokens = shingles(text)
-                digest = hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
-                one, two = (int.from_bytes(digest[k : k + 8], "little", signed=True) for k in (0, 8))
-                for name, value in zip(cols, (doc, len(tokens), one, two, sketch(tokens, s.sketch_words), None, None), strict=True):
-                    cols[name].append(value)
+                one, two = set_hashes(tokens)
+                for out, value in ((ids, doc), (sizes, len(tokens)), (ones, one), (twos, two), (bits, sketch(tokens, s.sketch_words))):
+                    out.append(value)
                 distinct[one] = tokens
-            yield pa.RecordBatch.from_pydict(cols, schema=_SETS)
+            rows = len(ids)
+            if rows:
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * s.sketch_words), pa.array(np.concatenate(bits)))
+                yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in (ids, sizes, ones, twos)), lists, pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.int64())], schema=_SETS)
             tokens = np.sort(np.concatenate([*distinct.values(), np.empty(0, np.uint64)]))
             edge = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1], [True]])) if len(tokens) else np.zeros(1, int)
             n = np.diff(edge)
@@ -154,23 +180,23 @@ def _postings(s: JaccardSettings, sent):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, (frequent, rank) = shingler(s.width), sent.value
-        done: set[bytes] = set()
+        done: set[int] = set()
         for batch in batches:
             parts: list[tuple[np.ndarray, int, int]] = []
             for text in batch.column("text").to_pylist():
                 tokens = shingles(text)
-                digest = hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
-                if not len(tokens) or digest in done:  # an equal set of this task has sent them
+                own = set_hashes(tokens)[0]
+                if not len(tokens) or own in done:  # an equal set of this task has sent them
                     continue
                 if len(done) < 200_000:
-                    done.add(digest)
+                    done.add(own)
                 p = prefix_size(len(tokens), s.percent)
-                level = np.zeros(len(tokens), np.int64)
+                key = order_key(tokens, 0) >> np.uint64(20)
                 if len(frequent):
                     k = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
-                    level = np.where(frequent[k] == tokens, rank[k], 0)
-                first = np.lexsort((order_key(tokens, 0), level))[:p]
-                parts.append((tokens[first], int.from_bytes(digest[:8], "little", signed=True), len(tokens)))
+                    key |= np.where(frequent[k] == tokens, rank[k], np.uint64(0)) << np.uint64(44)
+                first = np.argsort(key, kind="stable")[:p]  # equal keys stay in order of token
+                parts.append((tokens[first], own, len(tokens)))
             if parts:
                 sizes = [len(t) for t, _, _ in parts]
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([t for t, _, _ in parts]).view(np.int64)), pa.array(np.repeat(np.array([i for _, i, _ in parts], np.int64), sizes)), pa.array(np.repeat(np.array([n for _, _, n in parts], np.int32), sizes)), pa.array(np.concatenate([np.arange(k, dtype=np.int32) for k in sizes]))], schema=_POSTINGS)
@@ -214,6 +240,7 @@ class _Join:
 
     def __init__(self, docs: DataFrame, s: JaccardSettings):
         self.docs, self.s = docs, s
+        self.tokens: DataFrame | None = None
         self.spark = docs.sparkSession
         both = written(docs.mapInArrow(_sets_and_counts(s), _SETS_SQL), "sets")
         self.sets = both.where("n IS NOT NULL").select("doc_id", "n", "set_id", "check", "bits")
@@ -226,7 +253,7 @@ class _Join:
         top.sort(key=lambda r: r.token & 0xFFFFFFFFFFFFFFFF)
         tokens = np.array([r.token for r in top], np.int64).view(np.uint64)
         #: at most most_frequent pairs of numbers
-        self.frequent = self.spark.sparkContext.broadcast((tokens, np.array([r["count"] for r in top], np.int64)))
+        self.frequent = self.spark.sparkContext.broadcast((tokens, np.array([min(r["count"], 2**20 - 1) for r in top], np.uint64)))
 
     def shared_tokens(self) -> DataFrame:
         """Prefix tokens that at least two sets have: ``token, set_id, n, at`` with the smallest and the next smaller set."""
@@ -237,23 +264,38 @@ class _Join:
         return written(rows.where("least <> most AND (prev IS NULL OR prev.set_id <> set_id)").drop("least", "most"), "shared")
 
     def near_by(self, shared: DataFrame) -> DataFrame:
-        """Pairs of each set with the smallest and with the next smaller set of a shared token."""
-        pairs = shared.select(F.explode(F.array("first", "prev")).alias("o"), "set_id", "n").where("o IS NOT NULL AND o.set_id <> set_id").where(_long_enough(F.col("o.n"), F.col("n"), self.s.percent))
-        return self.distinct_pairs(pairs, F.col("o.set_id"), F.col("set_id"))
+        """For each set two partners: of the smallest sets of its shared tokens, and of the next smaller ones, that which shares most."""
+        partners = F.array(*(F.struct(F.lit(k).alias("kind"), F.col(f"{c}.set_id").alias("other"), F.col(f"{c}.n").alias("m")) for k, c in enumerate(("first", "prev"))))
+        pairs = shared.select("set_id", "n", F.explode(partners).alias("o")).select("set_id", "n", "o.*").where("other IS NOT NULL AND other <> set_id").where(_long_enough(F.col("m"), F.col("n"), self.s.percent))
+        best = pairs.groupBy("set_id", "kind", "other").agg(F.count("*").alias("n")).groupBy("set_id", "kind").agg(F.max(F.struct("n", "other")).alias("best"))
+        return self.distinct_pairs(best, F.col("set_id"), F.col("best.other"))
+
+    def apart(self, shared: DataFrame, links: DataFrame) -> DataFrame:
+        """Rows of the shared tokens that sets of different clusters have, with their cluster."""
+        clusters = connected_components(links)
+        rows = shared.select("token", "set_id", "n", "at").join(clusters, F.col("set_id") == F.col("node"), "left").select("token", "set_id", "n", "at", F.coalesce("component", "set_id").alias("cluster"))
+        group = Window.partitionBy("token")
+        rows = rows.select("*", F.min(F.struct("cluster", "n", "set_id", "at")).over(group).alias("low"), F.max("cluster").over(group).alias("high"))
+        return written(rows.where("low.cluster <> high").drop("high"), "apart")
+
+    def between(self, apart: DataFrame) -> DataFrame:
+        """One pair for each two clusters: of each token's sets with the first of its smallest cluster, that which shares most tokens."""
+        pairs = apart.where("cluster <> low.cluster").where(_long_enough(F.col("low.n"), F.col("n"), self.s.percent)).where(self.fits("low.n", "low.at", "n", "at"))
+        best = pairs.groupBy("cluster", F.col("low.cluster").alias("other"), "set_id", F.col("low.set_id").alias("center")).agg(F.count("*").alias("n")).groupBy("cluster", "other").agg(F.max(F.struct("n", "set_id", "center")).alias("best"))
+        return self.distinct_pairs(best, F.col("best.set_id"), F.col("best.center"))
+
+    def fits(self, n: str, at: str, m: str, other_at: str) -> Column:
+        """What is left of both sets from a first shared token on allows the similarity."""
+        return F.least(F.col(n) - F.col(at), F.col(m) - F.col(other_at)) >= _least_overlap(F.col(n), F.col(m), self.s.percent)
 
     @staticmethod
     def distinct_pairs(rows: DataFrame, x: Column, y: Column) -> DataFrame:
         return rows.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
 
-    def far_apart(self, shared: DataFrame, links: DataFrame) -> DataFrame:
-        """Pairs of sets that share a token and are in different clusters so far, sizes and places allowing."""
-        clusters = connected_components(links)
-        rows = shared.select("token", "set_id", "n", "at").join(clusters, F.col("set_id") == F.col("node"), "left").select("token", "set_id", "n", "at", F.coalesce("component", "set_id").alias("cluster"))
-        group = Window.partitionBy("token")
-        rows = written(rows.select("*", F.min("cluster").over(group).alias("low"), F.max("cluster").over(group).alias("high")).where("low <> high").drop("low", "high"), "apart")
-        x, y = rows.alias("x"), rows.alias("y")
-        fits = F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at")) >= _least_overlap(F.col("x.n"), F.col("y.n"), self.s.percent)
-        pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.cluster") < F.col("y.cluster")) & _long_enough(F.col("x.n"), F.col("y.n"), self.s.percent) & fits)
+    def far_apart(self, apart: DataFrame) -> DataFrame:
+        """All pairs of sets that share a token and are in different clusters, sizes and places allowing."""
+        x, y = apart.alias("x"), apart.alias("y")
+        pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.cluster") < F.col("y.cluster")) & _long_enough(F.col("x.n"), F.col("y.n"), self.s.percent) & self.fits("x.n", "x.at", "y.n", "y.at"))
         return self.distinct_pairs(pairs, F.col("x.set_id"), F.col("y.set_id"))
 
     def plausible(self, pairs: DataFrame) -> DataFrame:
@@ -267,8 +309,20 @@ class _Join:
     def compared(self, pairs: DataFrame) -> DataFrame:
         """``a, b, linked`` of each pair, by the further orders and then in full."""
         ids = self.distinct_ids(pairs)
+        if self.tokens is not None:
+            ids = written(ids.join(self.tokens.select("set_id"), "set_id", "left_anti"), "ids")
+        if n := ids.count():
+            new = self.token_sets(ids, n)
+            self.tokens = new if self.tokens is None else self.tokens.unionByName(new)
+        if self.tokens is None:
+            return pairs.select("a", "b", F.lit(False).alias("linked"))
+        right = pairs.join(self.tokens.select(F.col("set_id").alias("b"), F.col("tokens").alias("right")), "b")
+        rows = right.join(self.tokens.select(F.col("set_id").alias("a"), F.col("tokens").alias("left")), "a")
+        return rows.select("a", "b", "left", "right").mapInArrow(_verify(self.s), "a long, b long, linked boolean")
+
+    def token_sets(self, ids: DataFrame, n: int) -> DataFrame:
+        """``set_id, tokens`` of the wanted sets, each made again from one of its texts."""
         own = self.classes.select("set_id", "doc_id").join(ids, "set_id")
-        n = ids.count()
         if n <= self.s.most_broadcast:  # two numbers a row, so at most some 50 MB
             own = F.broadcast(own)
         shingles = self.s.width
@@ -278,28 +332,41 @@ class _Join:
             for batch in batches:
                 for k in range(0, batch.num_rows, 500):
                     part = batch.slice(k, 500)
-                    tokens = [make(t) for t in part.column("text").to_pylist()]
+                    found = [(i, make(t)) for i, t in zip(part.column("set_id").to_pylist(), part.column("text").to_pylist(), strict=True)]
+                    found = [(i, t) for i, t in found if set_hashes(t)[0] == i]  # an id may stand at other texts too
+                    tokens = [t for _, t in found]
                     offsets = np.concatenate([[0], np.cumsum([len(t) for t in tokens])]).astype(np.int32)
                     values = pa.array(np.concatenate([*tokens, np.empty(0, np.uint64)]).view(np.int64))
-                    yield pa.RecordBatch.from_arrays([part.column("set_id"), pa.ListArray.from_arrays(pa.array(offsets), values)], schema=_TOKENS)
+                    yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in found], pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), values)], schema=_TOKENS)
 
-        sets = self.docs.join(own, "doc_id").select("set_id", "text").mapInArrow(run, "set_id long, tokens array<long>")
-        sets = written(sets, "tokens")
-        right = pairs.join(sets.select(F.col("set_id").alias("b"), F.col("tokens").alias("right")), "b")
-        rows = right.join(sets.select(F.col("set_id").alias("a"), F.col("tokens").alias("left")), "a")
-        return rows.select("a", "b", "left", "right").mapInArrow(_verify(self.s), "a long, b long, linked boolean")
+        return written(self.docs.join(own, "doc_id").select("set_id", "text").mapInArrow(run, "set_id long, tokens array<long>"), "tokens")
 
     @staticmethod
     def distinct_ids(pairs: DataFrame) -> DataFrame:
         return written(pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct(), "ids")
 
     def links(self) -> DataFrame:
+        """Links that connect all sets that links connect: few within a group of copies, all that join two groups."""
         shared = self.shared_tokens()
-        pairs = written(self.plausible(self.near_by(shared)), "pairs")
-        first = written(self.compared(pairs), "compared")
-        linked = first.where("linked").select("a", "b")
-        rest = written(self.plausible(self.far_apart(shared, linked)).join(first.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
-        return linked.unionByName(written(self.compared(rest), "compared").where("linked").select("a", "b"))
+        done = linked = None
+
+        def look(pairs: DataFrame) -> int:
+            nonlocal done, linked
+            if done is not None:
+                pairs = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
+            new = written(self.compared(written(self.plausible(pairs), "pairs")), "compared")
+            done = new if done is None else done.unionByName(new)
+            linked = done.where("linked").select("a", "b")
+            return new.where("linked").count()
+
+        look(self.near_by(shared))
+        apart = self.apart(shared, linked)
+        for _ in range(self.s.bridging_rounds):
+            if not look(self.between(apart)):
+                break
+            apart = self.apart(apart, linked)
+        look(self.far_apart(apart))
+        return linked
 
 
 def near_duplicates(docs: DataFrame, settings: JaccardSettings = JaccardSettings(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -1,7 +1,7 @@
 import pytest
 
 #: Texts that every operator must take: null, empty, no letters, repeated rows, a long one, other scripts.
-ODD = [(1, None), (2, ""), (3, "   \n\t"), (4, "12 34 -- !!"), (5, "same words here again and again today"), (6, "same words here again and again today"), (7, "word " * 30_000), (8, "Ünïcödé ßtraße 漢字 😀 İstanbul Σίσυφος"), (9, "a")]
+ODD = [(1, None), (2, ""), (3, "   \n\t"), (4, "12 34 -- !!"), (5, "same words here again and again today"), (6, "same words here again and again today"), (7, "word " * 30_000), (8, "Ünïcödé ßtraße 漢字 😀 İstanbul Σίσυφος"), (9, "a"), (10, "² ½ ٣"), (11, "same words here\u2028and again and again today")]
 
 
 @pytest.fixture(scope="session")
