@@ -12,20 +12,25 @@ memory of the plan depend on ``capacity``, not on the number of documents.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Memo, ranked_within, slim, table, written
+from .common import ranked_within, slim, table, written
 
 CAPACITY = 4096
 END_ID = 1
+_MOST_WORDS = 400_000  # that a worker keeps, and texts that it takes at once
+_TOGETHER = 100
 
 
 class RoomTree:
@@ -129,7 +134,7 @@ class WordTokenizer:
     other text goes through the tokenizer whole.
     """
 
-    _WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_²³¹¼½¾]+|[\d²³¹¼½¾]|(?:[^\w\s]|_)+")
+    _WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_²³¹¼½¾]+|[\d²³¹¼½¾]|(?:[^\w\t-\r \x85\xa0]|_)+")
     _SIMPLE = re.compile(r"[\x00-ɏ]*")
 
     def __init__(self, path: str | None = None):
@@ -137,18 +142,57 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path or public_tokenizers.path("word_bpe_49k.json"))
-        self.words = Memo(lambda w: self._whole(w), 400_000)
+        self.words: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a word
+        self.ends[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
+
+    def _learn(self, words: list[str], together: int = 64) -> None:
+        """Encodes words many to a text: blanks keep them apart, and each ends with the one id that ends a word."""
+        texts = [" ".join(words[k : k + together]) for k in range(0, len(words), together)]
+        for k, e in enumerate(self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            part, ids = words[k * together : (k + 1) * together], np.array(e.ids, "<u4")
+            ends = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
+            if len(ends) != len(part):
+                self.words.update((w, self._whole(w)) for w in part)
+                continue
+            data = ids.tobytes()
+            self.words.update(zip(part, (data[a:b] for a, b in zip([0, *ends], ends, strict=False)), strict=True))
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    @classmethod
+    def _simple(cls, text: str) -> bool:
+        if "<|" in text:
+            return False
+        try:
+            text.encode("latin-1")
+            return True
+        except UnicodeEncodeError:
+            return bool(cls._SIMPLE.fullmatch(text))
 
     def ids(self, text: str | None) -> bytes:
         """Little-endian unsigned 32-bit ids."""
-        if not text:
-            return b""
-        if "<|" in text or not self._SIMPLE.fullmatch(text):
-            return self._whole(text)
-        return b"".join(map(self.words.__getitem__, self._WORDS.findall(text.lower())))
+        return self.ids_of([text])[0]
+
+    def ids_of(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of some texts; words not met before are encoded together."""
+        found = [self._WORDS.findall(t.lower()) if t and self._simple(t) else None for t in texts]
+        new = set().union(*(w for w in found if w)).difference(self.words)
+        if len(self.words) + len(new) > _MOST_WORDS:
+            self.words.clear()
+            new = set().union(*(w for w in found if w))
+        self._learn(list(new))
+        get = self.words.__getitem__
+        return [b"".join(map(get, w)) if w is not None else self._whole(t) if t else b"" for t, w in zip(texts, found, strict=True)]
+
+
+@lru_cache(maxsize=1)
+def word_tokenizer(path: str | None) -> WordTokenizer:
+    """One for each worker: the vocabulary is read once and words are kept from task to task."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+    return WordTokenizer(path)
 
 
 _PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
@@ -162,15 +206,17 @@ def tokenized_pieces(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str
     last = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, step = WordTokenizer(vocabulary), 4 * capacity
+        tokenizer, step = word_tokenizer(vocabulary), 4 * capacity
         for batch in batches:
             cols: dict[str, list] = {f.name: [] for f in _PIECES}
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                ids = tokenizer.ids(text) + last
-                for k, at in enumerate(range(0, len(ids), step)):
-                    part = ids[at : at + step]
-                    for name, value in zip(cols, (doc, k, at // 4, len(part) // 4, zlib.crc32(part)), strict=True):
-                        cols[name].append(value)
+            docs_, texts = batch.column("doc_id").to_pylist(), batch.column("text")
+            for first in range(0, len(docs_), _TOGETHER):
+                for doc, ids in zip(docs_[first : first + _TOGETHER], tokenizer.ids_of(texts.slice(first, _TOGETHER).to_pylist()), strict=True):
+                    ids += last
+                    for k, at in enumerate(range(0, len(ids), step)):
+                        part = ids[at : at + step]
+                        for name, value in zip(cols, (doc, k, at // 4, len(part) // 4, zlib.crc32(part)), strict=True):
+                            cols[name].append(value)
             yield pa.RecordBatch.from_pydict(cols, schema=_PIECES)
 
     return slim(docs, id_col, text_col).select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
