@@ -8,10 +8,10 @@ must then share such prefix tokens under further orders too, and only pairs that
 pass all are compared in full.
 
 No group is expanded into pairs. Equal sets are one class from the start. Then
-each set is compared with two partners among the sets of its shared prefix
-tokens, which joins near copies in linear work, and each two clusters by one
-pair; all sets that are still apart after that meet each other in the last
-pass, which makes the links complete.
+in a few turns each set is compared with the nearest, by a sketch, of some sets
+of other clusters that share its prefix tokens, which joins near copies in
+linear work; all sets that are still apart after that meet each other in the
+last pass, which makes the links complete.
 
 The exactness rests on 64-bit hashes: of shingles within a compared pair, and
 of sets (a second hash tells if two different sets ever meet there).
@@ -45,18 +45,18 @@ class JaccardSettings:
     counted as frequent; ``most_frequent`` bounds the table of frequent
     shingles, which only changes the first order, never the result.
     ``most_broadcast`` bounds the ids that are sent to all executors; more are
-    joined by a shuffle. ``bridging_rounds`` only saves work: after them all
-    pairs of sets that are still apart are looked at.
+    joined by a shuffle. ``most_turns`` only saves work: after them all pairs of
+    sets that are still apart are looked at.
     """
 
     width: int = 5
     percent: int = 80
     orders: int = 3
     frequent_in_batch: int = 3
-    most_frequent: int = 1 << 20
+    most_frequent: int = 1 << 19
     most_broadcast: int = 1_000_000
     sketch_words: int = 8
-    bridging_rounds: int = 2
+    most_turns: int = 4
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -249,49 +249,65 @@ class _Join:
         self.classes = written(classes, "classes")
         if self.classes.where("check <> other").limit(1).count():
             raise RuntimeError("two different sets have the same 64-bit hash; use another hash")
-        top = both.where("count IS NOT NULL").groupBy("token").agg(F.sum("count").alias("count")).orderBy(F.desc("count"), "token").limit(s.most_frequent).collect()
-        top.sort(key=lambda r: r.token & 0xFFFFFFFFFFFFFFFF)
-        tokens = np.array([r.token for r in top], np.int64).view(np.uint64)
+        top = both.where("count IS NOT NULL").groupBy("token").agg(F.sum("count").alias("count")).orderBy(F.desc("count"), "token").limit(s.most_frequent).toArrow()
+        tokens, counts = (top.column(c).to_numpy() for c in ("token", "count"))
+        order = np.argsort(tokens.view(np.uint64))
         #: at most most_frequent pairs of numbers
-        self.frequent = self.spark.sparkContext.broadcast((tokens, np.array([min(r["count"], 2**20 - 1) for r in top], np.uint64)))
+        self.frequent = self.spark.sparkContext.broadcast((tokens.view(np.uint64)[order], np.minimum(counts, 2**20 - 1).astype(np.uint64)[order]))
 
     def shared_tokens(self) -> DataFrame:
-        """Prefix tokens that at least two sets have: ``token, set_id, n, at`` with the smallest and the next smaller set."""
+        """Prefix tokens that at least two sets have: ``token, set_id, n, at, alone``.
+
+        ``alone`` counts the tokens of a set's prefix that no other set's prefix
+        has: a copy with few changes of its own has few.
+        """
         rows = self.docs.select("text").mapInArrow(_postings(self.s, self.frequent), "token long, set_id long, n int, at int")
         group = Window.partitionBy("token")
-        order = group.orderBy("n", "set_id")
-        rows = rows.select("*", F.min("set_id").over(group).alias("least"), F.max("set_id").over(group).alias("most"), F.lag(F.struct("set_id", "n")).over(order).alias("prev"), F.first(F.struct("set_id", "n")).over(order).alias("first"))
-        return written(rows.where("least <> most AND (prev IS NULL OR prev.set_id <> set_id)").drop("least", "most"), "shared")
-
-    def near_by(self, shared: DataFrame) -> DataFrame:
-        """For each set two partners: of the smallest sets of its shared tokens, and of the next smaller ones, that which shares most."""
-        partners = F.array(*(F.struct(F.lit(k).alias("kind"), F.col(f"{c}.set_id").alias("other"), F.col(f"{c}.n").alias("m")) for k, c in enumerate(("first", "prev"))))
-        pairs = shared.select("set_id", "n", F.explode(partners).alias("o")).select("set_id", "n", "o.*").where("other IS NOT NULL AND other <> set_id").where(_long_enough(F.col("m"), F.col("n"), self.s.percent))
-        best = pairs.groupBy("set_id", "kind", "other").agg(F.count("*").alias("n")).groupBy("set_id", "kind").agg(F.max(F.struct("n", "other")).alias("best"))
-        return self.distinct_pairs(best, F.col("set_id"), F.col("best.other"))
-
-    def apart(self, shared: DataFrame, links: DataFrame) -> DataFrame:
+        rows = rows.select("*", F.min("set_id").over(group).alias("least"), F.max("set_id").over(group).alias("most"))
+        rows = written(rows.where("least <> most").groupBy("token", "set_id", "n", "at").agg(F.lit(1).alias("_")).drop("_"), "shared")
+        prefix = F.col("n") - F.ceil(F.col("n") * self.s.percent / 100.0 - 1e-6) + 1
+        alone = rows.groupBy("set_id").agg((F.first(prefix) - F.count("*")).alias("alone"))
+        return rows.join(alone, "set_id")
+
+    @staticmethod
+    def distinct_pairs(rows: DataFrame, x: Column, y: Column) -> DataFrame:
+        return rows.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
+
+    def apart(self, shared: DataFrame, links: DataFrame | None) -> DataFrame:
         """Rows of the shared tokens that sets of different clusters have, with their cluster."""
-        clusters = connected_components(links)
-        rows = shared.select("token", "set_id", "n", "at").join(clusters, F.col("set_id") == F.col("node"), "left").select("token", "set_id", "n", "at", F.coalesce("component", "set_id").alias("cluster"))
+        shared = shared.select("token", "set_id", "n", "at", "alone")
+        if links is None:
+            return written(shared.withColumn("cluster", F.col("set_id")), "apart")
+        rows = shared.join(connected_components(links), F.col("set_id") == F.col("node"), "left").withColumn("cluster", F.coalesce("component", "set_id"))
         group = Window.partitionBy("token")
-        rows = rows.select("*", F.min(F.struct("cluster", "n", "set_id", "at")).over(group).alias("low"), F.max("cluster").over(group).alias("high"))
-        return written(rows.where("low.cluster <> high").drop("high"), "apart")
-
-    def between(self, apart: DataFrame) -> DataFrame:
-        """One pair for each two clusters: of each token's sets with the first of its smallest cluster, that which shares most tokens."""
-        pairs = apart.where("cluster <> low.cluster").where(_long_enough(F.col("low.n"), F.col("n"), self.s.percent)).where(self.fits("low.n", "low.at", "n", "at"))
-        best = pairs.groupBy("cluster", F.col("low.cluster").alias("other"), "set_id", F.col("low.set_id").alias("center")).agg(F.count("*").alias("n")).groupBy("cluster", "other").agg(F.max(F.struct("n", "set_id", "center")).alias("best"))
-        return self.distinct_pairs(best, F.col("best.set_id"), F.col("best.center"))
+        return written(rows.withColumns({"low": F.min("cluster").over(group), "high": F.max("cluster").over(group)}).where("low <> high").drop("low", "high", "node", "component"), "apart")
+
+    def partners(self, apart: DataFrame, turn: int, done: DataFrame | None) -> DataFrame:
+        """For each set the nearest of some sets in other clusters, by their sketches.
+
+        Of each shared token those are the set that has least of its own, the next
+        smaller one, and one by a hash of token and turn: a number that grows with
+        the rows. Pairs that were compared before are left out.
+        """
+        group, me = Window.partitionBy("token"), F.struct("set_id", "n", "at", "cluster")
+        others = {
+            "o1": F.first(me).over(group.orderBy("alone", "n", "set_id")),
+            "o2": F.lag(me).over(group.orderBy("n", "set_id")),
+            "o3": F.lag(me).over(group.orderBy(F.xxhash64("token", "set_id", F.lit(turn)), "set_id")),
+        }
+        rows = apart.withColumns(others).select("set_id", "n", "at", "cluster", F.explode(F.array(*others)).alias("o"))
+        pairs = rows.where("o IS NOT NULL AND o.cluster <> cluster").where(_long_enough(F.col("o.n"), F.col("n"), self.s.percent)).where(self.fits("o.n", "o.at", "n", "at"))
+        pairs = self.distinct_pairs(pairs, F.col("set_id"), F.col("o.set_id"))
+        if done is not None:
+            pairs = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
+        near = self.plausible(pairs)
+        ends = near.select("a", "b", "apart", F.explode(F.array("a", "b")).alias("set_id"))
+        return ends.groupBy("set_id").agg(F.min(F.struct("apart", "a", "b")).alias("best")).select("best.a", "best.b").distinct()
 
     def fits(self, n: str, at: str, m: str, other_at: str) -> Column:
         """What is left of both sets from a first shared token on allows the similarity."""
         return F.least(F.col(n) - F.col(at), F.col(m) - F.col(other_at)) >= _least_overlap(F.col(n), F.col(m), self.s.percent)
 
-    @staticmethod
-    def distinct_pairs(rows: DataFrame, x: Column, y: Column) -> DataFrame:
-        return rows.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
-
     def far_apart(self, apart: DataFrame) -> DataFrame:
         """All pairs of sets that share a token and are in different clusters, sizes and places allowing."""
         x, y = apart.alias("x"), apart.alias("y")
@@ -303,8 +319,8 @@ class _Join:
         a = self.classes.select(F.col("set_id").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a"))
         b = self.classes.select(F.col("set_id").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b"))
         apart = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
-        rows = pairs.join(a, "a").join(b, "b")
-        return rows.where(apart * (100 + self.s.percent) <= (F.col("n_a") + F.col("n_b")) * (100 - self.s.percent)).select("a", "b")
+        rows = pairs.join(a, "a").join(b, "b").withColumn("apart", apart)
+        return rows.where(F.col("apart") * (100 + self.s.percent) <= (F.col("n_a") + F.col("n_b")) * (100 - self.s.percent)).select("a", "b", "apart")
 
     def compared(self, pairs: DataFrame) -> DataFrame:
         """``a, b, linked`` of each pair, by the further orders and then in full."""
@@ -347,25 +363,24 @@ class _Join:
 
     def links(self) -> DataFrame:
         """Links that connect all sets that links connect: few within a group of copies, all that join two groups."""
-        shared = self.shared_tokens()
         done = linked = None
+        apart = self.apart(self.shared_tokens(), None)
 
         def look(pairs: DataFrame) -> int:
             nonlocal done, linked
-            if done is not None:
-                pairs = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
-            new = written(self.compared(written(self.plausible(pairs), "pairs")), "compared")
+            new = written(self.compared(written(pairs, "pairs")), "compared")
             done = new if done is None else done.unionByName(new)
             linked = done.where("linked").select("a", "b")
             return new.where("linked").count()
 
-        look(self.near_by(shared))
-        apart = self.apart(shared, linked)
-        for _ in range(self.s.bridging_rounds):
-            if not look(self.between(apart)):
-                break
+        most = 0
+        for turn in range(self.s.most_turns):
+            found = look(self.partners(apart, turn, done))
             apart = self.apart(apart, linked)
-        look(self.far_apart(apart))
+            most = max(found, most)
+            if found <= most // 50:
+                break
+        look(self.plausible(self.far_apart(apart).join(done.select("a", "b"), ["a", "b"], "left_anti")).select("a", "b"))
         return linked
 
 
