@@ -5,13 +5,12 @@ vector is its n-gram counts times IDF, divided by their sum. IDF comes from the
 document counts of all training documents. Weights are fitted with
 follow-the-regularised-leader and elastic-net penalties on a bounded sample and
 are then divided by a temperature that is fitted on a part kept out of it.
-Because counts add up, a whole text is scored with one lookup a word.
+The n-grams of a whole text are hashed together, by array operations.
 """
 
 from __future__ import annotations
 
 import math
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -21,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LETTERS, Memo, id_mod, slim, table
+from .common import LETTERS, id_mod, slim, table
 from .ftrl import Ftrl
 
 UNDETERMINED = "und"
@@ -52,10 +51,16 @@ class LanguageModel:
     settings: LanguageSettings
 
 
-def gram_ids(word: str, s: LanguageSettings) -> np.ndarray:
-    """Hashed ids of the character n-grams of ``<word>``, with repeats."""
-    padded, mask = f"<{word}>", (1 << s.bits) - 1
-    return np.array([zlib.crc32(padded[i : i + n].encode()) & mask for n in range(1, s.longest + 1) for i in range(len(padded) - n + 1)], np.int32)
+def gram_ids(words: list[str], s: LanguageSettings) -> np.ndarray:
+    """Hashed ids of the character n-grams of each ``<word>``, with repeats, all words at once."""
+    chars = np.frombuffer(("<" + "><".join(words) + ">").encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    word = np.cumsum(chars == ord("<"))
+    h, out = np.zeros(len(chars) + 1, np.uint64), []
+    for n in range(1, s.longest + 1):
+        h = h[:-1] * np.uint64(0x100000001B3) + chars[n - 1 :]
+        mixed = ((h ^ (h >> np.uint64(29))) + np.uint64(n)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - s.bits)
+        out.append(mixed[word[: len(h)] == word[n - 1 :]])  # not over the border of two words
+    return np.concatenate(out).astype(np.int64)
 
 
 def _words(text: str | None) -> list[str]:
@@ -69,15 +74,21 @@ def _document_counts(s: LanguageSettings):
     """Of each task: in how many documents a gram is, and the documents of each language."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, df, langs = Memo(lambda w: np.unique(gram_ids(w, s))), np.zeros(1 << s.bits, np.int64), Counter()
+        langs = Counter()
+        df, some, n = np.zeros(1 << s.bits, np.int64), np.zeros(1 << s.bits, np.uint16), 0
         for batch in batches:
             for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist(), strict=True):
-                words = set(_words(text))
+                words = _words(text)
                 if words:
-                    here = np.zeros(1 << s.bits, bool)
-                    here[np.concatenate([ids[w] for w in words])] = True
-                    df += here
+                    here = np.zeros(1 << s.bits, np.uint8)
+                    here[gram_ids(words, s)] = 1
+                    some += here
                     langs[lang] += 1
+                    n += 1
+                    if n % 60_000 == 0:  # before the small counters overflow
+                        df += some
+                        some[:] = 0
+        df += some
         got = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(got, pa.int32()), pa.array(df[got]), pa.nulls(len(got), pa.string()), pa.nulls(len(got), pa.int64())], schema=_COUNTS)
         if langs:
@@ -91,14 +102,12 @@ _BAGS = pa.schema([("lang", pa.string()), ("grams", pa.list_(pa.int32())), ("n",
 
 def _bags(s: LanguageSettings):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = Memo(lambda w: gram_ids(w, s))
         for batch in batches:
             cols: dict[str, list] = {f.name: [] for f in _BAGS}
             for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist(), strict=True):
-                words = Counter(_words(text))
+                words = _words(text)
                 if words:
-                    parts = [ids[w] for w in words]
-                    n = np.bincount(np.concatenate(parts), np.repeat(list(words.values()), [len(p) for p in parts]))
+                    n = np.bincount(gram_ids(words, s))
                     got = np.flatnonzero(n)
                     cols["lang"].append(lang)
                     cols["grams"].append(got.astype(np.int32))
@@ -181,31 +190,18 @@ def predict_language(docs: DataFrame, model: LanguageModel, id_col: str = "doc_i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
         k = len(m.classes)
-        weighted = m.idf[:, None] * m.weights
-
-        def make(word: str) -> int:
-            g = gram_ids(word, m.settings)
-            rows.append(np.append(weighted[g].sum(axis=0), m.idf[g].sum()))
-            return len(rows) - 1
-
-        rows: list[np.ndarray] = []
-        at: dict[str, int] = {}
+        sums_of = np.column_stack([m.idf[:, None] * m.weights, m.idf])  # of a gram: its weighted IDF by language, and its IDF
         for batch in batches:
             preds, scores = [], []
             for text in batch.column("text").to_pylist():
-                words = Counter(_words(text))
-                if not words or not k:
+                words = _words(text)
+                if not k or not any(c.isalpha() for w in words for c in w):
                     preds.append(UNDETERMINED)
                     scores.append(0.0)
                     continue
-                if len(at) > 300_000:
-                    at.clear()
-                    rows.clear()
-                sums = np.zeros(k + 1)
-                for word in sorted(words):
-                    if word not in at:
-                        at[word] = make(word)
-                    sums += rows[at[word]] * words[word]
+                n = np.bincount(gram_ids(words, m.settings))
+                got = np.flatnonzero(n)
+                sums = n[got] @ sums_of[got]
                 p = _softmax((sums[:k] * (m.settings.scale / sums[k]) + m.bias) / m.temperature)
                 best = int(np.argmax(p))
                 preds.append(m.classes[best])
