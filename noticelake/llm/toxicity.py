@@ -11,6 +11,7 @@ moves a score little, whatever the labels say on average.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 import zlib
@@ -119,8 +120,8 @@ def _fit(examples: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]], s: Toxi
     """One FTRL pass an epoch; the bias is the feature after the last hashed one."""
     dim = 1 << s.bits
     ftrl, rng = Ftrl(dim + 1, 1, s.alpha, 1.0, s.l1, s.l2), np.random.default_rng(0)
-    ready = []
-    for y, own, gone, came in examples:
+    ready = examples  # turned in place into small arrays, since they are all that is large here
+    for k, (y, own, gone, came) in enumerate(examples):
         rows, x = _counted(own)
         moved, d = _counted(np.concatenate([gone, came]))
         if len(moved):
@@ -129,7 +130,7 @@ def _fit(examples: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]], s: Toxi
             d[np.searchsorted(moved, away)] += 2 * dx  # +1 for each word that went, -1 for each that came
             keep = d != 0
             moved, d = moved[keep], d[keep]
-        ready.append((y, np.append(rows, dim), np.append(x, 1.0), moved, d))
+        ready[k] = (y, np.append(rows, dim).astype(np.int32), np.append(x, 1.0).astype(np.float32), moved, d)
     for _ in range(s.epochs):
         for k in rng.permutation(len(ready)):
             y, rows, x, moved, d = ready[k]
@@ -166,8 +167,8 @@ def fit_toxicity(labelled: DataFrame, settings: ToxicitySettings = ToxicitySetti
             key = (y, ids.tobytes())
             if key not in seen:
                 seen.add(key)
-                examples.append((int(y > 0), ids, gone[k].values.to_numpy(), came[k].values.to_numpy()))
-    examples.sort(key=lambda e: (e[1].tobytes(), e[0]))  # the order of tasks must not matter
+                examples.append((int(y > 0), ids.copy(), gone[k].values.to_numpy().copy(), came[k].values.to_numpy().copy()))
+    examples.sort(key=lambda e: (e[1][:64].tobytes(), hashlib.blake2b(e[1].tobytes(), digest_size=16).digest(), e[0]))  # the order of tasks must not matter
     return _fit(examples, settings)
 
 
