@@ -11,16 +11,14 @@ from ..functions.text import tokens
 from .ranking import top_rows
 
 
-def token_overlap(left: DataFrame, right: DataFrame, left_id: str, right_id: str, left_text: str, right_text: str, least_shared: int, least_length: int = 3, most_rows_a_token: int | None = None) -> DataFrame:
+def token_overlap(left: DataFrame, right: DataFrame, left_id: str, right_id: str, left_text: str, right_text: str, least_shared: int, least_length: int = 3) -> DataFrame:
     """Pairs that share at least ``least_shared`` different tokens: ``left_id, right_id, shared``.
 
-    Pairs come from tokens alone; ``most_rows_a_token`` leaves out the tokens of
-    more right rows, as stop words do, and must be chosen with the data in mind.
+    Every token counts, however many rows hold it. A frequent token's rows are
+    dealt out by the adaptive skew join, and counts are summed before the shuffle.
     """
     a = left.select(F.col(left_id), F.explode(tokens(F.col(left_text), least_length)).alias("token"))
     b = right.select(F.col(right_id), F.explode(tokens(F.col(right_text), least_length)).alias("token"))
-    if most_rows_a_token is not None:
-        b = b.join(b.groupBy("token").count().where(F.col("count") <= most_rows_a_token).select("token"), "token", "left_semi")
     return a.join(b, "token").groupBy(left_id, right_id).agg(F.count("*").alias("shared")).where(F.col("shared") >= least_shared)
 
 

@@ -242,7 +242,7 @@ _WORDS_SQL = "list_distinct(regexp_extract_all(lower({0}), '[\\p{{L}}\\p{{N}}_]{
 @query(f"WITH b AS (SELECT item_id, unnest({_WORDS_SQL.format('text')}) AS w FROM benchmark), c AS (SELECT conv_id * 1000 + turn AS turn_id, unnest({_WORDS_SQL.format('text')}) AS w FROM conversations), f AS (SELECT w FROM c GROUP BY w HAVING count(*) <= 200) SELECT item_id, turn_id, count(*) AS shared FROM b JOIN c USING (w) WHERE w IN (SELECT w FROM f) GROUP BY 1, 2 HAVING count(*) >= 4")
 def token_overlap_join(spark, sf_dir):
     turns = read(spark, sf_dir, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("turn_id"), "text")
-    return linkage.token_overlap(read(spark, sf_dir, "benchmark"), turns, "item_id", "turn_id", "text", "text", 4, 4, 200)
+    return linkage.token_overlap(read(spark, sf_dir, "benchmark"), turns, "item_id", "turn_id", "text", "text", 4, 4)
 
 
 @query("""WITH l AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem), p AS (

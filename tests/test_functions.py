@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from noticelake.functions import annotate, extract, text
 from noticelake.operators import linkage, merge, ranking, resolve, rules
+from noticelake.plans import tables
 
 
 def one(spark, value, make, kind="string"):
@@ -113,3 +114,16 @@ def test_nested_resolution(spark):
     assert df.select(resolve.first_positive_amount(F.col("top"), F.col("lots"), F.col("step"))).first()[0] == 5.0
     slots = resolve.vehicle_slots([(F.lit("low"), F.lit(None).cast("int")), (F.lit(""), F.lit(2)), (F.lit("tank"), F.lit(1))], F.lit(9))
     assert [tuple(x) for x in df.select(slots).first()[0]] == [("low", 9)]
+
+
+def test_token_overlap_counts_frequent_tokens(spark):
+    items = spark.createDataFrame([(1, "alpha bravo charlie delta"), (2, "alpha bravo charlie other")], "item int, text string")
+    turns = spark.createDataFrame([(k, f"alpha bravo charlie delta word{k}") for k in range(500)] + [(500, "alpha bravo charlie")], "turn int, text string")
+    got = {(r.item, r.turn, r.shared) for r in linkage.token_overlap(items, turns, "item", "turn", "text", "text", 4, 4).collect()}
+    assert got == {(1, k, 4) for k in range(500)}
+
+
+def test_token_overlap_query_has_no_cap(spark, tmp_path):
+    spark.createDataFrame([(1, "alpha bravo charlie delta")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(k, 0, "alpha bravo charlie delta") for k in range(500)], "conv_id long, turn long, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    assert tables.token_overlap_join(spark, str(tmp_path)).count() == 500
