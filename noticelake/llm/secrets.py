@@ -4,7 +4,9 @@ Random strings cost a byte-pair vocabulary many tokens: a run of credential
 characters with fewer characters a token than ``lowest_ratio`` is a span of kind
 ``random``, unless it is a known digest or identifier (a hexadecimal digest of
 MD5, SHA-1, SHA-2 length, a UUID, a URL's or mail address's part, digits alone)
-or a base pattern already has it.
+or a base pattern already has it. A full stop or ``@`` ends a run, so the parts
+of ``a.b.c`` are tested one by one; URLs are known by ``scheme://`` and
+addresses by ``@domain.tld``.
 """
 
 from __future__ import annotations
@@ -29,6 +31,7 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")  # the maximal runs of [0-9a-f]+ with 24 or more
 _DIGEST = re.compile(r"[0-9a-fA-F]+")
 _DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)
+_PLACE = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*://[A-Za-z0-9+/_=-]*[.@][A-Za-z0-9+/_=.@-]*|[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _UUID = re.compile(r"[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}")
 
 
@@ -41,7 +44,7 @@ class SecretSettings:
     lowest_ratio: float = 2.0
 
     def candidate(self) -> re.Pattern:
-        return re.compile(rf"(?<![A-Za-z0-9+/_=.@-])[A-Za-z0-9+/_=-]{{{self.shortest},}}(?![A-Za-z0-9+/_=.@-])")
+        return re.compile(rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{self.shortest},}}")
 
 
 def _encoding(path: str | None):
@@ -59,12 +62,12 @@ class SecretFinder:
     def __init__(self, settings: SecretSettings = SecretSettings()):
         self.settings, self.candidate = settings, settings.candidate()
         encoding = _encoding(settings.vocabulary)
-        self.random = Memo(lambda s: self._mixed(s) and len(s) < settings.lowest_ratio * len(encoding.encode_ordinary(s)), 50_000)
+        self.random = Memo(lambda s: self._lettered(s) and len(s) < settings.lowest_ratio * len(encoding.encode_ordinary(s)), 50_000)
 
     @staticmethod
-    def _mixed(s: str) -> bool:
-        """Letters and digits both, and neither a digest nor an identifier of a known form."""
-        if not any(c.isdigit() for c in s) or not any(c.isalpha() for c in s):
+    def _lettered(s: str) -> bool:
+        """With a letter, and neither a digest nor an identifier of a known form."""
+        if not any(c.isalpha() for c in s):
             return False
         return not (_UUID.fullmatch(s) or len(s) in _DIGEST_LENGTHS and _DIGEST.fullmatch(s))
 
@@ -80,10 +83,14 @@ class SecretFinder:
             return [], []
         base = self.base(text)
         more = []
+        places = None
         for m in self.candidate.finditer(text):
             a, b = m.span()
             if self.random[m[0]] and not any(x < b and a < y for _, x, y in base):
-                more.append(("random", a, b))
+                if places is None:
+                    places = [p.span() for p in _PLACE.finditer(text)] if "@" in text or "://" in text else []
+                if not any(x < b and a < y for x, y in places):
+                    more.append(("random", a, b))
         return base, sorted(base + more, key=_order)
 
 

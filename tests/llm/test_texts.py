@@ -178,3 +178,19 @@ def test_word_tokenizer_equals_the_library_on_odd_texts():
     alphabet = "abzÄÖßéñŽſǅ09²½_-!?'’\n\t  \x1c\x85«»ªº"
     for text in ["I'll they've 'S we're", "x__y²³4½", "<|endoftext|> a", *("".join(rng.choices(alphabet, k=40)) for _ in range(400))]:
         assert np.frombuffer(mine.ids(text), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+@pytest.mark.parametrize(
+    ("text", "found"),
+    [
+        ("Use 9fQ2xK7vLp3RtZ8mWc1YbN4d.", ["9fQ2xK7vLp3RtZ8mWc1YbN4d"]),
+        ("jwt eyJhbGciOiJIUzI1NiIsInR5cCI6IkpXVCJ9.eyJzdWIiOiIxMjM0NTY3ODkwIiwibmFtZSI6IkpvaG4ifQ.SflKxwRJSMeKKF2QT4fwpMeJf36POk6yJV_adQssw5c", ["eyJhbGciOiJIUzI1NiIsInR5cCI6IkpXVCJ9", "eyJzdWIiOiIxMjM0NTY3ODkwIiwibmFtZSI6IkpvaG4ifQ", "SflKxwRJSMeKKF2QT4fwpMeJf36POk6yJV_adQssw5c"]),
+        ("only letters QwXzKvBnMpLrTgHjYcDsFaZe", ["QwXzKvBnMpLrTgHjYcDsFaZe"]),
+        ("handle @9fQ2xK7vLp3RtZ8mWc1YbN4d", ["9fQ2xK7vLp3RtZ8mWc1YbN4d"]),
+        ("https://host.com/9fQ2xK7vLp3RtZ8mWc1YbN4d and 9fQ2xK7vLp3RtZ8mWc1YbN4d@host.com", []),
+        ("Donaudampfschifffahrtsgesellschaft and internationalization-of-standards.", []),
+        ("12345678901234567890123456.", []),
+    ],
+)
+def test_random_strings_beside_stops(text, found):
+    assert [text[a:b] for k, a, b in secrets.SecretFinder().find(text)[1] if k == "random"] == found
