@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import tokens
+from ..functions.text import nonempty, tokens
 from .ranking import top_rows
 
 
@@ -27,11 +27,43 @@ def best_match(pairs: DataFrame, left_id: str, right_id: str, score: str, least:
     return top_rows(pairs.where(F.col(score) >= least), [left_id], [F.desc(score), F.col(right_id)], 1).drop("rank")
 
 
+def shared_counts(left: DataFrame, right: DataFrame, features: Sequence[str], block: str, left_id: str, right_id: str, left_date: str, right_date: str, most_days: int) -> DataFrame:
+    """Pairs that share an element of a feature: ``left_id, right_id`` and, by feature, how many they share.
+
+    Features are array columns of both sides. Blocks must be equal and dates
+    within ``most_days`` only where both sides have one: rows without meet all.
+    A row that has a block is met by its block's key and, where the other side
+    has none, by ``-``; a left row without one meets the ``*`` of every right
+    row. Buckets of days likewise, so each pair meets by one key. Ids are distinct.
+    """
+    width = F.lit(max(1, most_days))
+
+    def rows(df: DataFrame, own: str, date: str, day: str, is_left: bool) -> DataFrame:
+        place, bucket = nonempty(F.col(block).cast("string")), F.floor(F.unix_date(F.to_date(date)) / width).cast("long")
+        meets = lambda c, steps=(0,): F.when(c.isNull(), F.array(F.lit("*")) if is_left else F.array(F.lit("-"), F.lit("*"))).otherwise(F.array(*(F.concat(F.lit("="), (c + k if k else c).cast("string")) for k in steps), F.lit("-") if is_left else F.lit("*")))
+        named = lambda k: lambda t: F.struct(F.lit(k).alias("k"), t.alias("t"))
+        held = F.concat(*(F.coalesce(F.transform(F.array_distinct(f), named(k)), F.array().cast("array<struct<k:int,t:string>>")) for k, f in enumerate(features)))
+        out = df.select(F.col(own), F.to_date(date).alias(day), meets(place).alias("_block"), meets(bucket, (-1, 0, 1) if is_left else (0,)).alias("_bucket"), F.explode(held).alias("_held"))
+        return out.withColumn("_block", F.explode("_block")).withColumn("_bucket", F.explode("_bucket"))
+
+    a, b = rows(left, left_id, left_date, "_day", True), rows(right, right_id, right_date, "_other", False)
+    days = F.coalesce(F.abs(F.datediff("_day", "_other")), F.lit(0))
+    near = a.join(b, ["_held", "_block", "_bucket"]).where((days <= most_days) & (F.col(left_id) != F.col(right_id)))
+    return near.groupBy(left_id, right_id).agg(*(F.count_if(F.col("_held.k") == k).alias(f) for k, f in enumerate(features)))
+
+
+def scored_candidates(pairs: DataFrame, weights: Mapping[str, float], left_id: str, right_id: str, n: int) -> DataFrame:
+    """The ``n`` best right rows of each left one by weighted counts above 0: ``left_id, right_id, score, rank``, the smaller id of equals first."""
+    score = F.round(sum((F.col(f) * F.lit(w) for f, w in weights.items()), F.lit(0.0)), 6)
+    return top_rows(pairs.select(left_id, right_id, score.alias("score")).where("score > 0"), [left_id], [F.desc("score"), F.col(right_id)], n)
+
+
 def range_candidates(left: DataFrame, right: DataFrame, block: str, left_id: str, right_id: str, left_date: str, right_date: str, most_days: int, n: int) -> DataFrame:
     """For each left row the ``n`` nearest right rows of its block within ``most_days``: ``left_id, right_id, days, rank``.
 
     Days are cut into buckets as wide as the range, so a row meets three buckets
-    of its block and not the whole block. Rows without a date or block meet none.
+    of its block and not the whole block. Rows without a date or block meet none;
+    ``shared_counts`` with ``scored_candidates`` lets them meet and ranks by score.
     """
     width = F.lit(max(1, most_days))
     bucket = lambda c: F.floor(F.unix_date(F.to_date(c)) / width).cast("long")

@@ -236,6 +236,39 @@ def candidate_topk_range(spark, sf_dir):
     return linkage.range_candidates(a, b, "o_custkey", "order_id", "other_id", "d1", "d2", 120, 5)
 
 
+_OFFER_NOISE, _OFFER_GOODS = ("new", "old"), ("anvil", "bolt", "gear", "gizmo", "plate", "ring", "rod", "widget")
+_TOKENS_SQL = "list_distinct(regexp_extract_all(lower({0}), '[\\p{{L}}\\p{{N}}_]{{3,}}'))"
+_OFFERS_SQL = f"""WITH t AS (SELECT l_orderkey AS id, list_distinct(flatten(list({_TOKENS_SQL.format("p_name")}))) AS w, list_distinct(list(left(p_type, 5))) AS codes FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1),
+ o AS (SELECT o_orderkey AS id, o_custkey AS b, CAST(o_orderdate AS DATE) AS d, o_orderstatus AS s, {_TOKENS_SQL.format("o_orderpriority")} AS authority, coalesce(list_filter(w, lambda x: x NOT IN {_OFFER_NOISE}), []) AS title, coalesce(list_filter(w, lambda x: x IN {_OFFER_GOODS}), []) AS goods, coalesce(codes, []) AS codes FROM orders LEFT JOIN t ON id = o_orderkey),
+ x AS (SELECT * FROM o WHERE s = 'O'), y AS (SELECT * FROM o WHERE s IN ('F', 'P')),
+ xy AS (SELECT x.*, y.id AS other, y.d AS e, y.s AS other_s, y.authority AS a2, y.title AS t2, y.goods AS g2, y.codes AS c2 FROM x JOIN y ON x.b = y.b UNION ALL SELECT x.*, y.id, y.d, y.s, y.authority, y.title, y.goods, y.codes FROM x, y WHERE x.b IS NULL UNION ALL SELECT x.*, y.id, y.d, y.s, y.authority, y.title, y.goods, y.codes FROM x, y WHERE x.b IS NOT NULL AND y.b IS NULL),
+ m AS (SELECT id, other, other_s, len(list_intersect(authority, a2)) AS na, len(list_intersect(title, t2)) AS nt, len(list_intersect(goods, g2)) AS ng, len(list_intersect(codes, c2)) AS nc FROM xy WHERE coalesce(abs(date_diff('day', d, e)) <= 365, TRUE))"""
+
+
+def _offers(spark, sf_dir):
+    """Orders as notices: still open ones, and decided ones within a year of the same customer, with what they share."""
+    words = T.tokens(F.col("p_name"))
+    lines = read(spark, sf_dir, "lineitem").join(read(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")).groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.array_distinct(F.flatten(F.collect_set(words))).alias("w"), F.collect_set(F.left("p_type", F.lit(5))).alias("codes"))
+    within = lambda terms: F.array(*(F.lit(t) for t in terms))
+    o = read(spark, sf_dir, "orders").join(lines, "o_orderkey", "left").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", T.tokens(F.col("o_orderpriority")).alias("authority"), F.array_except("w", within(_OFFER_NOISE)).alias("title"), F.array_intersect("w", within(_OFFER_GOODS)).alias("goods"), "codes")
+    return o.where("o_orderstatus = 'O'").withColumnsRenamed({"o_orderkey": "order_id", "o_orderdate": "d1"}), o.where("o_orderstatus IN ('F', 'P')").withColumnsRenamed({"o_orderkey": "other_id", "o_orderdate": "d2"})
+
+
+@query(_OFFERS_SQL + " SELECT id AS order_id, other AS other_id, score, CAST(r AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, other) AS r FROM (SELECT id, other, round(na * 1.0::DOUBLE + nt * 0.6::DOUBLE + nc * 0.7::DOUBLE, 6) AS score FROM m) WHERE score > 0) WHERE r <= 5")
+def award_candidates(spark, sf_dir):
+    open_, decided = _offers(spark, sf_dir)
+    pairs = linkage.shared_counts(open_, decided, ["authority", "title", "codes"], "o_custkey", "order_id", "other_id", "d1", "d2", 365)
+    return linkage.scored_candidates(pairs, {"authority": 1.0, "title": 0.6, "codes": 0.7}, "order_id", "other_id", 5)
+
+
+@query(_OFFERS_SQL + " SELECT id AS order_id, other AS other_id, score FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, other) AS r FROM (SELECT id, other, nc * 2 + least(na * 0.5::DOUBLE, 3.0) + ng AS score FROM m WHERE other_s = 'F') WHERE score >= 1) WHERE r = 1")
+def award_best_match(spark, sf_dir):
+    open_, decided = _offers(spark, sf_dir)
+    pairs = linkage.shared_counts(open_, decided.where("o_orderstatus = 'F'"), ["codes", "authority", "goods"], "o_custkey", "order_id", "other_id", "d1", "d2", 365)
+    scored_pairs = pairs.select("order_id", "other_id", linkage.match_score(F.col("codes"), F.col("authority"), F.col("goods")).alias("score"))
+    return linkage.best_match(scored_pairs, "order_id", "other_id", "score", 1.0)
+
+
 _WORDS_SQL = "list_distinct(regexp_extract_all(lower({0}), '[\\p{{L}}\\p{{N}}_]{{4,}}'))"
 
 

@@ -127,3 +127,19 @@ def test_token_overlap_query_has_no_cap(spark, tmp_path):
     spark.createDataFrame([(1, "alpha bravo charlie delta")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     spark.createDataFrame([(k, 0, "alpha bravo charlie delta") for k in range(500)], "conv_id long, turn long, text string").write.parquet(f"{tmp_path}/conversations.parquet")
     assert tables.token_overlap_join(spark, str(tmp_path)).count() == 500
+
+
+def test_scored_candidates_equal_all_pairs_with_nulls(spark):
+    day = datetime.date(2024, 1, 1)
+    rows = [(k, (None, "x", "y", "")[k % 4], None if k % 5 == 0 else day + datetime.timedelta(days=(k * 37) % 200), [f"a{k % 3}", f"a{k % 7}"], None if k % 11 == 0 else [f"c{k % 4}"]) for k in range(60)]
+    df = spark.createDataFrame(rows, "id int, b string, d date, words array<string>, codes array<string>")
+    other = df.withColumnsRenamed({"id": "other", "d": "e"})
+    pairs = linkage.shared_counts(df, other, ["words", "codes"], "b", "id", "other", "d", "e", 20)
+    got = sorted((r.id, r.rank, r.other, r.score) for r in linkage.scored_candidates(pairs, {"words": 1.0, "codes": 0.7}, "id", "other", 5).collect())
+    want = []
+    for x in rows:
+        met = [y for y in rows if y[0] != x[0] and (not x[1] or not y[1] or x[1] == y[1]) and (not x[2] or not y[2] or abs((x[2] - y[2]).days) <= 20)]
+        scores = [(round(len(set(x[3]) & set(y[3])) * 1.0 + len(set(x[4] or ()) & set(y[4] or ())) * 0.7, 6), y[0]) for y in met]
+        best = sorted((-s, i) for s, i in scores if s > 0)[:5]
+        want += [(x[0], k, i, -s) for k, (s, i) in enumerate(best, 1)]
+    assert got == sorted(want) and any(not x[1] for x in rows for g in got if g[0] == x[0]) and any(x[2] is None for x in rows for g in got if g[0] == x[0])
