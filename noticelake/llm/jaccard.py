@@ -3,15 +3,17 @@
 A document is its set of distinct word shingles. Two sets with similarity t or
 more share a token among the first ``n - ceil(t n) + 1`` of each, whatever
 order all tokens are put in, as long as it is one order for all. The first
-order puts tokens that repeat often last and is joined on; pairs that it offers
-must then share such prefix tokens under further orders too, and only pairs that
-pass all are compared in full.
-
-No group is expanded into pairs. Equal sets are one class from the start. Then
-in a few turns each set is compared with the nearest, by a sketch, of some sets
-of other clusters that share its prefix tokens, which joins near copies in
-linear work; all sets that are still apart after that meet each other in the
-last pass, which makes the links complete.
+order puts tokens that repeat often last. Its prefixes are joined on (token,
+band of lengths), where places in both sets must leave room for enough shared
+tokens: the smaller set of a pair needs only its first ``n - ceil(2 t n / (1 + t)) + 1``
+tokens there. The pairs must then share prefix tokens under each further
+order too, and only sets of pairs that pass all are compared in full.
+
+No group is expanded into pairs. Equal sets are one class from the start. Sets
+that share first tokens under two further orders at least are compared with one
+centre a token, which joins groups of near copies in linear work. After that
+all sets that are still in different clusters meet, which makes the links
+complete.
 
 The exactness rests on 64-bit hashes: of shingles within a compared pair, and
 of sets (a second hash tells if two different sets ever meet there).
@@ -20,9 +22,11 @@ of sets (a second hash tells if two different sets ever meet there).
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import lru_cache, reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
@@ -41,22 +45,24 @@ _MULTIPLIERS = tuple(np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB
 class JaccardSettings:
     """``percent`` is the similarity; ``orders`` counts the token orders, the joined one included.
 
-    ``frequent_in_batch``: a shingle in so many sets of one batch of rows is
-    counted as frequent; ``most_frequent`` bounds the table of frequent
-    shingles, which only changes the first order, never the result.
-    ``most_broadcast`` bounds the ids that are sent to all executors; more are
-    joined by a shuffle. ``most_turns`` only saves work: after them all pairs of
-    sets that are still apart are looked at.
+    ``frequent_in_block``: a shingle in so many distinct sets of a block (sets of
+    one task, ``block_tokens`` shingles at least where it has them) is counted as
+    frequent; ``most_frequent`` bounds the table of frequent shingles. Both only
+    change the first order, never the result. ``most_broadcast`` bounds the ids
+    that are sent to all executors; more are joined by a shuffle. ``leads`` is
+    the number of orders whose first tokens join near copies, which only saves
+    work: all pairs of sets that are still apart are looked at.
     """
 
     width: int = 5
     percent: int = 80
     orders: int = 3
-    frequent_in_batch: int = 3
+    frequent_in_block: int = 3
+    block_tokens: int = 1 << 21
     most_frequent: int = 1 << 19
     most_broadcast: int = 1_000_000
     sketch_words: int = 8
-    most_turns: int = 4
+    leads: int = 8
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -126,63 +132,88 @@ def order_key(tokens: np.ndarray, order: int) -> np.ndarray:
     return _mix(tokens * _MULTIPLIERS[1] + np.uint64(order))
 
 
-def prefix_under(tokens: np.ndarray, order: int, percent: int) -> np.ndarray:
-    """The prefix under one of the further orders, each a permutation of all 64-bit tokens."""
+def prefix_keys(tokens: np.ndarray, order: int, percent: int) -> np.ndarray:
+    """The prefix under one of the further orders, each a permutation of all 64-bit tokens, as 32 bits of each key."""
     p, key = prefix_size(len(tokens), percent), order_key(tokens, order)
-    return tokens[np.argpartition(key, p - 1)[:p]] if p < len(tokens) else tokens
+    return ((np.partition(key, p - 1)[:p] if p < len(key) else key) & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
 
 
 def sketch(tokens: np.ndarray, words: int) -> np.ndarray:
-    """A bit for each hashed token: bits that only one set has are tokens that only it has."""
-    bits = np.zeros(64 * words, np.uint8)
-    bits[(tokens >> np.uint64(20)) % np.uint64(64 * words)] = 1
-    return np.packbits(bits, bitorder="little").view("<i8")
+    """The parity of the hashed tokens at each bit: bits that differ between two sets are tokens that only one has."""
+    parity = np.bincount((tokens >> np.uint64(20)).astype(np.int64) % (64 * words), minlength=64 * words) & 1
+    return np.packbits(parity.astype(np.uint8), bitorder="little").view("<i8")
+
+
+def lead_tokens(tokens: np.ndarray, leads: int) -> np.ndarray:
+    """The first token under each of some further orders; none of an empty set."""
+    return np.array([tokens[order_key(tokens, k + 1).argmin()] for k in range(leads)] if len(tokens) else [], np.uint64).view(np.int64)
+
 
+def _lists(parts: list[np.ndarray], kind: type) -> pa.ListArray:
+    offsets = np.concatenate([[0], np.cumsum([len(p) for p in parts], dtype=np.int64)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*parts, np.empty(0, kind)]).astype(kind, copy=False)))
 
-_SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("set_id", pa.int64()), ("check", pa.int64()), ("bits", pa.list_(pa.int64())), ("token", pa.int64()), ("count", pa.int64())])
-_SETS_SQL = "doc_id long, n long, set_id long, check long, bits array<long>, token long, count long"
+
+_SETS = pa.schema([*((c, pa.int64()) for c in ("doc_id", "key", "n", "set_id", "check")), ("bits", pa.list_(pa.int64())), ("leads", pa.list_(pa.int64())), ("token", pa.int64()), ("count", pa.int64())])
+_SETS_SQL = "doc_id long, key long, n long, set_id long, check long, bits array<long>, leads array<long>, token long, count long"
+
+
+def _often(distinct: dict[int, np.ndarray], least: int) -> Iterator[pa.RecordBatch]:
+    """The shingles that are in ``least`` of the distinct sets or more."""
+    tokens = np.sort(np.concatenate([*distinct.values(), np.empty(0, np.uint64)]))
+    edge = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1], [True]])) if len(tokens) else np.zeros(1, int)
+    n = np.diff(edge)
+    many = n >= least
+    if many.any():
+        rows = int(many.sum())
+        yield pa.RecordBatch.from_arrays([*(pa.nulls(rows, f.type) for f in list(_SETS)[:7]), pa.array(tokens[edge[:-1][many]].view(np.int64)), pa.array(n[many])], schema=_SETS)
 
 
 def _sets_and_counts(s: JaccardSettings):
-    """A row for each document, and for each batch the shingles that are in many of its sets."""
+    """A row for each document, and for each block the shingles that are in many of its sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = shingler(s.width)
+        distinct: dict[int, np.ndarray] = {}
+        held = 0
         for batch in batches:
-            ids, sizes, ones, twos, bits = [], [], [], [], []
-            distinct: dict[int, np.ndarray] = {}
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            sizes, ones, twos, bits, leads = [], [], [], [], []
+            made: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+            for text in batch.column("text").to_pylist():
                 tokens = shingles(text)
                 one, two = set_hashes(tokens)
-                for out, value in ((ids, doc), (sizes, len(tokens)), (ones, one), (twos, two), (bits, sketch(tokens, s.sketch_words))):
+                if one not in made:
+                    made[one] = sketch(tokens, s.sketch_words), lead_tokens(tokens, s.leads)
+                if one not in distinct:
+                    distinct[one] = tokens
+                    held += len(tokens)
+                for out, value in ((sizes, len(tokens)), (ones, one), (twos, two), (bits, made[one][0]), (leads, made[one][1])):
                     out.append(value)
-                distinct[one] = tokens
-            rows = len(ids)
-            if rows:
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * s.sketch_words), pa.array(np.concatenate(bits)))
-                yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in (ids, sizes, ones, twos)), lists, pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.int64())], schema=_SETS)
-            tokens = np.sort(np.concatenate([*distinct.values(), np.empty(0, np.uint64)]))
-            edge = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1], [True]])) if len(tokens) else np.zeros(1, int)
-            n = np.diff(edge)
-            many = n >= s.frequent_in_batch
-            if many.any():
-                rows = int(many.sum())
-                yield pa.RecordBatch.from_arrays([*(pa.nulls(rows, f.type) for f in list(_SETS)[:5]), pa.array(tokens[edge[:-1][many]].view(np.int64)), pa.array(n[many])], schema=_SETS)
+                if held > s.block_tokens:
+                    yield from _often(distinct, s.frequent_in_block)
+                    distinct, held = {}, 0
+            if rows := len(sizes):
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), *(pa.array(c, pa.int64()) for c in (sizes, ones, twos)), _lists(bits, np.int64), _lists(leads, np.int64), pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.int64())], schema=_SETS)
+        yield from _often(distinct, s.frequent_in_block)
 
     return run
 
 
-_POSTINGS = pa.schema([("token", pa.int64()), ("set_id", pa.int64()), ("n", pa.int32()), ("at", pa.int32())])
+_POSTINGS = pa.schema([("token", pa.int64()), ("part", pa.int32()), ("set_id", pa.int64()), ("n", pa.int32()), ("at", pa.int32())])
 
 
-def _postings(s: JaccardSettings, sent):
-    """Prefix tokens under the first order: frequent shingles last, by how frequent, the others by a hash."""
+def _postings(s: JaccardSettings, sent, rows_a_part: int = 5000):
+    """Prefix tokens under the first order: frequent shingles last, by how frequent, the others by a hash.
+
+    ``part`` is 0 for a token that is not in the table of frequent ones; rows of
+    one that is are dealt into parts from 1 on, so that no group is large.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, (frequent, rank) = shingler(s.width), sent.value
         done: set[int] = set()
         for batch in batches:
-            parts: list[tuple[np.ndarray, int, int]] = []
+            parts: list[tuple[np.ndarray, np.ndarray, int, int]] = []
             for text in batch.column("text").to_pylist():
                 tokens = shingles(text)
                 own = set_hashes(tokens)[0]
@@ -191,33 +222,31 @@ def _postings(s: JaccardSettings, sent):
                 if len(done) < 200_000:
                     done.add(own)
                 p = prefix_size(len(tokens), s.percent)
-                key = order_key(tokens, 0) >> np.uint64(20)
+                key, often = order_key(tokens, 0) >> np.uint64(20), np.zeros(len(tokens), np.uint64)
                 if len(frequent):
                     k = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
-                    key |= np.where(frequent[k] == tokens, rank[k], np.uint64(0)) << np.uint64(44)
+                    often = np.where(frequent[k] == tokens, rank[k], np.uint64(0))
+                    key |= often << np.uint64(44)
                 first = np.argsort(key, kind="stable")[:p]  # equal keys stay in order of token
-                parts.append((tokens[first], own, len(tokens)))
+                often = often[first].astype(np.int64)
+                parts.append((tokens[first], np.where(often > 0, 1 + own % (1 + often // rows_a_part), 0).astype(np.int32), own, len(tokens)))
             if parts:
-                sizes = [len(t) for t, _, _ in parts]
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([t for t, _, _ in parts]).view(np.int64)), pa.array(np.repeat(np.array([i for _, i, _ in parts], np.int64), sizes)), pa.array(np.repeat(np.array([n for _, _, n in parts], np.int32), sizes)), pa.array(np.concatenate([np.arange(k, dtype=np.int32) for k in sizes]))], schema=_POSTINGS)
+                sizes = [len(t) for t, *_ in parts]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([t for t, *_ in parts]).view(np.int64)), pa.array(np.concatenate([d for _, d, _, _ in parts])), pa.array(np.repeat(np.array([i for _, _, i, _ in parts], np.int64), sizes)), pa.array(np.repeat(np.array([n for *_, n in parts], np.int32), sizes)), pa.array(np.concatenate([np.arange(k, dtype=np.int32) for k in sizes]))], schema=_POSTINGS)
 
     return run
 
 
-def _long_enough(n: Column, m: Column, percent: int) -> Column:
-    """Sizes alone allow the similarity."""
-    return F.least(n, m) * 100 >= F.greatest(n, m) * percent
-
-
 def _least_overlap(n: Column, m: Column, percent: int) -> Column:
     return F.ceil((n + m) * percent / (100 + percent) - 1e-6)
 
 
-_TOKENS = pa.schema([("set_id", pa.int64()), ("tokens", pa.list_(pa.int64()))])
+def _bits_apart(a: Column, b: Column) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
 
 
 def _verify(s: JaccardSettings):
-    """The pairs whose prefixes meet under each further order and whose sets are similar enough."""
+    """Which pairs of whole sets are similar enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -225,28 +254,25 @@ def _verify(s: JaccardSettings):
             keep = []
             for k in range(batch.num_rows):
                 a, b = (c[k].values.to_numpy().view(np.uint64) for c in (left, right))
-                similar = all(len(np.intersect1d(prefix_under(a, o, s.percent), prefix_under(b, o, s.percent), assume_unique=True)) for o in range(1, s.orders))
-                if similar:
-                    shared = len(np.intersect1d(a, b, assume_unique=True))
-                    similar = 100 * shared >= s.percent * (len(a) + len(b) - shared)
-                keep.append(similar)
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(keep, pa.bool_())], names=["a", "b", "linked"])
+                shared = len(np.intersect1d(a, b, assume_unique=True))
+                keep.append(100 * shared >= s.percent * (len(a) + len(b) - shared))
+            yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep, pa.bool_())) for c in (batch.column("a"), batch.column("b"))], names=["a", "b"])
 
     return run
 
 
 class _Join:
-    """One run of the join over a table of documents."""
+    """One run of the join over a table ``doc_id, key, text`` of documents."""
 
     def __init__(self, docs: DataFrame, s: JaccardSettings):
         self.docs, self.s = docs, s
         self.tokens: DataFrame | None = None
         self.spark = docs.sparkSession
         both = written(docs.mapInArrow(_sets_and_counts(s), _SETS_SQL), "sets")
-        self.sets = both.where("n IS NOT NULL").select("doc_id", "n", "set_id", "check", "bits")
-        #: a row for each distinct set that is not empty
-        classes = self.sets.where("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), F.min("check").alias("check"), F.max("check").alias("other"), F.first("bits").alias("bits"), F.first("n").alias("n"))
-        self.classes = written(classes, "classes")
+        self.sets = both.where("n IS NOT NULL").select("doc_id", "n", "set_id")
+        #: a row for each distinct set that is not empty; ``doc_id, key`` are those of one of its texts
+        classes = both.where("n > 0").groupBy("set_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("one"), F.min("check").alias("check"), F.max("check").alias("other"), F.first("bits").alias("bits"), F.first("leads").alias("leads"), F.first("n").alias("n"))
+        self.classes = written(classes.select("set_id", "one.doc_id", "one.key", "check", "other", "bits", "leads", "n"), "classes")
         if self.classes.where("check <> other").limit(1).count():
             raise RuntimeError("two different sets have the same 64-bit hash; use another hash")
         top = both.where("count IS NOT NULL").groupBy("token").agg(F.sum("count").alias("count")).orderBy(F.desc("count"), "token").limit(s.most_frequent).toArrow()
@@ -255,133 +281,119 @@ class _Join:
         #: at most most_frequent pairs of numbers
         self.frequent = self.spark.sparkContext.broadcast((tokens.view(np.uint64)[order], np.minimum(counts, 2**20 - 1).astype(np.uint64)[order]))
 
-    def shared_tokens(self) -> DataFrame:
-        """Prefix tokens that at least two sets have: ``token, set_id, n, at, alone``.
+    def first_pairs(self) -> DataFrame:
+        """Each set with the centres of its first tokens, where two orders offer the same centre.
 
-        ``alone`` counts the tokens of a set's prefix that no other set's prefix
-        has: a copy with few changes of its own has few.
+        The centre of a token is the set, of those that begin with it, whose
+        first tokens are the most common ones: in a group of near copies mostly
+        the original. A set has at most ``leads`` centres.
         """
-        rows = self.docs.select("text").mapInArrow(_postings(self.s, self.frequent), "token long, set_id long, n int, at int")
-        group = Window.partitionBy("token")
+        leads = self.classes.select("set_id", F.posexplode("leads").alias("order", "lead"))
+        sizes = leads.groupBy("order", "lead").agg(F.count("*").alias("size")).where("size > 1")
+        shared = written(leads.join(sizes, ["order", "lead"]), "leads")
+        score = shared.groupBy("set_id").agg(F.sum("size").alias("score"))
+        centres = shared.join(score, "set_id").groupBy("order", "lead").agg(F.max(F.struct("score", "set_id"))["set_id"].alias("centre"))
+        pairs = shared.join(centres, ["order", "lead"]).where("centre <> set_id").select(F.least("set_id", "centre").alias("a"), F.greatest("set_id", "centre").alias("b"))
+        return pairs.groupBy("a", "b").agg(F.count("*").alias("times")).where("times > 1").select("a", "b")
+
+    def postings(self, links: DataFrame) -> DataFrame:
+        """Prefix tokens that sets of two clusters have: ``token, set_id, n, at, cluster, main, low, high``.
+
+        ``main`` marks rows of the cluster with most rows of the token; ``low`` and
+        ``high`` are a sketch of the set.
+        """
+        rows = self.docs.select("text").mapInArrow(_postings(self.s, self.frequent), "token long, part int, set_id long, n int, at int")
+        group = Window.partitionBy("token", "part")
         rows = rows.select("*", F.min("set_id").over(group).alias("least"), F.max("set_id").over(group).alias("most"))
-        rows = written(rows.where("least <> most").groupBy("token", "set_id", "n", "at").agg(F.lit(1).alias("_")).drop("_"), "shared")
-        prefix = F.col("n") - F.ceil(F.col("n") * self.s.percent / 100.0 - 1e-6) + 1
-        alone = rows.groupBy("set_id").agg((F.first(prefix) - F.count("*")).alias("alone"))
-        return rows.join(alone, "set_id")
-
-    @staticmethod
-    def distinct_pairs(rows: DataFrame, x: Column, y: Column) -> DataFrame:
-        return rows.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
-
-    def apart(self, shared: DataFrame, links: DataFrame | None) -> DataFrame:
-        """Rows of the shared tokens that sets of different clusters have, with their cluster."""
-        shared = shared.select("token", "set_id", "n", "at", "alone")
-        if links is None:
-            return written(shared.withColumn("cluster", F.col("set_id")), "apart")
-        rows = shared.join(connected_components(links), F.col("set_id") == F.col("node"), "left").withColumn("cluster", F.coalesce("component", "set_id"))
-        group = Window.partitionBy("token")
-        return written(rows.withColumns({"low": F.min("cluster").over(group), "high": F.max("cluster").over(group)}).where("low <> high").drop("low", "high", "node", "component"), "apart")
-
-    def partners(self, apart: DataFrame, turn: int, done: DataFrame | None) -> DataFrame:
-        """For each set the nearest of some sets in other clusters, by their sketches.
-
-        Of each shared token those are the set that has least of its own, the next
-        smaller one, and one by a hash of token and turn: a number that grows with
-        the rows. Pairs that were compared before are left out.
+        rows = rows.where("part > 0 OR least <> most").groupBy("token", "part", "set_id", "n", "at").agg(F.lit(1).alias("_")).select("token", "set_id", "n", "at")
+        fold = lambda odd: F.aggregate(F.transform("bits", lambda x, k: F.when(k % 2 == odd, x).otherwise(0)), F.lit(0).cast("long"), lambda x, y: x.bitwiseXOR(y))
+        info = self.classes.select("set_id", fold(0).alias("low"), fold(1).alias("high")).join(connected_components(links), F.col("set_id") == F.col("node"), "left").select("set_id", F.coalesce("component", "set_id").alias("cluster"), "low", "high")
+        rows = written(rows.join(info, "set_id"), "postings")
+        counts = rows.groupBy("token", "cluster").agg(F.count("*").alias("size"))
+        tokens = counts.groupBy("token").agg(F.count("*").alias("clusters"), F.max(F.struct("size", "cluster"))["cluster"].alias("first")).where("clusters > 1").select("token", "first")
+        return rows.join(tokens, "token").withColumn("main", F.col("cluster") == F.col("first")).drop("first")
+
+    def far_apart(self, rows: DataFrame) -> DataFrame:
+        """All pairs of sets of different clusters that share a prefix token, sizes, places and sketches allowing.
+
+        The smaller set of a pair waits at its band of lengths, the larger one
+        looks into all bands that it may find similar sets in. Two rows of a
+        token's main cluster never meet.
         """
-        group, me = Window.partitionBy("token"), F.struct("set_id", "n", "at", "cluster")
-        others = {
-            "o1": F.first(me).over(group.orderBy("alone", "n", "set_id")),
-            "o2": F.lag(me).over(group.orderBy("n", "set_id")),
-            "o3": F.lag(me).over(group.orderBy(F.xxhash64("token", "set_id", F.lit(turn)), "set_id")),
-        }
-        rows = apart.withColumns(others).select("set_id", "n", "at", "cluster", F.explode(F.array(*others)).alias("o"))
-        pairs = rows.where("o IS NOT NULL AND o.cluster <> cluster").where(_long_enough(F.col("o.n"), F.col("n"), self.s.percent)).where(self.fits("o.n", "o.at", "n", "at"))
-        pairs = self.distinct_pairs(pairs, F.col("set_id"), F.col("o.set_id"))
-        if done is not None:
-            pairs = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
-        near = self.plausible(pairs)
-        ends = near.select("a", "b", "apart", F.explode(F.array("a", "b")).alias("set_id"))
-        return ends.groupBy("set_id").agg(F.min(F.struct("apart", "a", "b")).alias("best")).select("best.a", "best.b").distinct()
-
-    def fits(self, n: str, at: str, m: str, other_at: str) -> Column:
-        """What is left of both sets from a first shared token on allows the similarity."""
-        return F.least(F.col(n) - F.col(at), F.col(m) - F.col(other_at)) >= _least_overlap(F.col(n), F.col(m), self.s.percent)
-
-    def far_apart(self, apart: DataFrame) -> DataFrame:
-        """All pairs of sets that share a token and are in different clusters, sizes and places allowing."""
-        x, y = apart.alias("x"), apart.alias("y")
-        pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.cluster") < F.col("y.cluster")) & _long_enough(F.col("x.n"), F.col("y.n"), self.s.percent) & self.fits("x.n", "x.at", "y.n", "y.at"))
-        return self.distinct_pairs(pairs, F.col("x.set_id"), F.col("y.set_id"))
+        t, of = self.s.percent, 100 + self.s.percent
+        band = lambda n: F.floor(F.log(n.cast("double")) / (0.5 * math.log(100 / t)))
+        left = F.col("n") - F.col("at")
+        small = rows.where(left >= _least_overlap(F.col("n"), F.col("n"), t)).withColumns({"band": band(F.col("n")), "side": F.col("main")})
+        most = F.least(F.col("n").cast("long"), F.floor(left * of / t + 1e-6) - F.col("n"))
+        least = F.ceil(F.col("n") * t / 100 - 1e-6)
+        sides = F.when(F.col("main"), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))
+        large = rows.withColumns({"least": least, "most": most}).where("least <= most").withColumn("band", F.explode(F.sequence(band(F.col("least")), band(F.col("most"))))).withColumn("side", F.explode(sides)).drop("least", "most")
+        x, y = large.alias("x"), small.alias("y")
+        n, m = F.col("x.n"), F.col("y.n")
+        enough = F.least(n - F.col("x.at"), m - F.col("y.at")) >= _least_overlap(n, m, t)
+        in_order = (n > m) | ((n == m) & (F.col("x.set_id") > F.col("y.set_id")))
+        apart = F.bit_count(F.col("x.low").bitwiseXOR(F.col("y.low"))) + F.bit_count(F.col("x.high").bitwiseXOR(F.col("y.high")))
+        same = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("token", "band", "side")]
+        met = x.join(y, reduce(and_, same) & (F.col("x.cluster") != F.col("y.cluster")) & in_order & (m * 100 >= n * t) & enough & (apart * of <= (n + m) * (100 - t)))
+        return met.select(F.least("x.set_id", "y.set_id").alias("a"), F.greatest("x.set_id", "y.set_id").alias("b")).distinct()
 
     def plausible(self, pairs: DataFrame) -> DataFrame:
-        """Pairs whose bits don't show too many tokens of one set alone: 9 * difference <= n + m at 80 percent."""
+        """Pairs whose sizes fit and whose bits don't show too many tokens of one set alone: 9 * difference <= n + m at 80 percent."""
+        t = self.s.percent
         a = self.classes.select(F.col("set_id").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a"))
         b = self.classes.select(F.col("set_id").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b"))
-        apart = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
-        rows = pairs.join(a, "a").join(b, "b").withColumn("apart", apart)
-        return rows.where(F.col("apart") * (100 + self.s.percent) <= (F.col("n_a") + F.col("n_b")) * (100 - self.s.percent)).select("a", "b", "apart")
+        n, m = F.col("n_a"), F.col("n_b")
+        return pairs.join(a, "a").join(b, "b").where((F.least(n, m) * 100 >= F.greatest(n, m) * t) & (_bits_apart(F.col("bits_a"), F.col("bits_b")) * (100 + t) <= (n + m) * (100 - t))).select("a", "b")
 
-    def compared(self, pairs: DataFrame) -> DataFrame:
-        """``a, b, linked`` of each pair, by the further orders and then in full."""
-        ids = self.distinct_ids(pairs)
+    def similar(self, pairs: DataFrame) -> DataFrame:
+        """The links among the pairs: prefixes must meet under each further order, then whole sets are compared."""
+        pairs = written(self.plausible(pairs), "pairs")
+        ids = written(pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct(), "ids")
         if self.tokens is not None:
             ids = written(ids.join(self.tokens.select("set_id"), "set_id", "left_anti"), "ids")
-        if n := ids.count():
-            new = self.token_sets(ids, n)
-            self.tokens = new if self.tokens is None else self.tokens.unionByName(new)
-        if self.tokens is None:
-            return pairs.select("a", "b", F.lit(False).alias("linked"))
-        right = pairs.join(self.tokens.select(F.col("set_id").alias("b"), F.col("tokens").alias("right")), "b")
-        rows = right.join(self.tokens.select(F.col("set_id").alias("a"), F.col("tokens").alias("left")), "a")
-        return rows.select("a", "b", "left", "right").mapInArrow(_verify(self.s), "a long, b long, linked boolean")
-
-    def token_sets(self, ids: DataFrame, n: int) -> DataFrame:
-        """``set_id, tokens`` of the wanted sets, each made again from one of its texts."""
-        own = self.classes.select("set_id", "doc_id").join(ids, "set_id")
-        if n <= self.s.most_broadcast:  # two numbers a row, so at most some 50 MB
+        new = self.token_sets(ids)
+        self.tokens = new if self.tokens is None else self.tokens.unionByName(new)
+        both = pairs
+        for side in ("b", "a"):
+            both = both.join(self.tokens.select(F.col("set_id").alias(side), F.col("prefixes").alias(f"prefixes_{side}")), side)
+        meet = [F.arrays_overlap(F.col("prefixes_a")[k], F.col("prefixes_b")[k]) for k in range(self.s.orders - 1)]
+        both = written(both.where(reduce(and_, meet, F.lit(True))).select("a", "b"), "met")
+        for side, name in (("b", "right"), ("a", "left")):
+            both = both.join(self.tokens.select(F.col("set_id").alias(side), F.col("tokens").alias(name)), side)
+        return written(both.select("a", "b", "left", "right").mapInArrow(_verify(self.s), "a long, b long"), "links")
+
+    def token_sets(self, ids: DataFrame) -> DataFrame:
+        """``set_id, prefixes, tokens`` of the wanted sets, each made again from one of its texts.
+
+        ``prefixes`` has an array of 32-bit keys for each further order.
+        """
+        own = self.classes.select("set_id", "doc_id", "key").join(ids, "set_id")
+        if ids.count() <= self.s.most_broadcast:  # three numbers a row, so at most some 70 MB
             own = F.broadcast(own)
-        shingles = self.s.width
+        s = self.s
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            make = shingler(shingles)
+            make, done = shingler(s.width), set()
             for batch in batches:
                 for k in range(0, batch.num_rows, 500):
                     part = batch.slice(k, 500)
-                    found = [(i, make(t)) for i, t in zip(part.column("set_id").to_pylist(), part.column("text").to_pylist(), strict=True)]
-                    found = [(i, t) for i, t in found if set_hashes(t)[0] == i]  # an id may stand at other texts too
-                    tokens = [t for _, t in found]
-                    offsets = np.concatenate([[0], np.cumsum([len(t) for t in tokens])]).astype(np.int32)
-                    values = pa.array(np.concatenate([*tokens, np.empty(0, np.uint64)]).view(np.int64))
-                    yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in found], pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), values)], schema=_TOKENS)
-
-        return written(self.docs.join(own, "doc_id").select("set_id", "text").mapInArrow(run, "set_id long, tokens array<long>"), "tokens")
-
-    @staticmethod
-    def distinct_ids(pairs: DataFrame) -> DataFrame:
-        return written(pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct(), "ids")
+                    found = []
+                    for own, text in zip(part.column("set_id").to_pylist(), part.column("text").to_pylist(), strict=True):
+                        tokens = make(text) if own not in done else ()
+                        if len(tokens) and set_hashes(tokens)[0] == own:  # other texts may have its id and key too
+                            done.add(own)
+                            found.append((own, tokens))
+                    prefixes = [prefix_keys(t, o, s.percent) for _, t in found for o in range(1, s.orders)]
+                    offsets = np.arange(len(found) + 1, dtype=np.int32) * (s.orders - 1)
+                    yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in found], pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), _lists(prefixes, np.int32)), _lists([t.view(np.int64) for _, t in found], np.int64)], names=["set_id", "prefixes", "tokens"])
+
+        docs = self.docs.alias("d").join(own.alias("o"), F.col("d.key").eqNullSafe(F.col("o.key")) & F.col("d.doc_id").eqNullSafe(F.col("o.doc_id")))
+        return written(docs.select("o.set_id", "d.text").mapInArrow(run, "set_id long, prefixes array<array<int>>, tokens array<long>"), "tokens")
 
     def links(self) -> DataFrame:
         """Links that connect all sets that links connect: few within a group of copies, all that join two groups."""
-        done = linked = None
-        apart = self.apart(self.shared_tokens(), None)
-
-        def look(pairs: DataFrame) -> int:
-            nonlocal done, linked
-            new = written(self.compared(written(pairs, "pairs")), "compared")
-            done = new if done is None else done.unionByName(new)
-            linked = done.where("linked").select("a", "b")
-            return new.where("linked").count()
-
-        most = 0
-        for turn in range(self.s.most_turns):
-            found = look(self.partners(apart, turn, done))
-            apart = self.apart(apart, linked)
-            most = max(found, most)
-            if found <= most // 50:
-                break
-        look(self.plausible(self.far_apart(apart).join(done.select("a", "b"), ["a", "b"], "left_anti")).select("a", "b"))
-        return linked
+        near = self.similar(self.first_pairs())
+        return near.unionByName(self.similar(self.far_apart(self.postings(near))))
 
 
 def near_duplicates(docs: DataFrame, settings: JaccardSettings = JaccardSettings(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -389,9 +401,12 @@ def near_duplicates(docs: DataFrame, settings: JaccardSettings = JaccardSettings
 
     The component is the smallest id that links reach. Null texts and texts
     without words have no shingles and are their own component. Fewer words than
-    the width are one shingle. Ids are taken as distinct.
+    the width are one shingle. Repeated rows give a row each, of the same
+    component; a row with a null id takes part, and its component is null where
+    links reach no id. Other columns of ``docs`` are not read. An empty table
+    gives no rows.
     """
-    rows = slim(docs, id_col, text_col).select(F.col("doc_id").cast("long"), "text")
+    rows = slim(docs, id_col, text_col).select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("key"), "text")
     join = _Join(rows, settings)
     of_set = connected_components(join.links())
     smallest = join.classes.select("set_id", "doc_id").join(of_set, F.col("set_id") == F.col("node"), "left").select("set_id", "doc_id", F.coalesce("component", "set_id").alias("cluster"))
