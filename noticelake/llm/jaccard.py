@@ -50,8 +50,9 @@ class JaccardSettings:
     frequent; ``most_frequent`` bounds the table of frequent shingles. Both only
     change the first order, never the result. ``most_broadcast`` bounds the ids
     that are sent to all executors; more are joined by a shuffle. ``leads`` is
-    the number of orders whose first tokens join near copies, which only saves
-    work: all pairs of sets that are still apart are looked at.
+    the number of orders whose first tokens join near copies, ``nearest`` that of
+    further centres; they only save work: all pairs of sets that are still apart
+    are looked at.
     """
 
     width: int = 5
@@ -63,6 +64,7 @@ class JaccardSettings:
     most_broadcast: int = 1_000_000
     sketch_words: int = 8
     leads: int = 8
+    nearest: int = 4
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -144,9 +146,11 @@ def sketch(tokens: np.ndarray, words: int) -> np.ndarray:
     return np.packbits(parity.astype(np.uint8), bitorder="little").view("<i8")
 
 
-def lead_tokens(tokens: np.ndarray, leads: int) -> np.ndarray:
-    """The first token under each of some further orders; none of an empty set."""
-    return np.array([tokens[order_key(tokens, k + 1).argmin()] for k in range(leads)] if len(tokens) else [], np.uint64).view(np.int64)
+def lead_keys(tokens: np.ndarray, leads: int) -> np.ndarray:
+    """The first token, as its key, under each order that puts one ``leads``-th of all tokens first; no key where a set has none of those."""
+    key = np.sort(order_key(tokens, 1))
+    top = (key // np.uint64(-(-(2**64) // leads))).astype(np.int64)
+    return key[np.flatnonzero(np.diff(top, prepend=-1))].view(np.int64)
 
 
 def _lists(parts: list[np.ndarray], kind: type) -> pa.ListArray:
@@ -183,7 +187,7 @@ def _sets_and_counts(s: JaccardSettings):
                 tokens = shingles(text)
                 one, two = set_hashes(tokens)
                 if one not in made:
-                    made[one] = sketch(tokens, s.sketch_words), lead_tokens(tokens, s.leads)
+                    made[one] = sketch(tokens, s.sketch_words), lead_keys(tokens, s.leads)
                 if one not in distinct:
                     distinct[one] = tokens
                     held += len(tokens)
@@ -282,19 +286,24 @@ class _Join:
         self.frequent = self.spark.sparkContext.broadcast((tokens.view(np.uint64)[order], np.minimum(counts, 2**20 - 1).astype(np.uint64)[order]))
 
     def first_pairs(self) -> DataFrame:
-        """Each set with the centres of its first tokens, where two orders offer the same centre.
+        """Each set with centres of its first tokens, where two orders offer the same centre.
 
-        The centre of a token is the set, of those that begin with it, whose
-        first tokens are the most common ones: in a group of near copies mostly
-        the original. A set has at most ``leads`` centres.
+        The first centre of a token is the set, of those that begin with it,
+        whose first tokens are the most common ones. In a group of copies of one
+        text those nearest to any member are those nearest to the text, so the
+        nearest of each of ``nearest`` parts of a centre's sets are centres too.
+        A set has at most ``leads * (1 + nearest)`` of them.
         """
-        leads = self.classes.select("set_id", F.posexplode("leads").alias("order", "lead"))
-        sizes = leads.groupBy("order", "lead").agg(F.count("*").alias("size")).where("size > 1")
-        shared = written(leads.join(sizes, ["order", "lead"]), "leads")
+        leads = self.classes.select("set_id", F.explode("leads").alias("lead"))
+        sizes = leads.groupBy("lead").agg(F.count("*").alias("size")).where("size > 1")
+        shared = written(leads.join(sizes, "lead"), "leads")
         score = shared.groupBy("set_id").agg(F.sum("size").alias("score"))
-        centres = shared.join(score, "set_id").groupBy("order", "lead").agg(F.max(F.struct("score", "set_id"))["set_id"].alias("centre"))
-        pairs = shared.join(centres, ["order", "lead"]).where("centre <> set_id").select(F.least("set_id", "centre").alias("a"), F.greatest("set_id", "centre").alias("b"))
-        return pairs.groupBy("a", "b").agg(F.count("*").alias("times")).where("times > 1").select("a", "b")
+        centres = shared.join(score, "set_id").groupBy("lead").agg(F.max(F.struct("score", "set_id"))["set_id"].alias("centre"))
+        met = shared.join(centres, "lead").where("centre <> set_id").groupBy("set_id", "centre").agg(F.count("*").alias("times")).where("times > 1")
+        met = written(self.measured(met.select(F.col("set_id").alias("a"), F.col("centre").alias("b"))), "centres")
+        near = met.groupBy("b", F.pmod(F.xxhash64("a"), F.lit(self.s.nearest))).agg(F.min(F.struct("apart", "a"))["a"].alias("near")).select("b", "near")
+        pairs = met.select("a", "b").unionByName(met.select("a", "b").join(near, "b").select("a", F.col("near").alias("b")))
+        return pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
     def postings(self, links: DataFrame) -> DataFrame:
         """Prefix tokens that sets of two clusters have: ``token, set_id, n, at, cluster, main, low, high``.
@@ -337,13 +346,16 @@ class _Join:
         met = x.join(y, reduce(and_, same) & (F.col("x.cluster") != F.col("y.cluster")) & in_order & (m * 100 >= n * t) & enough & (apart * of <= (n + m) * (100 - t)))
         return met.select(F.least("x.set_id", "y.set_id").alias("a"), F.greatest("x.set_id", "y.set_id").alias("b")).distinct()
 
+    def measured(self, pairs: DataFrame) -> DataFrame:
+        """``a, b`` with their sizes ``n_a, n_b`` and the bits that are ``apart``, no more than the tokens that one of them lacks."""
+        for side in ("a", "b"):
+            pairs = pairs.join(self.classes.select(F.col("set_id").alias(side), F.col("n").alias(f"n_{side}"), F.col("bits").alias(f"bits_{side}")), side)
+        return pairs.select("a", "b", "n_a", "n_b", _bits_apart(F.col("bits_a"), F.col("bits_b")).alias("apart"))
+
     def plausible(self, pairs: DataFrame) -> DataFrame:
-        """Pairs whose sizes fit and whose bits don't show too many tokens of one set alone: 9 * difference <= n + m at 80 percent."""
-        t = self.s.percent
-        a = self.classes.select(F.col("set_id").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a"))
-        b = self.classes.select(F.col("set_id").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b"))
-        n, m = F.col("n_a"), F.col("n_b")
-        return pairs.join(a, "a").join(b, "b").where((F.least(n, m) * 100 >= F.greatest(n, m) * t) & (_bits_apart(F.col("bits_a"), F.col("bits_b")) * (100 + t) <= (n + m) * (100 - t))).select("a", "b")
+        """Pairs whose sizes fit and that are not too far apart: 9 * apart <= n + m at 80 percent."""
+        t, n, m = self.s.percent, F.col("n_a"), F.col("n_b")
+        return self.measured(pairs).where((F.least(n, m) * 100 >= F.greatest(n, m) * t) & (F.col("apart") * (100 + t) <= (n + m) * (100 - t))).select("a", "b")
 
     def similar(self, pairs: DataFrame) -> DataFrame:
         """The links among the pairs: prefixes must meet under each further order, then whole sets are compared."""

@@ -118,7 +118,7 @@ def planted(seed, n=160):
 def test_components_equal_brute_force(spark, seed):
     rows = planted(seed)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    settings = jaccard.JaccardSettings(most_broadcast=0 if seed % 2 else 1000, frequent_in_batch=2 + seed, most_frequent=50)
+    settings = jaccard.JaccardSettings(most_broadcast=0 if seed % 2 else 1000, frequent_in_block=2 + seed, most_frequent=50, leads=1 + seed)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicates(df, settings).collect()}
     want = brute_components(rows)
     assert {k: (got[k], want[k]) for k in want if got[k] != want[k]} == {}
@@ -140,7 +140,7 @@ def test_prefixes_of_similar_sets_meet_under_every_order():
         both = len(np.intersect1d(a, b))
         if 100 * both >= 80 * (len(a) + len(b) - both):
             for order in range(1, 4):
-                assert len(np.intersect1d(jaccard.prefix_under(a, order, 80), jaccard.prefix_under(b, order, 80)))
+                assert len(np.intersect1d(jaccard.prefix_keys(a, order, 80), jaccard.prefix_keys(b, order, 80)))
 
 
 def test_connected_components(spark):
