@@ -64,7 +64,7 @@ class JaccardSettings:
     most_broadcast: int = 1_000_000
     sketch_words: int = 8
     leads: int = 8
-    nearest: int = 4
+    nearest: int = 16
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -291,7 +291,8 @@ class _Join:
         The first centre of a token is the set, of those that begin with it,
         whose first tokens are the most common ones. In a group of copies of one
         text those nearest to any member are those nearest to the text, so the
-        nearest of each of ``nearest`` parts of a centre's sets are centres too.
+        nearest of each part of a centre's sets are centres too: of up to
+        ``nearest`` parts, of some ``nearest`` sets where the group is small.
         A set has at most ``leads * (1 + nearest)`` of them.
         """
         leads = self.classes.select("set_id", F.explode("leads").alias("lead"))
@@ -301,15 +302,17 @@ class _Join:
         centres = shared.join(score, "set_id").groupBy("lead").agg(F.max(F.struct("score", "set_id"))["set_id"].alias("centre"))
         met = shared.join(centres, "lead").where("centre <> set_id").groupBy("set_id", "centre").agg(F.count("*").alias("times")).where("times > 1")
         met = written(self.measured(met.select(F.col("set_id").alias("a"), F.col("centre").alias("b"))), "centres")
-        near = met.groupBy("b", F.pmod(F.xxhash64("a"), F.lit(self.s.nearest))).agg(F.min(F.struct("apart", "a"))["a"].alias("near")).select("b", "near")
+        parts = met.groupBy("b").agg(F.least(F.lit(self.s.nearest), 1 + F.floor(F.count("*") / self.s.nearest)).alias("parts"))
+        near = met.join(parts, "b").groupBy("b", F.pmod(F.xxhash64("a"), "parts")).agg(F.min(F.struct("apart", "a"))["a"].alias("near")).select("b", "near")
         pairs = met.select("a", "b").unionByName(met.select("a", "b").join(near, "b").select("a", F.col("near").alias("b")))
         return pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
-    def postings(self, links: DataFrame) -> DataFrame:
+    def postings(self, links: DataFrame, main_rows: int = 8) -> DataFrame:
         """Prefix tokens that sets of two clusters have: ``token, set_id, n, at, cluster, main, low, high``.
 
-        ``main`` marks rows of the cluster with most rows of the token; ``low`` and
-        ``high`` are a sketch of the set.
+        ``main`` marks rows of the cluster with most rows of the token, where those
+        are ``main_rows`` or more: true for its rows, false for others, null where
+        no cluster has as many. ``low`` and ``high`` are a sketch of the set.
         """
         rows = self.docs.select("text").mapInArrow(_postings(self.s, self.frequent), "token long, part int, set_id long, n int, at int")
         group = Window.partitionBy("token", "part")
@@ -319,24 +322,24 @@ class _Join:
         info = self.classes.select("set_id", fold(0).alias("low"), fold(1).alias("high")).join(connected_components(links), F.col("set_id") == F.col("node"), "left").select("set_id", F.coalesce("component", "set_id").alias("cluster"), "low", "high")
         rows = written(rows.join(info, "set_id"), "postings")
         counts = rows.groupBy("token", "cluster").agg(F.count("*").alias("size"))
-        tokens = counts.groupBy("token").agg(F.count("*").alias("clusters"), F.max(F.struct("size", "cluster"))["cluster"].alias("first")).where("clusters > 1").select("token", "first")
+        tokens = counts.groupBy("token").agg(F.count("*").alias("clusters"), F.max(F.struct("size", "cluster")).alias("first")).where("clusters > 1").select("token", F.when(F.col("first.size") >= main_rows, F.col("first.cluster")).alias("first"))
         return rows.join(tokens, "token").withColumn("main", F.col("cluster") == F.col("first")).drop("first")
 
     def far_apart(self, rows: DataFrame) -> DataFrame:
         """All pairs of sets of different clusters that share a prefix token, sizes, places and sketches allowing.
 
-        The smaller set of a pair waits at its band of lengths, the larger one
+        The larger set of a pair waits at its band of lengths, the smaller one
         looks into all bands that it may find similar sets in. Two rows of a
         token's main cluster never meet.
         """
         t, of = self.s.percent, 100 + self.s.percent
-        band = lambda n: F.floor(F.log(n.cast("double")) / (0.5 * math.log(100 / t)))
-        left = F.col("n") - F.col("at")
-        small = rows.where(left >= _least_overlap(F.col("n"), F.col("n"), t)).withColumns({"band": band(F.col("n")), "side": F.col("main")})
-        most = F.least(F.col("n").cast("long"), F.floor(left * of / t + 1e-6) - F.col("n"))
-        least = F.ceil(F.col("n") * t / 100 - 1e-6)
-        sides = F.when(F.col("main"), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))
-        large = rows.withColumns({"least": least, "most": most}).where("least <= most").withColumn("band", F.explode(F.sequence(band(F.col("least")), band(F.col("most"))))).withColumn("side", F.explode(sides)).drop("least", "most")
+        band = lambda n: F.floor(F.log(n.cast("double")) / math.log(100 / t))
+        left, main, n = F.col("n") - F.col("at"), F.col("main"), F.col("n").cast("long")
+        # Larger sets of the main cluster are at side 1, where only smaller ones of other clusters look.
+        sides = F.when(~main, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+        large = rows.where(F.floor(left * of / t + 1e-6) - n >= F.ceil(n * t / 100 - 1e-6)).withColumns({"band": band(n), "side": F.coalesce(main.cast("int"), F.lit(0))})
+        most = F.least(F.floor(n * 100 / t + 1e-6), F.floor(left * of / t + 1e-6) - n)
+        small = rows.withColumn("most", most).where(n <= F.col("most")).withColumn("band", F.explode(F.sequence(band(n), band(F.col("most"))))).withColumn("side", F.explode(sides)).drop("most")
         x, y = large.alias("x"), small.alias("y")
         n, m = F.col("x.n"), F.col("y.n")
         enough = F.least(n - F.col("x.at"), m - F.col("y.at")) >= _least_overlap(n, m, t)
