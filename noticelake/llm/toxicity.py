@@ -3,10 +3,11 @@
 A document is the set of its lower-cased words. A word contributes hashed
 features (itself and its stems), so a score is a sum over distinct words and a
 text of any length is scored whole with one lookup a word. Training minimises
-the logistic loss of labelled documents plus ``penalty`` times the squared
-change of the logit when the identity terms of a document's labelled sentences
-are swapped for others of their group. A mention of a group alone therefore
-moves a score little, whatever the labels say on average.
+the logistic loss of labelled documents plus ``penalty`` times the mean squared
+change of the logit when the identity terms of one of a labelled document's
+sentences, or of all, are swapped for each other term of their group. A mention
+of a group alone therefore moves a score little, whatever the labels say on
+average.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ import hashlib
 import math
 import re
 import zlib
+from collections import Counter
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -50,21 +52,31 @@ IDENTITY_GROUPS: tuple[tuple[str, ...], ...] = (
 
 @dataclass(frozen=True)
 class ToxicitySettings:
-    """Parameters of training; ``most_rows`` bounds the labelled sample that is fitted on the driver."""
+    """Parameters of training; ``most_rows`` bounds the labelled sample that one task fits on.
+
+    ``distinct_rows``: copies, which a corpus has many of, count once in training.
+    A sample of few rows is gone through more than ``epochs`` times, until
+    ``least_steps`` are made or ``most_epochs`` are done.
+    """
 
     bits: int = 18
     stems: tuple[int, ...] = (4, 5, 6)
     most_rows: int = 12_000
     epochs: int = 6
+    most_epochs: int = 24
+    least_steps: int = 12_000
     alpha: float = 1.0
     l1: float = 6.0
     l2: float = 0.1
     penalty: float = 1.0
     threshold: float = 0.7
+    distinct_rows: bool = True
     groups: Sequence[Sequence[str]] = field(default=IDENTITY_GROUPS)
 
-    def swaps(self) -> dict[str, str]:
-        return {w: g[(k + 1) % len(g)] for g in self.groups if len(g) > 1 for k, w in enumerate(g)}
+    def swaps(self) -> list[dict[str, str]]:
+        """All swaps of a term for another of its group: in the k-th each term is replaced by the k-th after it."""
+        most = max((len(g) for g in self.groups), default=0)
+        return [{w: g[(at + k) % len(g)] for g in self.groups for at, w in enumerate(g) if k < len(g)} for k in range(1, most)]
 
 
 @dataclass(frozen=True)
@@ -84,92 +96,123 @@ def words_of(text: str | None) -> set[str]:
     return set(LETTERS.findall(text.lower())) if text else set()
 
 
-def swapped(text: str, swaps: Mapping[str, str]) -> set[str]:
-    """The text's words after each identity term in its sentences is swapped."""
-    out: set[str] = set()
-    for sentence in re.split(r"[.!?\n]+", text.lower()):
-        out.update(swaps.get(w, w) for w in LETTERS.findall(sentence))
-    return out
+def counterfactuals(text: str, swaps: Sequence[Mapping[str, str]]) -> set[tuple[frozenset[str], frozenset[str]]]:
+    """The distinct (words that go, words that come) when the identity terms of one sentence, or of all, are swapped."""
+    sentences = [LETTERS.findall(part) for part in re.split(r"[.!?\n]+", text.lower())]
+    own = {w for s in sentences for w in s}
+    out = set()
+    for swap in swaps:
+        named, elsewhere = [], set()
+        for k, words in enumerate(sentences):
+            if swap.keys().isdisjoint(words):
+                elsewhere.update(words)
+            else:
+                named.append(k)
+        times = Counter(w for k in named for w in set(sentences[k]))
+        for changed in [named, *([k] for k in named if len(named) > 1)]:
+            before = Counter(w for k in changed for w in set(sentences[k]))
+            after = {swap.get(w, w) for w in before}
+            kept = elsewhere | {w for w, n in times.items() if n > before[w]}
+            out.add((frozenset(before.keys() - after - kept), frozenset(after - own)))
+    return {x for x in out if x[0] or x[1]}
+
+
+_SAMPLE = pa.schema([("toxic", pa.int32()), ("ids", pa.list_(pa.int32())), ("times", pa.list_(pa.int16())), ("moved", pa.list_(pa.list_(pa.int32()))), ("by", pa.list_(pa.list_(pa.int16())))])
+_SAMPLE_SQL = "toxic int, ids array<int>, times array<short>, moved array<array<int>>, by array<array<short>>"
 
 
-_SAMPLE = pa.schema([("toxic", pa.int32()), ("own", pa.list_(pa.int32())), ("gone", pa.list_(pa.int32())), ("came", pa.list_(pa.int32()))])
+def _counted(came: list[int], gone: list[int] = []) -> tuple[np.ndarray, np.ndarray]:  # noqa: B006
+    """Feature ids and how often each comes, less how often it goes; those where both are equal are left out."""
+    ids, where = np.unique(np.array([*came, *gone], np.int32), return_inverse=True)
+    n = np.bincount(where, weights=np.repeat([1.0, -1.0], [len(came), len(gone)]), minlength=len(ids)).clip(-32768, 32767).astype(np.int16)
+    return ids[n != 0], n[n != 0]
 
 
 def _sample_features(settings: ToxicitySettings):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         swaps, ids = settings.swaps(), Memo(lambda w: word_features(w, settings))
-        flat = lambda words: [i for w in sorted(words) for i in ids[w]]
+        terms = {w for swap in swaps for w in swap}
+        flat = lambda words: [i for w in words for i in ids[w]]
         for batch in batches:
             cols: dict[str, list] = {f.name: [] for f in _SAMPLE}
             for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
-                own = words_of(text)
-                other = swapped(text, swaps) if not own.isdisjoint(swaps) else own
-                for name, value in (("toxic", toxic), ("own", flat(own)), ("gone", flat(own - other)), ("came", flat(other - own))):
+                words = words_of(text)
+                own = _counted(flat(words))
+                changes = counterfactuals(text, swaps) if not words.isdisjoint(terms) else ()
+                moves = [_counted(flat(came), flat(gone)) for gone, came in sorted(changes, key=lambda x: (sorted(x[0]), sorted(x[1])))]
+                moves = [m for m in moves if len(m[0])]
+                for name, value in (("toxic", int(toxic > 0)), ("ids", own[0]), ("times", own[1]), ("moved", [m[0] for m in moves]), ("by", [m[1] for m in moves])):
                     cols[name].append(value)
             yield pa.RecordBatch.from_pydict(cols, schema=_SAMPLE)
 
     return run
 
 
-def _counted(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    rows, n = np.unique(ids, return_counts=True)
-    return rows, n.astype(np.float64)
-
-
-def _fit(examples: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]], s: ToxicitySettings) -> ToxicityModel:
-    """One FTRL pass an epoch; the bias is the feature after the last hashed one."""
-    dim = 1 << s.bits
-    ftrl, rng = Ftrl(dim + 1, 1, s.alpha, 1.0, s.l1, s.l2), np.random.default_rng(0)
-    ready = examples  # turned in place into small arrays, since they are all that is large here
-    for k, (y, own, gone, came) in enumerate(examples):
-        rows, x = _counted(own)
-        moved, d = _counted(np.concatenate([gone, came]))
-        if len(moved):
-            away, dx = _counted(gone)
-            d = -d
-            d[np.searchsorted(moved, away)] += 2 * dx  # +1 for each word that went, -1 for each that came
-            keep = d != 0
-            moved, d = moved[keep], d[keep]
-        ready[k] = (y, np.append(rows, dim).astype(np.int32), np.append(x, 1.0).astype(np.float32), moved, d)
-    for _ in range(s.epochs):
-        for k in rng.permutation(len(ready)):
-            y, rows, x, moved, d = ready[k]
-            w = ftrl.weights(rows)[:, 0]
-            p = 1 / (1 + math.exp(-min(30.0, max(-30.0, float(w @ x)))))
-            ftrl.update(rows, w[:, None], ((p - y) * x)[:, None])
-            if len(moved) and s.penalty:
-                v = ftrl.weights(moved)[:, 0]
-                ftrl.update(moved, v[:, None], (2 * s.penalty * float(v @ d) * d)[:, None])
-    w = ftrl.weights()[:, 0]
-    return ToxicityModel(w[:dim], float(w[dim]), s)
-
+class _Lists:
+    """A list column as flat arrays, without an object a row."""
 
+    def __init__(self, column: pa.ChunkedArray):
+        whole = pa.concat_arrays(column.chunks)
+        self.at, self.values = whole.offsets.to_numpy(), whole.values
 
+    def flat(self) -> _Lists:
+        self.values = self.values.to_numpy()
+        return self
 
+    def __getitem__(self, k: int):
+        return self.values[self.at[k] : self.at[k + 1]]
 
 
+def _fit(found: pa.Table, s: ToxicitySettings) -> np.ndarray:
+    """Weights by FTRL over the examples in an order of their own; the bias is the feature after the last hashed one."""
+    dim = 1 << s.bits
+    ftrl, rng = Ftrl(dim + 1, 1, s.alpha, 1.0, s.l1, s.l2), np.random.default_rng(0)
+    if found.num_rows:
+        toxic = found.column("toxic").to_numpy()
+        ids, times = (_Lists(found.column(c)).flat() for c in ("ids", "times"))
+        lists = _Lists(found.column("moved"))
+        outer, moved, by = lists.at, *(_Lists(pa.chunked_array([_Lists(found.column(c)).values])).flat() for c in ("moved", "by"))
+        del found, lists
+        named = {}  # examples by content, in an order that the order of tasks can't change
+        for k in range(len(toxic)):
+            key = (hashlib.blake2b(ids[k].tobytes() + times[k].tobytes(), digest_size=16).digest(), int(toxic[k]))
+            named.setdefault(key if s.distinct_rows else (*key, k), k)
+        rows = np.array([named[key] for key in sorted(named)])
+        one = np.ones(1)
+        for _ in range(max(s.epochs, min(s.most_epochs, s.least_steps // len(rows)))):
+            for k in rng.permutation(rows):
+                rows_k, x = np.append(ids[k], dim), np.append(times[k], one)
+                w = ftrl.weights(rows_k)[:, 0]
+                p = 1 / (1 + math.exp(-min(30.0, max(-30.0, float(w @ x)))))
+                ftrl.update(rows_k, w[:, None], ((p - toxic[k]) * x)[:, None])
+                for m in range(outer[k], outer[k + 1]) if s.penalty else ():
+                    d = by[m].astype(float)
+                    v = ftrl.weights(moved[m])[:, 0]
+                    ftrl.update(moved[m], v[:, None], (2 * s.penalty / (outer[k + 1] - outer[k]) * float(v @ d) * d)[:, None])
+    return ftrl.weights()[:, 0]
 
 
 def fit_toxicity(labelled: DataFrame, settings: ToxicitySettings = ToxicitySettings(), id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> ToxicityModel:
-    """Fits on at most ``settings.most_rows`` labelled rows, taken by a hash of the id.
+    """Fits on the labelled rows, which the caller bounds (``train_on_tables`` does), in one task.
 
-    Rows without an id or a label are left out, a null text counts as empty, and
-    of equal word sets with equal labels one is kept. Without any row the model
-    scores every text 0.5.
+    Rows without an id or a label are left out and a null text counts as empty.
+    Of equal word sets with equal labels one is kept if ``settings.distinct_rows``.
+    The order of rows does not matter. Without any row the model scores every
+    text 0.5. The driver gets the weights that are not 0 alone.
     """
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = list(batches)
+        weights = _fit(pa.Table.from_batches(got) if got else _SAMPLE.empty_table(), settings)
+        ids = np.flatnonzero(weights)
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(weights[ids])], names=["id", "weight"])
+
     rows = labelled.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), F.col(label_col).cast("int").alias("toxic")).where("doc_id IS NOT NULL AND toxic IS NOT NULL")
-    found = rows.select("text", "toxic").mapInArrow(_sample_features(settings), "toxic int, own array<int>, gone array<int>, came array<int>").toArrow()
-    seen, examples = set(), []
-    for batch in found.to_batches():
-        own, gone, came = (batch.column(c) for c in ("own", "gone", "came"))
-        for k, y in enumerate(batch.column("toxic").to_pylist()):
-            ids = own[k].values.to_numpy()
-            key = (y, ids.tobytes())
-            if key not in seen:
-                seen.add(key)
-                examples.append((int(y > 0), ids.copy(), gone[k].values.to_numpy().copy(), came[k].values.to_numpy().copy()))
-    examples.sort(key=lambda e: (e[1][:64].tobytes(), hashlib.blake2b(e[1].tobytes(), digest_size=16).digest(), e[0]))  # the order of tasks must not matter
-    return _fit(examples, settings)
+    examples = rows.select("text", "toxic").mapInArrow(_sample_features(settings), _SAMPLE_SQL)
+    found = examples.repartition(1).mapInArrow(fit, "id long, weight double").toArrow()
+    weights = np.zeros((1 << settings.bits) + 1)
+    weights[found.column("id").to_numpy()] = found.column("weight").to_numpy()
+    return ToxicityModel(weights[:-1], float(weights[-1]), settings)
 
 
 def bounded(labels: DataFrame, most: int, id_col: str = "doc_id") -> DataFrame:
@@ -197,7 +240,12 @@ def _scores(sent) -> Callable[[str | None], float]:
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, score, predicted`` for every row; null and empty texts get the score of no words."""
+    """``doc_id, score, predicted`` for every row.
+
+    Null and empty texts get the score of no words. Equal texts get equal scores,
+    repeated rows a row each, and a text of any length is scored whole. Null ids
+    stay null, other columns are not read, and an empty table gives no rows.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(model)  # 2**bits numbers, whatever the input
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

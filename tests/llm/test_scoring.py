@@ -32,6 +32,8 @@ def test_toxicity_on_the_held_out_fold(spark):
     right = sum(r.predicted == r.toxic for r in scored)
     assert right / len(scored) > 0.93
     assert not any(r.predicted and not r.toxic for r in scored)
+    toxic = [r.predicted for r in scored if r.toxic]
+    assert sum(toxic) / len(toxic) >= 0.5  # 1,000 documents have few to learn from
 
 
 def labelled():
@@ -60,6 +62,34 @@ def test_swapping_identity_terms_is_penalised(spark):
     assert z[2] > 0 > z[0]
 
 
+def test_counterfactuals_equal_brute_force():
+    """Every sentence alone and all together, under every swap; words of unchanged sentences stay."""
+    swaps = toxicity.ToxicitySettings(groups=(("red", "blue", "green"), ("cat", "dog"))).swaps()
+    text = "A red cat sat. The blue dog ran! red and blue\nNothing here"
+    sentences = [toxicity.LETTERS.findall(x) for x in text.lower().replace("!", ".").replace("\n", ".").split(".")]
+    own, want = {w for x in sentences for w in x}, set()
+    for swap in swaps:
+        named = [k for k, x in enumerate(sentences) if any(w in swap for w in x)]
+        for changed in [named, *([k] for k in named)]:
+            new = {swap.get(w, w) if k in changed else w for k, x in enumerate(sentences) for w in x}
+            if new != own:
+                want.add((frozenset(own - new), frozenset(new - own)))
+    assert toxicity.counterfactuals(text, swaps) == want and len(want) > 4
+    assert toxicity.counterfactuals("nothing of that", swaps) == toxicity.counterfactuals("", swaps) == set()
+
+
+def test_neutral_mentions_are_left_alone_and_insults_are_found(spark):
+    """Labelled insults mention one group only; neutral mentions of any group must pass, insults on others be found."""
+    rng = np.random.default_rng(5)
+    filler, bad, groups = "river stone paper garden walk lamp window street music table".split(), ["idiots", "scum", "vermin"], ["muslims", "jews", "christians", "hindus"]
+    say = lambda *more: " ".join(rng.permutation([*rng.choice(filler, 6), *more]))
+    rows = [(k, say("muslims", rng.choice(bad)) if k % 2 else say(*(["muslims"] if k % 20 == 0 else [])), k % 2) for k in range(400)]
+    model = toxicity.fit_toxicity(spark.createDataFrame(rows, "doc_id long, text string, toxic int"), toxicity.ToxicitySettings(bits=14, l1=0.1, epochs=8, penalty=5.0))
+    probe = [(k, say(groups[k % 4]), 0) for k in range(100)] + [(100 + k, say(groups[k % 4], bad[k % 3]), 1) for k in range(100)]
+    got = {r.doc_id: r.predicted for r in toxicity.score_toxicity(spark.createDataFrame(probe, "doc_id long, text string, toxic int"), model).collect()}
+    assert sum(got[k] for k, _, y in probe if y) >= 95 and not any(got[k] for k, _, y in probe if not y)
+
+
 def test_toxicity_of_odd_rows(spark, odd, empty):
     model = toxicity.fit_toxicity(spark.createDataFrame(labelled(), "doc_id long, text string, toxic int"))
     got = {r.doc_id: r.score for r in toxicity.score_toxicity(odd, model).collect()}
