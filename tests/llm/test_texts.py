@@ -58,6 +58,27 @@ def brute_hits(text, items, width=13):
     return len(words), len(hit), sorted(found)
 
 
+def test_decontamination_of_repeated_and_null_ids_in_any_number_of_blocks(spark):
+    """Rows are told apart by more than their ids; an item without an id hits and is not named."""
+    docs = [(1, "x a b c y"), (1, "a b c d e f"), (None, "q d e f"), (None, None), (1, "x a b c y"), (2, "n n n g h")]
+    df = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("doc_id", "text", "'z' AS row", "1 AS n_words", "0 AS hits")
+    bench = spark.createDataFrame([(7, "a b c"), (8, "d e f"), (None, "g h")], "item_id long, text string")
+    one, many = (sorted(decontamination.find_contamination(df, bench, block_bytes=b).collect(), key=str) for b in (1 << 20, 1))
+    assert one == many and len(one) == len(docs)
+    want = [(1, 5, 3, ["7"], [[2, 7]]), (1, 6, 6, ["7", "8"], [[0, 11]]), (None, 4, 3, ["8"], [[2, 7]]), (None, 0, 0, [], []), (1, 5, 3, ["7"], [[2, 7]]), (2, 5, 2, [], [[6, 9]])]
+    assert sorted(map(tuple, one), key=str) == sorted(want, key=str)
+
+
+def test_decontamination_digests(spark):
+    import hashlib
+
+    got = {r.doc_id: r for r in decontamination.op5_decontamination(spark, "/root/testdata/sf0.001").collect()}
+    found = decontamination.find_contamination(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")).collect()
+    assert any(r.n_hit for r in found)
+    for r in found:
+        assert got[r.doc_id].n_items == len(r["items"]) and got[r.doc_id].items_sha256 == hashlib.sha256(",".join(r["items"]).encode()).hexdigest()
+
+
 def test_decontamination_equals_brute_force(spark, odd, empty):
     rng = random.Random(5)
     vocabulary = ["Ab", "b", "c", "dé", "e1"]
