@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -36,9 +37,15 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new path in ``spark.checkpoint.dir``, which driver and executors share; set here only where it is unset."""
+    """A new path in ``spark.checkpoint.dir``, which driver and executors share.
+
+    A temporary folder is set only where the setting is missing and the master is
+    local; on a cluster other machines could not read it, so that is an error.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="noticelake-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return f"{folder}/{name}-{uuid.uuid4().hex}"
