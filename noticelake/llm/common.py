@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import re
-import tempfile
-import uuid
 from collections.abc import Callable
+from itertools import islice
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import shared_folder
+
 #: A word of letters in any script.
 LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -29,31 +30,19 @@ def slim(df: DataFrame, id_col: str, text_col: str, *extra: str) -> DataFrame:
     return df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), *extra)
 
 
-def scratch(spark: SparkSession) -> str:
-    """The shared folder for cut lineage: ``spark.checkpoint.dir`` of the session.
-
-    Only where that is unset (tests on one machine) a temporary folder is set.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="noticelake-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as a table in the shared folder and read again.
 
     Cuts the lineage: after the loss of an executor nothing before it runs again.
     """
     spark = df.sparkSession
-    path = f"{scratch(spark)}/{name}-{uuid.uuid4().hex}"
+    path = shared_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 class Memo(dict):
-    """A dict that computes missing entries and empties itself when it is full.
+    """A dict that computes missing entries and drops the older half when it is full.
 
     It only saves repeated work: an entry depends on its key alone.
     """
@@ -64,7 +53,8 @@ class Memo(dict):
 
     def __missing__(self, key):
         if len(self) >= self.most:
-            self.clear()
+            for old in list(islice(self, self.most // 2)):
+                del self[old]
         value = self[key] = self.make(key)
         return value
 
