@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import slim, table, written
+from .common import pieces, slim, table, written
 
 WIDTH = 13
 #: Text of benchmark items that one automaton takes; a larger benchmark is read in blocks of about this size.
@@ -108,7 +108,7 @@ def _scan(docs: DataFrame, items: list[tuple[str | None, str | None]], width: in
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = _windows(sent, width)
-        for batch in batches:
+        for batch in pieces(batches):
             found = [windows.find(t) for t in batch.column("text").to_pylist()]
             made = [h.n_words for h in found], [[[*words, *span] for words, span in zip(h.words, h.spans, strict=True)] for h in found], [h.items for h in found]
             yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), *(pa.array(c, f.type) for c, f in zip(made, list(_OUT)[2:], strict=True))], schema=_OUT)

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import slim, table, written
+from .common import pieces, slim, table, written
 from .components import connected_components
 
 #: A-Z to lower case, white space to blanks; other bytes of UTF-8 are parts of words.
@@ -59,7 +59,7 @@ class JaccardSettings:
     percent: int = 80
     orders: int = 3
     frequent_in_block: int = 3
-    block_tokens: int = 1 << 21
+    block_tokens: int = 1 << 20
     most_frequent: int = 1 << 19
     most_broadcast: int = 1_000_000
     sketch_words: int = 8
@@ -180,7 +180,7 @@ def _sets_and_counts(s: JaccardSettings):
         shingles = shingler(s.width)
         distinct: dict[int, np.ndarray] = {}
         held = 0
-        for batch in batches:
+        for batch in pieces(batches):
             sizes, ones, twos, bits, leads = [], [], [], [], []
             made: dict[int, tuple[np.ndarray, np.ndarray]] = {}
             for text in batch.column("text").to_pylist():
@@ -216,7 +216,7 @@ def _postings(s: JaccardSettings, sent, rows_a_part: int = 5000):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, (frequent, rank) = shingler(s.width), sent.value
         done: set[int] = set()
-        for batch in batches:
+        for batch in pieces(batches):
             parts: list[tuple[np.ndarray, np.ndarray, int, int]] = []
             for text in batch.column("text").to_pylist():
                 tokens = shingles(text)
@@ -253,7 +253,7 @@ def _verify(s: JaccardSettings):
     """Which pairs of whole sets are similar enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             left, right = batch.column("left"), batch.column("right")
             keep = []
             for k in range(batch.num_rows):
@@ -389,18 +389,16 @@ class _Join:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             make, done = shingler(s.width), set()
-            for batch in batches:
-                for k in range(0, batch.num_rows, 500):
-                    part = batch.slice(k, 500)
-                    found = []
-                    for own, text in zip(part.column("set_id").to_pylist(), part.column("text").to_pylist(), strict=True):
-                        tokens = make(text) if own not in done else ()
-                        if len(tokens) and set_hashes(tokens)[0] == own:  # other texts may have its id and key too
-                            done.add(own)
-                            found.append((own, tokens))
-                    prefixes = [prefix_keys(t, o, s.percent) for _, t in found for o in range(1, s.orders)]
-                    offsets = np.arange(len(found) + 1, dtype=np.int32) * (s.orders - 1)
-                    yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in found], pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), _lists(prefixes, np.int32)), _lists([t.view(np.int64) for _, t in found], np.int64)], names=["set_id", "prefixes", "tokens"])
+            for batch in pieces(batches, 200):
+                found = []
+                for own, text in zip(batch.column("set_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                    tokens = make(text) if own not in done else ()
+                    if len(tokens) and set_hashes(tokens)[0] == own:  # other texts may have its id and key too
+                        done.add(own)
+                        found.append((own, tokens))
+                prefixes = [prefix_keys(t, o, s.percent) for _, t in found for o in range(1, s.orders)]
+                offsets = np.arange(len(found) + 1, dtype=np.int32) * (s.orders - 1)
+                yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in found], pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), _lists(prefixes, np.int32)), _lists([t.view(np.int64) for _, t in found], np.int64)], names=["set_id", "prefixes", "tokens"])
 
         docs = self.docs.alias("d").join(own.alias("o"), F.col("d.key").eqNullSafe(F.col("o.key")) & F.col("d.doc_id").eqNullSafe(F.col("o.doc_id")))
         return written(docs.select("o.set_id", "d.text").mapInArrow(run, "set_id long, prefixes array<array<int>>, tokens array<long>"), "tokens")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Memo, slim, table
+from .common import Memo, pieces, slim, table
 
 # The base patterns and the kinds in the order that breaks ties of start.
 KINDS = ("assign", "access", "hex", "random")
@@ -128,7 +128,7 @@ def find_secrets(docs: DataFrame, settings: SecretSettings = SecretSettings(), i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = secret_finder(settings)
-        for batch in batches:
+        for batch in pieces(batches):
             cols: dict[str, list] = {f.name: [] for f in _OUT}
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 base, spans = finder.find(text)
@@ -149,7 +149,7 @@ def mask_secrets(docs: DataFrame, settings: SecretSettings = SecretSettings(), t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = secret_finder(settings)
-        for batch in batches:
+        for batch in pieces(batches):
             texts = [t if t is None else masked(t, finder.find(t)[1]) for t in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(texts, batch.schema.field(k).type) if k == at else batch.column(k) for k in range(batch.num_columns)], schema=batch.schema)
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LETTERS, Memo, id_mod, slim, table
+from .common import LETTERS, Memo, id_mod, pieces, slim, table
 from .ftrl import Ftrl
 
 # Identity terms, by group, in the four languages of the tables. A term is swapped within its group.
@@ -133,7 +133,7 @@ def _sample_features(settings: ToxicitySettings):
         swaps, ids = settings.swaps(), Memo(lambda w: word_features(w, settings))
         terms = {w for swap in swaps for w in swap}
         flat = lambda words: [i for w in words for i in ids[w]]
-        for batch in batches:
+        for batch in pieces(batches):
             cols: dict[str, list] = {f.name: [] for f in _SAMPLE}
             for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
                 words = words_of(text)
@@ -149,30 +149,24 @@ def _sample_features(settings: ToxicitySettings):
 
 
 class _Lists:
-    """A list column as flat arrays, without an object a row."""
+    """A column of lists, or of lists of lists, as flat arrays, without an object a row."""
 
-    def __init__(self, column: pa.ChunkedArray):
-        whole = pa.concat_arrays(column.chunks)
-        self.at, self.values = whole.offsets.to_numpy(), whole.values
-
-    def flat(self) -> _Lists:
-        self.values = self.values.to_numpy()
-        return self
+    def __init__(self, chunks: list[pa.Array]):
+        whole = pa.concat_arrays(chunks)
+        self.at, values = whole.offsets.to_numpy(), whole.values
+        self.values = _Lists([values]) if pa.types.is_list(values.type) else values.to_numpy()
 
     def __getitem__(self, k: int):
         return self.values[self.at[k] : self.at[k + 1]]
 
 
-def _fit(found: pa.Table, s: ToxicitySettings) -> np.ndarray:
+def _fit(toxic: np.ndarray, examples: dict[str, _Lists], s: ToxicitySettings) -> np.ndarray:
     """Weights by FTRL over the examples in an order of their own; the bias is the feature after the last hashed one."""
     dim = 1 << s.bits
     ftrl, rng = Ftrl(dim + 1, 1, s.alpha, 1.0, s.l1, s.l2), np.random.default_rng(0)
-    if found.num_rows:
-        toxic = found.column("toxic").to_numpy()
-        ids, times = (_Lists(found.column(c)).flat() for c in ("ids", "times"))
-        lists = _Lists(found.column("moved"))
-        outer, moved, by = lists.at, *(_Lists(pa.chunked_array([_Lists(found.column(c)).values])).flat() for c in ("moved", "by"))
-        del found, lists
+    if len(toxic):
+        ids, times, outer = examples["ids"], examples["times"], examples["moved"].at
+        moved, by = examples["moved"].values, examples["by"].values
         named = {}  # examples by content, in an order that the order of tasks can't change
         for k in range(len(toxic)):
             key = (hashlib.blake2b(ids[k].tobytes() + times[k].tobytes(), digest_size=16).digest(), int(toxic[k]))
@@ -203,7 +197,10 @@ def fit_toxicity(labelled: DataFrame, settings: ToxicitySettings = ToxicitySetti
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = list(batches)
-        weights = _fit(pa.Table.from_batches(got) if got else _SAMPLE.empty_table(), settings)
+        examples = {c: _Lists([b.column(c) for b in got]) for c in _SAMPLE.names[1:]} if got else {}
+        toxic = np.concatenate([np.zeros(0, np.int32), *(b.column("toxic").to_numpy() for b in got)])
+        got.clear()  # from here on there is one copy of all
+        weights = _fit(toxic, examples, settings)
         ids = np.flatnonzero(weights)
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(weights[ids])], names=["id", "weight"])
 
@@ -250,7 +247,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = _scores(sent)
-        for batch in batches:
+        for batch in pieces(batches):
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(map(score, batch.column("text").to_pylist()), pa.float64())], schema=_SCORED)
 
     rows = slim(docs, id_col, text_col).select(F.col("doc_id").cast("long"), "text")
@@ -264,7 +261,7 @@ def without_toxic(docs: DataFrame, model: ToxicityModel, text_col: str = "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = _scores(sent)
-        for batch in batches:
+        for batch in pieces(batches):
             yield batch.filter(pa.array([score(t) < threshold for t in batch.column(at).to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
