@@ -15,14 +15,17 @@ _AMOUNT = re.compile(r"(?<![0-9.,])([0-9][0-9.,   ]*[0-9]|[0-9])\s?([A-Z]{3})\b(
 
 
 def parsed_amount(text: str) -> float | None:
-    """A number with locale separators; the last kind of separator is the decimal point unless its groups have three digits."""
-    t = re.sub(r"[  \s]", "", text)
-    for thousands, point in ((",", "."), (".", ",")):
-        if re.fullmatch(rf"[0-9]{{1,3}}(?:\{thousands}[0-9]{{3}})+(?:\{point}[0-9]+)?", t):
-            return float(t.replace(thousands, "").replace(point, "."))
-    if re.fullmatch(r"[0-9]+(?:[.,][0-9]+)?", t):
-        return float(t.replace(",", "."))
-    return None
+    """A number with locale separators, by the rules of ``extract.amount``."""
+    t = re.sub(r"[\u00A0\u202F\s]", "", text)
+    groups = {mark: t.split(mark) for mark in ",." if mark in t}
+    if len(groups) == 2:
+        point = max(groups, key=t.rfind)
+        t = t.replace("," if point == "." else ".", "").replace(point, ".")
+    elif "," in groups:
+        t = t.replace(",", "." if len(groups[","]) == 2 and len(groups[","][1]) <= 2 else "")
+    elif len(groups.get(".", ())) > 2 and all(len(g) == 3 for g in groups["."][1:]):
+        t = t.replace(".", "")
+    return float(t) if re.fullmatch(r"[0-9]+\.?[0-9]*|\.[0-9]+", t) else None
 
 
 def short(n: float) -> str:

@@ -69,11 +69,13 @@ def deadline(text: Column, anchor: Column) -> Column:
 def amount(text: Column, style: str = "auto") -> Column:
     """A number with locale separators as a double; null where it is none.
 
-    ``dot_thousands``: 1.234,5; ``space_thousands``: 1 234,5; ``auto``: the last
-    separator is the decimal point, unless all groups after separators of one
-    kind have three digits.
+    ``dot_thousands``: 1.234,5; ``space_thousands``: 1 234,5; ``auto``: of two
+    kinds of separators the one that comes last is the decimal mark. Commas alone
+    are a decimal mark if there is one with at most two digits after it, else
+    thousands. Dots alone are thousands if there are several with three digits
+    after each, else a decimal mark.
     """
-    t = F.regexp_replace(F.trim(text), r"[  ]", "")
+    t = F.regexp_replace(F.trim(text), r"[ \u00A0\u202F]", "")
     if style == "dot_thousands":
         return F.replace(F.replace(t, F.lit("."), F.lit("")), F.lit(","), F.lit(".")).try_cast("double")
     if style == "space_thousands":
@@ -81,13 +83,16 @@ def amount(text: Column, style: str = "auto") -> Column:
     if style != "auto":
         raise ValueError(f"no such style: {style}")
     no_commas, no_dots = F.replace(t, F.lit(","), F.lit("")), F.replace(t, F.lit("."), F.lit(""))
+    commas, dots = t.contains(","), t.contains(".")
     number = (
-        F.when(t.rlike(r"^[0-9]{1,3}(?:,[0-9]{3})+(?:\.[0-9]+)?$"), no_commas)
-        .when(t.rlike(r"^[0-9]{1,3}(?:\.[0-9]{3})+(?:,[0-9]+)?$"), F.replace(no_dots, F.lit(","), F.lit(".")))
-        .when(t.rlike(r"^[0-9]+,[0-9]+$"), F.replace(t, F.lit(","), F.lit(".")))
-        .when(t.rlike(r"^[0-9]+(?:\.[0-9]+)?$"), t)
+        F.when(commas & dots & t.rlike(r",[^.]*$"), F.replace(no_dots, F.lit(","), F.lit(".")))
+        .when(commas & dots, no_commas)
+        .when(commas & t.rlike(r"^[^,]*,[^,]{0,2}$"), F.replace(t, F.lit(","), F.lit(".")))
+        .when(commas, no_commas)
+        .when(t.rlike(r"^[^.]*(?:\.[^.]{3}){2,}$"), no_dots)
+        .otherwise(t)
     )
-    return number.try_cast("double")
+    return F.when(number.rlike(r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)$"), number).try_cast("double")
 
 
 def short_amount(n: Column) -> Column:

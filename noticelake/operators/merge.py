@@ -22,20 +22,25 @@ def new_rows(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
 
 def merge_sources(base: DataFrame, other: DataFrame, id_col: str, match_key: str, order: str, fill: Sequence[str], least_key: int = 1) -> DataFrame:
-    """``base`` with what ``other`` adds.
+    """``base`` with what ``other`` adds, as if rows of ``other`` came one by one in ``order``.
 
-    Rows of ``other`` with an id of ``base`` are skipped. Of the rest, a row whose
-    match key meets a base row fills that row's empty ``fill`` columns (the row
-    first by ``order`` does, of several); others are appended. A key shorter than
-    ``least_key`` characters matches nothing. ``_merge`` tells what became of a row.
+    A row with an id of ``base`` or of a row before it is skipped. Of the rest, a
+    row whose match key ``base`` has fills the ``fill`` columns that are still
+    empty in the last base row, by ``order``, of that key; others are appended.
+    A key shorter than ``least_key`` characters matches nothing. ``_merge`` tells
+    what became of a row.
     """
-    fresh = new_rows(base, other, id_col).withColumn("_key", F.when(F.length(match_key) >= least_key, F.col(match_key)))
-    known = base.select(F.col(match_key).alias("_key")).where(F.length("_key") >= least_key).distinct()
-    matching = fresh.join(known, "_key", "left_semi")
-    donor = best_row(matching, ["_key"], [F.col(order), F.col(id_col)]).select("_key", *(F.col(c).alias(f"_new_{c}") for c in fill))
-    filled = base.withColumn("_key", F.when(F.length(match_key) >= least_key, F.col(match_key))).join(donor.withColumn("_hit", F.lit(True)), "_key", "left")
-    updated = filled.select(*(F.coalesce(c, f"_new_{c}").alias(c) if c in fill else F.col(c) for c in base.columns), F.when(F.col("_hit"), "enriched").otherwise("kept").alias("_merge"))
-    appended = fresh.join(known, "_key", "left_anti").drop("_key").withColumn("_merge", F.lit("appended"))
+    place = F.struct(F.col(order).alias("o"), F.col(id_col).alias("i"))
+    usable = F.when(F.length(match_key) >= least_key, F.col(match_key))
+    fresh = new_rows(base, other, id_col)
+    fresh = best_row(fresh.where(F.col(id_col).isNotNull()), [id_col], [F.col(order)]).unionByName(fresh.where(F.col(id_col).isNull())).withColumn("_key", usable)
+    last = base.withColumn("_key", usable).where("_key IS NOT NULL").groupBy("_key").agg(F.max(place)["i"].alias("_target"))
+    matching = fresh.join(last, "_key", "left_semi")
+    donor = matching.groupBy("_key").agg(*(F.min_by(c, F.when(F.col(c).isNotNull(), place)).alias(f"_new_{c}") for c in fill))
+    target = last.join(donor, "_key").withColumnRenamed("_key", "_hit")
+    filled = base.withColumn("_key", usable).join(target, (F.col("_key") == F.col("_hit")) & (F.col(id_col) == F.col("_target")), "left")
+    updated = filled.select(*(F.coalesce(c, f"_new_{c}").alias(c) if c in fill else F.col(c) for c in base.columns), F.when(F.col("_hit").isNotNull(), "enriched").otherwise("kept").alias("_merge"))
+    appended = fresh.join(last, "_key", "left_anti").drop("_key").withColumn("_merge", F.lit("appended"))
     return updated.unionByName(appended, allowMissingColumns=True)
 
 

@@ -12,8 +12,9 @@ def best_row(df: DataFrame, keys: Sequence[Column | str], order: Sequence[Column
     """One row a key: the first in ``order``, whose last column must be unique.
 
     As an aggregate over a struct of the row, so that each task sends one row a
-    key and a key with a third of all rows is no task's load; ``order`` columns
-    are compared, so pass ascending orders only, or see ``top_rows``.
+    key and a key with a third of all rows is no task's load. ``order`` columns
+    are compared in ascending order with nulls first; ``descending`` turns a
+    number round and puts nulls last.
     """
     names = df.columns
     rank = F.struct(*(c.alias(f"o{k}") for k, c in enumerate(order)))

@@ -113,6 +113,13 @@ def listing_predicate(mode: str, authority: Column, keyword: Column) -> Column:
     return modes[mode]
 
 
+def listing_with_fallback(df: DataFrame, source: str, authority: Column, keyword: Column) -> DataFrame:
+    """Rows that pass both tests, or, of a source where none does, those that pass the first one alone."""
+    tested = df.withColumns({"_a": F.coalesce(authority, F.lit(False)), "_k": F.coalesce(keyword, F.lit(False))})
+    full = tested.where("_a AND _k").select(F.col(source).alias("_full")).distinct()
+    return tested.where("_a").join(full, F.col(source).eqNullSafe(F.col("_full")), "left").where("_k OR _full IS NULL").drop("_a", "_k", "_full")
+
+
 def in_scope(source: Column, record_id: Column, sources: Sequence[str]) -> Column:
     """By an explicit source, else by the id's prefix, else by a plain number with a year."""
     return F.when(source.isNotNull(), source.isin(*sources)).when(record_id.rlike("^[A-Z]{2}-"), F.left(record_id, F.lit(2)).isin(*sources)).otherwise(record_id.rlike("^[0-9]+-[0-9]{4}$"))

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import streams, tables
+from . import records, streams, tables
 
 QUERIES = dict(tables.QUERIES)
 ORACLES = dict(tables.ORACLES)
-__all__ = ["QUERIES", "ORACLES", "streams"]
+__all__ = ["QUERIES", "ORACLES", "records", "streams"]

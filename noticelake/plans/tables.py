@@ -147,10 +147,10 @@ def blocked_ids_removed(spark, sf_dir):
 # --- best row of a group
 
 
-@query("SELECT doc_id, lang, source FROM (SELECT *, row_number() OVER (PARTITION BY lower(left(source, 30)), lang, lower(left(text, 40)) ORDER BY n_chars DESC, doc_id) AS r FROM documents) WHERE r = 1")
+@query("SELECT doc_id, lang, source FROM (SELECT *, row_number() OVER (PARTITION BY lower(left(source, 30)), lang, lower(left(text, 40)) ORDER BY n_chars DESC NULLS LAST, doc_id) AS r FROM documents) WHERE r = 1")
 def dedup_best_row(spark, sf_dir):
     d = read(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars", F.left("text", F.lit(40)).alias("head"))
-    return ranking.best_row(d, [T.dedup_key((F.col("source"), 30), (F.col("lang"), 2), (F.col("head"), 40))], [-F.col("n_chars"), F.col("doc_id")]).select("doc_id", "lang", "source")
+    return ranking.best_row(d, [T.dedup_key((F.col("source"), 30), (F.col("lang"), 2), (F.col("head"), 40))], [ranking.descending(F.col("n_chars")), F.col("doc_id")]).select("doc_id", "lang", "source")
 
 
 @query("SELECT event_id, user_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY (CASE WHEN value IS NOT NULL AND value <> 0 THEN 1 ELSE 0 END + CASE WHEN props IS NOT NULL AND trim(props) <> '' THEN 1 ELSE 0 END) DESC, ts DESC, event_id) AS r FROM events) WHERE r = 1")
@@ -181,26 +181,27 @@ def sample_of_each_status(spark, sf_dir):
     return ranking.sample_of_each(read(spark, sf_dir, "orders"), "o_orderstatus", "o_orderkey", 5, 7).select("o_orderstatus", "o_orderkey")
 
 
-@query("SELECT p_brand, p_partkey, p_retailprice FROM (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY p_retailprice DESC, p_partkey) AS r FROM part) WHERE r = 1")
+@query("SELECT p_brand, p_partkey, p_retailprice FROM (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY p_retailprice DESC NULLS LAST, p_partkey) AS r FROM part) WHERE r = 1")
 def max_value_index(spark, sf_dir):
     p = read(spark, sf_dir, "part").select("p_brand", "p_partkey", "p_retailprice")
-    return ranking.best_row(p, ["p_brand"], [-F.col("p_retailprice"), F.col("p_partkey")])
+    return ranking.best_row(p, ["p_brand"], [ranking.descending(F.col("p_retailprice")), F.col("p_partkey")])
 
 
 # --- joins and set operations
 
 
-@query("""WITH base AS (SELECT 'C' || c_custkey AS id, c_nationkey || '|' || left(lower(c_name), 16) AS k, CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_acctbal END AS v FROM customer WHERE c_custkey % 3 <> 0),
- other AS (SELECT 'C' || c_custkey AS id, c_nationkey || '|' || left(lower(c_name), 16) AS k, c_acctbal + 1 AS v FROM customer WHERE c_custkey % 2 = 0),
- fresh AS (SELECT * FROM other WHERE id NOT IN (SELECT id FROM base)),
- donor AS (SELECT k, v FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY id) AS r FROM fresh WHERE k IN (SELECT k FROM base)) WHERE r = 1)
- SELECT b.id, round(coalesce(b.v, d.v), 2) AS v, CASE WHEN d.k IS NULL THEN 'kept' ELSE 'enriched' END AS merged FROM base b LEFT JOIN donor d USING (k)
+@query("""WITH base AS (SELECT 'S' || s_suppkey AS id, s_nationkey || '' AS k, CASE WHEN s_suppkey % 5 <> 0 THEN s_acctbal END AS v, s_suppkey AS o FROM supplier),
+ other AS (SELECT 'C' || c_custkey AS id, c_nationkey || '' AS k, CASE WHEN c_acctbal > 0 THEN c_acctbal END AS v, c_custkey AS o FROM customer UNION ALL SELECT 'S' || s_suppkey, s_nationkey || '', 0, s_suppkey FROM supplier),
+ fresh AS (SELECT * FROM other WHERE id NOT IN (SELECT id FROM base)), last AS (SELECT k, arg_max(id, o) AS id FROM base GROUP BY 1),
+ donor AS (SELECT k, arg_min(v, o) FILTER (v IS NOT NULL) AS v FROM fresh WHERE k IN (SELECT k FROM base) GROUP BY 1)
+ SELECT b.id, round(coalesce(b.v, d.v), 2) AS v, CASE WHEN d.k IS NULL THEN 'kept' ELSE 'enriched' END AS merged FROM base b LEFT JOIN last l USING (k, id) LEFT JOIN donor d ON d.k = l.k
  UNION ALL SELECT id, round(v, 2), 'appended' FROM fresh WHERE k NOT IN (SELECT k FROM base)""")
 def merge_anti_enrich(spark, sf_dir):
-    c = read(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", F.concat(F.lit("C"), "c_custkey").alias("id"), F.concat("c_nationkey", F.lit("|"), F.left(F.lower("c_name"), F.lit(16))).alias("k"))
-    base = c.where("c_custkey % 3 <> 0").select("id", "k", F.when(F.col("c_custkey") % 5 != 0, F.col("c_acctbal")).alias("v"))
-    other = c.where("c_custkey % 2 = 0").select("id", "k", (F.col("c_acctbal") + 1).alias("v"))
-    return merge.merge_sources(base, other, "id", "k", "id", ["v"]).select("id", F.round("v", 2).alias("v"), F.col("_merge").alias("merged"))
+    s, c = read(spark, sf_dir, "supplier"), read(spark, sf_dir, "customer")
+    base = s.select(F.concat(F.lit("S"), "s_suppkey").alias("id"), F.col("s_nationkey").cast("string").alias("k"), F.when(F.col("s_suppkey") % 5 != 0, F.col("s_acctbal")).alias("v"), F.col("s_suppkey").alias("o"))
+    other = c.select(F.concat(F.lit("C"), "c_custkey").alias("id"), F.col("c_nationkey").cast("string").alias("k"), F.when(F.col("c_acctbal") > 0, F.col("c_acctbal")).alias("v"), F.col("c_custkey").alias("o"))
+    again = base.withColumn("v", F.lit(0).cast(base.schema["v"].dataType))
+    return merge.merge_sources(base, other.unionByName(again), "id", "k", "o", ["v"]).select("id", F.round("v", 2).alias("v"), F.col("_merge").alias("merged"))
 
 
 @query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")

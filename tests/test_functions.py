@@ -143,3 +143,31 @@ def test_scored_candidates_equal_all_pairs_with_nulls(spark):
         best = sorted((-s, i) for s, i in scores if s > 0)[:5]
         want += [(x[0], k, i, -s) for k, (s, i) in enumerate(best, 1)]
     assert got == sorted(want) and any(not x[1] for x in rows for g in got if g[0] == x[0]) and any(x[2] is None for x in rows for g in got if g[0] == x[0])
+
+
+AMOUNTS = [("1.234", 1.234), ("1,2345", 12345.0), ("1,234", 1234.0), ("1,23", 1.23), ("1.234.567", 1234567.0), ("1.234,5", 1234.5), ("1,234.5", 1234.5), ("123 293,66", 123293.66), ("1.2.3", None), ("", None), ("x", None), (None, None)]
+
+
+def test_amounts_of_both_parsers(spark):
+    from noticelake.functions import annotate, extract
+
+    df = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(AMOUNTS)], "k int, t string")
+    got = {r.k: r.v for r in df.select("k", extract.amount(F.col("t")).alias("v")).collect()}
+    assert [got[k] for k in range(len(AMOUNTS))] == [v for _, v in AMOUNTS]
+    assert [annotate.parsed_amount(t) for t, _ in AMOUNTS if t] == [v for t, v in AMOUNTS if t]
+
+
+def test_merging_fills_the_last_row_of_a_key_once(spark):
+    from noticelake.operators import merge
+
+    base = spark.createDataFrame([("b1", "k", None, None, 1), ("b2", "k", None, 5, 2), ("b3", "q", 1, None, 3)], "id string, k string, v int, w int, o int")
+    other = spark.createDataFrame([("n1", "k", None, 7, 1), ("n2", "k", 9, 8, 2), ("b3", "k", 4, 4, 3), ("n3", "z", 3, 3, 4), ("n3", "z", 2, 2, 5), (None, "y", 1, 1, 6)], base.schema)
+    got = sorted((tuple(r) for r in merge.merge_sources(base, other, "id", "k", "o", ["v", "w"]).collect()), key=str)
+    assert got == sorted([("b1", "k", None, None, 1, "kept"), ("b2", "k", 9, 5, 2, "enriched"), ("b3", "q", 1, None, 3, "kept"), ("n3", "z", 3, 3, 4, "appended"), (None, "y", 1, 1, 6, "appended")], key=str)
+
+
+def test_listing_falls_back_only_where_nothing_passes_both(spark):
+    from noticelake.operators import rules
+
+    df = spark.createDataFrame([(1, "a", True, True), (2, "a", True, False), (3, "b", True, False), (4, "b", False, True), (5, None, True, None)], "id int, s string, x boolean, y boolean")
+    assert {r.id for r in rules.listing_with_fallback(df, "s", F.col("x"), F.col("y")).collect()} == {1, 3, 5}
