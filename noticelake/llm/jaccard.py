@@ -26,7 +26,7 @@ import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache, reduce
-from operator import and_
+from operator import add, and_
 
 import numpy as np
 import pyarrow as pa
@@ -308,18 +308,21 @@ class _Join:
         return pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
     def postings(self, links: DataFrame, main_rows: int = 8) -> DataFrame:
-        """Prefix tokens that sets of two clusters have: ``token, set_id, n, at, cluster, main, low, high``.
+        """Prefix tokens that sets of two clusters have: ``token, set_id, n, at, cluster, main, bits_0`` and so on.
 
         ``main`` marks rows of the cluster with most rows of the token, where those
         are ``main_rows`` or more: true for its rows, false for others, null where
-        no cluster has as many. ``low`` and ``high`` are a sketch of the set.
+        no cluster has as many. The bits are the set's sketch.
         """
         rows = self.docs.select("text").mapInArrow(_postings(self.s, self.frequent), "token long, part int, set_id long, n int, at int")
         group = Window.partitionBy("token", "part")
-        rows = rows.select("*", F.min("set_id").over(group).alias("least"), F.max("set_id").over(group).alias("most"))
-        rows = rows.where("part > 0 OR least <> most").groupBy("token", "part", "set_id", "n", "at").agg(F.lit(1).alias("_")).select("token", "set_id", "n", "at")
-        fold = lambda odd: F.aggregate(F.transform("bits", lambda x, k: F.when(k % 2 == odd, x).otherwise(0)), F.lit(0).cast("long"), lambda x, y: x.bitwiseXOR(y))
-        info = self.classes.select("set_id", fold(0).alias("low"), fold(1).alias("high")).join(connected_components(links), F.col("set_id") == F.col("node"), "left").select("set_id", F.coalesce("component", "set_id").alias("cluster"), "low", "high")
+        t, left, over = self.s.percent, F.col("n") - F.col("at"), lambda c: c.over(group)
+        # A token is of use if one of its sets may be the smaller one of a pair, and two rows alone if they are such a pair.
+        two = (over(F.min(left)) >= _least_overlap(over(F.sum("n")), F.lit(0), t)) & (over(F.min("n")) * 100 >= over(F.max("n")) * t)
+        waits = over(F.max(left >= _least_overlap(F.col("n"), F.col("n"), t)))
+        rows = rows.select("*", ((over(F.min("set_id")) != over(F.max("set_id"))) & waits & ((over(F.count("*")) > 2) | two)).alias("useful"))
+        rows = rows.where("part > 0 OR useful").groupBy("token", "part", "set_id", "n", "at").agg(F.lit(1).alias("_")).select("token", "set_id", "n", "at")
+        info = self.classes.select("set_id", *(F.col("bits")[k].alias(f"bits_{k}") for k in range(self.s.sketch_words))).join(connected_components(links), F.col("set_id") == F.col("node"), "left").drop("node").withColumn("cluster", F.coalesce("component", "set_id")).drop("component")
         rows = written(rows.join(info, "set_id"), "postings")
         counts = rows.groupBy("token", "cluster").agg(F.count("*").alias("size"))
         tokens = counts.groupBy("token").agg(F.count("*").alias("clusters"), F.max(F.struct("size", "cluster")).alias("first")).where("clusters > 1").select("token", F.when(F.col("first.size") >= main_rows, F.col("first.cluster")).alias("first"))
@@ -344,7 +347,7 @@ class _Join:
         n, m = F.col("x.n"), F.col("y.n")
         enough = F.least(n - F.col("x.at"), m - F.col("y.at")) >= _least_overlap(n, m, t)
         in_order = (n > m) | ((n == m) & (F.col("x.set_id") > F.col("y.set_id")))
-        apart = F.bit_count(F.col("x.low").bitwiseXOR(F.col("y.low"))) + F.bit_count(F.col("x.high").bitwiseXOR(F.col("y.high")))
+        apart = reduce(add, (F.bit_count(F.col(f"x.bits_{k}").bitwiseXOR(F.col(f"y.bits_{k}"))) for k in range(self.s.sketch_words)))
         same = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("token", "band", "side")]
         met = x.join(y, reduce(and_, same) & (F.col("x.cluster") != F.col("y.cluster")) & in_order & (m * 100 >= n * t) & enough & (apart * of <= (n + m) * (100 - t)))
         return met.select(F.least("x.set_id", "y.set_id").alias("a"), F.greatest("x.set_id", "y.set_id").alias("b")).distinct()
