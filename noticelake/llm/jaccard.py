@@ -322,11 +322,14 @@ class _Join:
         waits = over(F.max(left >= _least_overlap(F.col("n"), F.col("n"), t)))
         rows = rows.select("*", ((over(F.min("set_id")) != over(F.max("set_id"))) & waits & ((over(F.count("*")) > 2) | two)).alias("useful"))
         rows = rows.where("part > 0 OR useful").groupBy("token", "part", "set_id", "n", "at").agg(F.lit(1).alias("_")).select("token", "set_id", "n", "at")
-        info = self.classes.select("set_id", *(F.col("bits")[k].alias(f"bits_{k}") for k in range(self.s.sketch_words))).join(connected_components(links), F.col("set_id") == F.col("node"), "left").drop("node").withColumn("cluster", F.coalesce("component", "set_id")).drop("component")
-        rows = written(rows.join(info, "set_id"), "postings")
+        rows = rows.join(connected_components(links), F.col("set_id") == F.col("node"), "left").withColumn("cluster", F.coalesce("component", "set_id")).drop("node", "component")
+        rows = written(rows, "postings")
         counts = rows.groupBy("token", "cluster").agg(F.count("*").alias("size"))
         tokens = counts.groupBy("token").agg(F.count("*").alias("clusters"), F.max(F.struct("size", "cluster")).alias("first")).where("clusters > 1").select("token", F.when(F.col("first.size") >= main_rows, F.col("first.cluster")).alias("first"))
-        return rows.join(tokens, "token").withColumn("main", F.col("cluster") == F.col("first")).drop("first")
+        rows = rows.join(tokens, "token").withColumn("main", F.col("cluster") == F.col("first")).drop("first")
+        # Sketches are eight times as wide as a row, so only rows that may meet another cluster get them.
+        bits = self.classes.select("set_id", *(F.col("bits")[k].alias(f"bits_{k}") for k in range(self.s.sketch_words)))
+        return written(rows.join(bits, "set_id"), "meeting")
 
     def far_apart(self, rows: DataFrame) -> DataFrame:
         """All pairs of sets of different clusters that share a prefix token, sizes, places and sketches allowing.
