@@ -146,6 +146,11 @@ def sketch(tokens: np.ndarray, words: int) -> np.ndarray:
     return np.packbits(parity.astype(np.uint8), bitorder="little").view("<i8")
 
 
+def wide_sketch(tokens: np.ndarray) -> np.ndarray:
+    """As ``sketch``, of at least two bits a token: 64 times a power of two, so that the wider of two folds onto the other."""
+    return sketch(tokens, 1 << max(0, math.ceil(len(tokens) / 32) - 1).bit_length())
+
+
 def lead_keys(tokens: np.ndarray, leads: int) -> np.ndarray:
     """The first token, as its key, under each order that puts one ``leads``-th of all tokens first; no key where a set has none of those."""
     key = np.sort(order_key(tokens, 1))
@@ -249,6 +254,12 @@ def _bits_apart(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
 
 
+def _folded(bits: Column, size: Column) -> Column:
+    """A wide sketch on ``size`` words, its own number or half of it."""
+    halves = F.zip_with(F.slice(bits, F.lit(1), size), F.slice(bits, size + 1, size), lambda x, y: x.bitwiseXOR(y))
+    return F.when(F.size(bits) > size, halves).otherwise(bits)
+
+
 def _verify(s: JaccardSettings):
     """Which pairs of whole sets are similar enough."""
 
@@ -271,6 +282,7 @@ class _Join:
     def __init__(self, docs: DataFrame, s: JaccardSettings):
         self.docs, self.s = docs, s
         self.tokens: DataFrame | None = None
+        self.wide: DataFrame | None = None
         self.spark = docs.sparkSession
         both = written(docs.mapInArrow(_sets_and_counts(s), _SETS_SQL), "sets")
         self.sets = both.where("n IS NOT NULL").select("doc_id", "n", "set_id")
@@ -367,14 +379,13 @@ class _Join:
         return self.measured(pairs).where((F.least(n, m) * 100 >= F.greatest(n, m) * t) & (F.col("apart") * (100 + t) <= (n + m) * (100 - t))).select("a", "b")
 
     def similar(self, pairs: DataFrame) -> DataFrame:
-        """The links among the pairs: prefixes must meet under each further order, then whole sets are compared."""
+        """The links among the pairs: wide sketches must be near, prefixes must meet under each further order, then whole sets are compared."""
         pairs = written(self.plausible(pairs), "pairs")
-        ids = written(pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct(), "ids")
-        if self.tokens is not None:
-            ids = written(ids.join(self.tokens.select("set_id"), "set_id", "left_anti"), "ids")
+        close = written(self.close(pairs), "close")
+        ids = self.unknown(close, self.tokens)
         new = self.token_sets(ids)
         self.tokens = new if self.tokens is None else self.tokens.unionByName(new)
-        both = pairs
+        both = close
         for side in ("b", "a"):
             both = both.join(self.tokens.select(F.col("set_id").alias(side), F.col("prefixes").alias(f"prefixes_{side}")), side)
         meet = [F.arrays_overlap(F.col("prefixes_a")[k], F.col("prefixes_b")[k]) for k in range(self.s.orders - 1)]
@@ -383,18 +394,31 @@ class _Join:
             both = both.join(self.tokens.select(F.col("set_id").alias(side), F.col("tokens").alias(name)), side)
         return written(both.select("a", "b", "left", "right").mapInArrow(_verify(self.s), "a long, b long"), "links")
 
-    def token_sets(self, ids: DataFrame) -> DataFrame:
-        """``set_id, prefixes, tokens`` of the wanted sets, each made again from one of its texts.
+    def unknown(self, pairs: DataFrame, known: DataFrame | None) -> DataFrame:
+        """The sets of the pairs that ``known`` has no row of."""
+        ids = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
+        return written(ids if known is None else ids.join(known.select("set_id"), "set_id", "left_anti"), "ids")
 
-        ``prefixes`` has an array of 32-bit keys for each further order.
-        """
+    def close(self, pairs: DataFrame) -> DataFrame:
+        """Pairs whose wide sketches are not too far apart: for long sets the short ones say little."""
+        new = self.wide_sketches(self.unknown(pairs, self.wide))
+        self.wide = new if self.wide is None else self.wide.unionByName(new)
+        for side in ("b", "a"):
+            pairs = pairs.join(self.wide.select(F.col("set_id").alias(side), F.col("n").alias(f"n_{side}"), F.col("wide").alias(f"wide_{side}")), side)
+        size = F.least(F.size("wide_a"), F.size("wide_b"))
+        apart = _bits_apart(*(_folded(F.col(f"wide_{side}"), size) for side in ("a", "b")))
+        return pairs.where(apart * (100 + self.s.percent) <= (F.col("n_a") + F.col("n_b")) * (100 - self.s.percent)).select("a", "b")
+
+    def remade(self, ids: DataFrame, columns, schema: str, name: str) -> DataFrame:
+        """``columns`` of the wanted sets, each set made again from one of its texts."""
         own = self.classes.select("set_id", "doc_id", "key").join(ids, "set_id")
         if ids.count() <= self.s.most_broadcast:  # three numbers a row, so at most some 70 MB
             own = F.broadcast(own)
-        s = self.s
+        width = self.s.width
+        names = [c.split()[0] for c in schema.split(", ")]
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            make, done = shingler(s.width), set()
+            make, done = shingler(width), set()
             for batch in pieces(batches, 200):
                 found = []
                 for own, text in zip(batch.column("set_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
@@ -402,12 +426,33 @@ class _Join:
                     if len(tokens) and set_hashes(tokens)[0] == own:  # other texts may have its id and key too
                         done.add(own)
                         found.append((own, tokens))
-                prefixes = [prefix_keys(t, o, s.percent) for _, t in found for o in range(1, s.orders)]
-                offsets = np.arange(len(found) + 1, dtype=np.int32) * (s.orders - 1)
-                yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in found], pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), _lists(prefixes, np.int32)), _lists([t.view(np.int64) for _, t in found], np.int64)], names=["set_id", "prefixes", "tokens"])
+                yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in found], pa.int64()), *columns([t for _, t in found])], names=names)
 
         docs = self.docs.alias("d").join(own.alias("o"), F.col("d.key").eqNullSafe(F.col("o.key")) & F.col("d.doc_id").eqNullSafe(F.col("o.doc_id")))
-        return written(docs.select("o.set_id", "d.text").mapInArrow(run, "set_id long, prefixes array<array<int>>, tokens array<long>"), "tokens")
+        rows = docs.select("o.set_id", "d.text").mapInArrow(run, schema)
+        return written(rows, name)
+
+    def wide_sketches(self, ids: DataFrame) -> DataFrame:
+        """``set_id, n, wide`` of the wanted sets."""
+
+        def columns(sets: list[np.ndarray]) -> list[pa.Array]:
+            return [pa.array([len(t) for t in sets], pa.int64()), _lists([wide_sketch(t) for t in sets], np.int64)]
+
+        return self.remade(ids, columns, "set_id long, n long, wide array<long>", "wide")
+
+    def token_sets(self, ids: DataFrame) -> DataFrame:
+        """``set_id, prefixes, tokens`` of the wanted sets.
+
+        ``prefixes`` has an array of 32-bit keys for each further order.
+        """
+        orders, percent = self.s.orders, self.s.percent
+
+        def columns(sets: list[np.ndarray]) -> list[pa.Array]:
+            prefixes = [prefix_keys(t, o, percent) for t in sets for o in range(1, orders)]
+            offsets = np.arange(len(sets) + 1, dtype=np.int32) * (orders - 1)
+            return [pa.ListArray.from_arrays(pa.array(offsets), _lists(prefixes, np.int32)), _lists([t.view(np.int64) for t in sets], np.int64)]
+
+        return self.remade(ids, columns, "set_id long, prefixes array<array<int>>, tokens array<long>", "tokens")
 
     def links(self) -> DataFrame:
         """Links that connect all sets that links connect: few within a group of copies, all that join two groups."""

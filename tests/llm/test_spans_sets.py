@@ -143,6 +143,20 @@ def test_prefixes_of_similar_sets_meet_under_every_order():
                 assert len(np.intersect1d(jaccard.prefix_keys(a, order, 80), jaccard.prefix_keys(b, order, 80)))
 
 
+def test_wide_sketches_are_never_further_apart_than_the_sets(spark):
+    rng = np.random.default_rng(4)
+    for n in (1, 31, 32, 33, 64, 500, 1024, 1025, 3000):
+        for more in (0, 1, n // 5):
+            a = np.unique(rng.integers(1, 2**63, n, dtype=np.uint64))
+            b = np.union1d(a[: n - n // 20], rng.integers(1, 2**63, more, dtype=np.uint64))
+            x, y = jaccard.wide_sketch(a), jaccard.wide_sketch(b)
+            assert 64 * len(x) >= 2 * len(a)
+            size = F.least(F.size("x"), F.size("y"))
+            row = spark.createDataFrame([(x.tolist(), y.tolist())], "x array<long>, y array<long>")
+            apart = row.select(jaccard._bits_apart(jaccard._folded(F.col("x"), size), jaccard._folded(F.col("y"), size))).first()[0]
+            assert apart <= len(np.setxor1d(a, b)), (n, more)
+
+
 def test_connected_components(spark):
     rng = random.Random(1)
     edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(120)] + [(k, k + 1) for k in range(300, 340)] + [(5, 5)]
