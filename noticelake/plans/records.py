@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import extract as X
+from ..functions import mining
 from ..functions import text as T
 from ..operators import linkage, merge, ranking, resolve, rules
 from .tables import query, read
@@ -157,3 +158,65 @@ def match_scores(spark, sf_dir):
     j = read(spark, sf_dir, "orders").join(read(spark, sf_dir, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey")).join(read(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
     g = j.groupBy("o_orderkey").agg(F.count_distinct("p_brand").alias("codes"), F.count_distinct("l_suppkey").alias("names"), F.count_distinct("l_returnflag").alias("words"))
     return g.select("o_orderkey", linkage.match_score(F.col("codes"), F.col("names"), F.col("words")).cast("double").alias("score"))
+
+
+# What a notice of each line would say, and what must be found in it: {q} is the quantity, {d} the day.
+_SHIP = "CAST(l_shipdate AS DATE)"
+_NOTICES_SQL = f"""WITH n AS (SELECT l_orderkey, l_linenumber, CAST(l_quantity AS INTEGER) AS q, {_SHIP} AS d FROM lineitem)
+ SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber <> 2 AND q BETWEEN 1 AND 10000 THEN q END AS quantity,
+ strftime(CASE WHEN l_linenumber = 3 THEN DATE '2026-05-01' + q WHEN l_linenumber = 4 THEN DATE '2026-05-01' + 30 * q ELSE d END, '%Y-%m-%d') AS deadline,
+ CASE l_linenumber WHEN 4 THEN q WHEN 5 THEN CASE WHEN 12 * q + 6 <= 600 THEN 12 * q + 6 END WHEN 6 THEN q ELSE NULL END AS months,
+ CASE l_linenumber WHEN 1 THEN 'dl_en_by_monthname' WHEN 2 THEN 'dl_de_bis' WHEN 3 THEN 'dl_fr_jours_apres' WHEN 4 THEN 'dl_en_months_after_award' WHEN 5 THEN 'dl_en_by_slashdate_dmy' WHEN 6 THEN 'dl_iso_by' ELSE 'dl_en_by_dashdate' END AS found_by FROM n"""
+
+
+@query(_NOTICES_SQL)
+def notices_mined(spark, sf_dir):
+    """Every line written as a notice in one of seven languages and forms, and mined; line 2 names an identifier beside its number."""
+    q, day = F.col("l_quantity").cast("int").cast("string"), F.col("l_shipdate")
+    at = lambda form: F.date_format(day, form)
+    forms = [
+        ("Procurement of Qty {q} Lowbed Trailers, no later than {d}.", "MMMM d, yyyy"),
+        ("File Number: X{q}. Menge: {q}. Lieferung bis {d} nach Bonn.", "d.M.yyyy"),
+        ("Fourniture: quantité : {q}, soit {q} jours après la notification.", None),
+        ("Dostawa {q} szt. towaru, {q} months after signing, for a period of {q} months.", None),
+        ("Постачання, кількість: {q}; delivery by {d}; a {q} years and 6 months contract.", "d/M/yyyy"),
+        ("Antal: {q}. Leverans: deadline {d}. Vertragsdauer: {q} Monate.", "yyyy-MM-dd"),
+        ("A total of {q} units is needed before {d}.", "d-MMM-yyyy"),
+    ]
+    text = F.lit(None).cast("string")
+    for k, (form, date) in reversed(list(enumerate(forms, 1))):
+        filled = F.replace(F.lit(form), F.lit("{q}"), q)
+        text = F.when(F.col("l_linenumber") == k, F.replace(filled, F.lit("{d}"), at(date)) if date else filled).otherwise(text)
+    m = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", mining.mined(text, F.lit("2026-05-01").cast("date")).alias("m"))
+    return m.select("l_orderkey", "l_linenumber", F.col("m.quantity.value").alias("quantity"), F.date_format("m.deadline.value", "yyyy-MM-dd").alias("deadline"), F.col("m.duration.value").alias("months"), F.col("m.deadline.pattern").alias("found_by"))
+
+
+def _mined_sql(patterns) -> str:
+    """The first pattern with a valid number, over texts ``t`` of documents."""
+    tries = ", ".join(f"CASE WHEN TRY_CAST(regexp_extract(t, '(?i){p}', 1) AS INTEGER) BETWEEN 1 AND 10000 AND NOT regexp_matches(right(regexp_split_to_array(t, '(?i){p}')[1], 60) || regexp_extract(t, '(?i){p}', 0) || left(substr(t, length(regexp_split_to_array(t, '(?i){p}')[1]) + length(regexp_extract(t, '(?i){p}', 0)) + 1), 60), '(?i){mining.IDENTIFIER_NEAR}') THEN TRY_CAST(regexp_extract(t, '(?i){p}', 1) AS INTEGER) END" for p in patterns)
+    return f"coalesce({tries})"
+
+
+_SMALL = {k: mining.QUANTITY[k] for k in ("quantity_en_inline", "qty_en_units", "qty_de_menge", "qty_sv_antal")}
+
+
+@query(f"""WITH p AS (SELECT ps_id AS id, CASE WHEN ps_id % 5 = 0 THEN 'contract no ' || ps_id || ', ' ELSE '' END || c || CASE WHEN ps_id % 2 = 0 THEN '. Quantity: ' ELSE '. Menge ' END || p_size || ', ' || p_name AS t FROM (SELECT p_partkey AS ps_id, p_size, p_name, p_type AS c FROM part))
+ SELECT id AS p_partkey, {_mined_sql(_SMALL.values())} AS quantity FROM p""")
+def quantities_guarded(spark, sf_dir):
+    """Sizes of parts behind their types, whose length decides whether the identifier is near enough to reject them."""
+    k = F.col("p_partkey")
+    text = F.concat(F.when(k % 5 == 0, F.concat(F.lit("contract no "), k, F.lit(", "))).otherwise(F.lit("")), "p_type", F.when(k % 2 == 0, F.lit(". Quantity: ")).otherwise(F.lit(". Menge ")), "p_size", F.lit(", "), "p_name")
+    return read(spark, sf_dir, "part").select("p_partkey", mining.mined_quantity(text)["value"].alias("quantity"))
+
+
+@query("""WITH t AS (SELECT l_suppkey, CAST(max(l_quantity) AS INTEGER) AS q, count(*) FILTER (l_returnflag = 'R') AS r FROM lineitem GROUP BY 1)
+ SELECT l_suppkey, CASE r % 4 WHEN 0 THEN 'framework_agreement' WHEN 1 THEN 'recurring' WHEN 2 THEN 'framework_agreement' ELSE 'one_time' END AS contract_type, CAST(CASE r % 2 WHEN 0 THEN q ELSE q * 12 END AS INTEGER) AS duration_months, r % 4 = 1 AS extension_options FROM t""")
+def contract_profiles(spark, sf_dir):
+    """The kind, length and extension of a contract with each supplier, written by its returns in four forms."""
+    t = read(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(F.max("l_quantity").cast("int").cast("string").alias("q"), F.count(F.when(F.col("l_returnflag") == "R", 1)).alias("r"))
+    forms = ["Rahmenvereinbarung über {q} Monate", "Annual servicing, {q} years, with renewal", "supply of goods for {q} months", "Supply of goods, {q} ans"]
+    text = F.lit(None).cast("string")
+    for k, form in enumerate(forms):
+        text = F.when(F.col("r") % 4 == k, F.replace(F.lit(form), F.lit("{q}"), F.col("q"))).otherwise(text)
+    profile = mining.contract_profile(F.when(F.col("r") % 4 == 2, "fa-w-rc"), text)
+    return t.select("l_suppkey", profile.alias("p")).select("l_suppkey", "p.*")

@@ -204,9 +204,9 @@ def merge_anti_enrich(spark, sf_dir):
     return merge.merge_sources(base, other.unionByName(again), "id", "k", "o", ["v"]).select("id", F.round("v", 2).alias("v"), F.col("_merge").alias("merged"))
 
 
-@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'O' AND o_orderpriority = '1-URGENT')")
 def anti_missing(spark, sf_dir):
-    return read(spark, sf_dir, "customer").join(read(spark, sf_dir, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey", "c_name")
+    return read(spark, sf_dir, "customer").join(read(spark, sf_dir, "orders").where("o_orderstatus = 'O' AND o_orderpriority = '1-URGENT'"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey", "c_name")
 
 
 @query("SELECT p_partkey, p_name FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_quantity >= 49)")
@@ -273,7 +273,7 @@ def award_best_match(spark, sf_dir):
 _WORDS_SQL = "list_distinct(regexp_extract_all(lower({0}), '[\\p{{L}}\\p{{N}}_]{{4,}}'))"
 
 
-@query(f"WITH b AS (SELECT item_id, unnest({_WORDS_SQL.format('text')}) AS w FROM benchmark), c AS (SELECT conv_id * 1000 + turn AS turn_id, unnest({_WORDS_SQL.format('text')}) AS w FROM conversations), f AS (SELECT w FROM c GROUP BY w HAVING count(*) <= 200) SELECT item_id, turn_id, count(*) AS shared FROM b JOIN c USING (w) WHERE w IN (SELECT w FROM f) GROUP BY 1, 2 HAVING count(*) >= 4")
+@query(f"WITH b AS (SELECT item_id, unnest({_WORDS_SQL.format('text')}) AS w FROM benchmark), c AS (SELECT conv_id * 1000 + turn AS turn_id, unnest({_WORDS_SQL.format('text')}) AS w FROM conversations) SELECT item_id, turn_id, count(*) AS shared FROM b JOIN c USING (w) GROUP BY 1, 2 HAVING count(*) >= 4")
 def token_overlap_join(spark, sf_dir):
     turns = read(spark, sf_dir, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("turn_id"), "text")
     return linkage.token_overlap(read(spark, sf_dir, "benchmark"), turns, "item_id", "turn_id", "text", "text", 4, 4)
@@ -353,10 +353,13 @@ def vendor_status_map(spark, sf_dir):
     return read(spark, sf_dir, "orders").select("o_orderkey", resolve.vendor_status(F.col("o_orderstatus"), {"o": "Open", "f": "Closed", "p": "Awarded"}).alias("status"))
 
 
-@query("SELECT n_nationkey, CASE n_nationkey % 4 WHEN 0 THEN 'DE' WHEN 1 THEN 'FR' WHEN 2 THEN 'GB' ELSE 'Unknown' END AS iso2 FROM nation")
+@query("SELECT c_custkey, CASE n_name WHEN 'NATION_1' THEN 'DE' WHEN 'NATION_2' THEN 'FR' WHEN 'NATION_3' THEN 'GB' ELSE coalesce(CASE r_name WHEN 'AFRICA' THEN 'ZA' WHEN 'ASIA' THEN 'JP' END, 'Unknown') END AS iso2 FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey")
 def country_alias(spark, sf_dir):
-    raw = F.element_at(F.array(*map(F.lit, ("deu\nDEU", "france", "UK", "nowhere"))), F.col("n_nationkey") % 4 + 1)
-    return read(spark, sf_dir, "nation").select("n_nationkey", resolve.country({"DEU": "DE", "France": "FR", "UK": "GB"}, raw, default="Unknown").alias("iso2"))
+    """The nation's name as an alias in capitals, as written or in title case, else the region's."""
+    n = read(spark, sf_dir, "nation").join(read(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    written = F.concat(F.when(F.col("n_regionkey") % 2 == 0, F.lower("n_name")).otherwise(F.col("n_name")), F.lit("\n"), F.col("n_name"))
+    iso = resolve.country({"NATION_1": "DE", "Nation_2": "FR", "NATION_2": "FR", "NATION_3": "GB", "Africa": "ZA", "ASIA": "JP"}, written, F.lower("r_name"), default="Unknown")
+    return read(spark, sf_dir, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", iso.alias("iso2"))
 
 
 @query("SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN 'DE-' || s_suppkey WHEN s_suppkey % 3 = 1 THEN CAST(s_suppkey AS VARCHAR) || '-2024' ELSE 'DE-' || s_suppkey END AS id FROM supplier")
@@ -366,10 +369,12 @@ def formatted_ids(spark, sf_dir):
     return read(spark, sf_dir, "supplier").select("s_suppkey", T.formatted_id(raw, F.lit("DE")).alias("id"))
 
 
-@query("SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'portal' WHEN o_orderkey % 3 = 1 THEN 'TED' ELSE 'German portal' END AS label FROM orders")
+@query("SELECT doc_id, CASE WHEN source = 'src0' THEN 'hot portal' WHEN source = 'src1' THEN 'first portal' WHEN lang = 'de' THEN 'German portal' WHEN lang = 'fr' THEN 'French portal' WHEN lang IS NULL THEN 'TED' ELSE 'other' END AS label FROM documents")
 def source_labels(spark, sf_dir):
-    k = F.col("o_orderkey")
-    return read(spark, sf_dir, "orders").select("o_orderkey", resolve.source_label(F.when(k % 3 == 0, "p"), F.when(k % 3 == 1, F.concat(k, F.lit("-2020"))).otherwise(F.concat(F.lit("DE-"), k)), {"p": "portal", "DE": "German portal"}).alias("label"))
+    """By source, else by the language that the id starts with, else by the form of the id."""
+    record = F.coalesce(F.concat("lang", F.lit("-"), "doc_id"), F.concat("doc_id", F.lit("-2024")))
+    labels = {"src0": "hot portal", "src1": "first portal", "de": "German portal", "fr": "French portal"}
+    return read(spark, sf_dir, "documents").select("doc_id", resolve.source_label(F.col("source"), record, labels).alias("label"))
 
 
 @query("SELECT s_suppkey, 'A ' || s_name || ' / B' AS winner, trim(split_part(s_name || ', Dept - X', ',', 1)) AS short FROM supplier")
@@ -409,11 +414,11 @@ def crosstab_pivot(spark, sf_dir):
     return read(spark, sf_dir, "documents").groupBy("source").pivot("lang", ["de", "en", "es", "fr"]).agg(F.count(F.lit(1))).na.fill(0)
 
 
-@query("""WITH l AS (SELECT l_orderkey, l_linenumber, p_brand, p_type, l_extendedprice AS v FROM lineitem JOIN part ON l_partkey = p_partkey), a AS (SELECT p_brand, p_type, median(v) AS m FROM l GROUP BY 1, 2 HAVING count(*) >= 40), b AS (SELECT p_brand, median(v) AS m FROM l GROUP BY 1 HAVING count(*) >= 2000), c AS (SELECT p_type, median(v) AS m FROM l GROUP BY 1 HAVING count(*) >= 3)
+@query("""WITH l AS (SELECT l_orderkey, l_linenumber, p_brand, p_type, l_extendedprice AS v FROM lineitem JOIN part ON l_partkey = p_partkey), a AS (SELECT p_brand, p_type, median(v) AS m FROM l GROUP BY 1, 2 HAVING count(*) >= 2), b AS (SELECT p_brand, median(v) AS m FROM l GROUP BY 1 HAVING count(*) >= 2), c AS (SELECT p_type, median(v) AS m FROM l GROUP BY 1 HAVING count(*) >= 3)
  SELECT l_orderkey, l_linenumber, round(coalesce(a.m, b.m, c.m), 4) AS median, CASE WHEN a.m IS NOT NULL THEN 1 WHEN b.m IS NOT NULL THEN 2 WHEN c.m IS NOT NULL THEN 3 END AS level FROM l LEFT JOIN a USING (p_brand, p_type) LEFT JOIN b USING (p_brand) LEFT JOIN c USING (p_type)""")
 def median_waterfall(spark, sf_dir):
     li = read(spark, sf_dir, "lineitem").join(read(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")).select("l_orderkey", "l_linenumber", "p_brand", "p_type", F.col("l_extendedprice").alias("v"))
-    return metrics.median_waterfall(li, "v", [(["p_brand", "p_type"], 40), (["p_brand"], 2000), (["p_type"], 3)]).select("l_orderkey", "l_linenumber", F.round("median", 4).alias("median"), "level")
+    return metrics.median_waterfall(li, "v", [(["p_brand", "p_type"], 2), (["p_brand"], 2), (["p_type"], 3)]).select("l_orderkey", "l_linenumber", F.round("median", 4).alias("median"), "level")
 
 
 @query("SELECT source, count(*) AS n FROM documents GROUP BY 1 ORDER BY n DESC, source LIMIT 10")
@@ -449,10 +454,13 @@ def ratio_eval(spark, sf_dir):
 # --- text functions
 
 
-@query("SELECT o_orderkey, CAST(CASE o_orderkey % 6 WHEN 0 THEN 123293.66 WHEN 1 THEN 20800000.0 WHEN 2 THEN 1.23 WHEN 3 THEN 123293.66 WHEN 4 THEN 12345.0 END AS DOUBLE) AS amount FROM orders")
+@query("SELECT o_orderkey, o_totalprice AS english, o_totalprice AS continental, o_totalprice AS spaced, o_totalprice AS plain FROM orders")
 def amount_parse(spark, sf_dir):
-    raw = F.element_at(F.array(*map(F.lit, ("123,293.66", "20.800.000", "1,23", "123 293,66", "12345", "n/a"))), (F.col("o_orderkey") % 6 + 1).cast("int"))
-    return read(spark, sf_dir, "orders").select("o_orderkey", X.amount(raw).alias("amount"))
+    """Every price written with four kinds of separators and read again."""
+    english = F.format_number("o_totalprice", 2)
+    spaced = F.replace(F.replace(english, F.lit(","), F.lit("\u00a0")), F.lit("."), F.lit(","))
+    written = {"english": english, "continental": F.translate(english, ",.", ".,"), "spaced": spaced, "plain": F.col("o_totalprice").cast("decimal(18,2)").cast("string")}
+    return read(spark, sf_dir, "orders").select("o_orderkey", *(X.amount(c).alias(n) for n, c in written.items()))
 
 
 @query("SELECT p_partkey, CASE WHEN p_size BETWEEN 1 AND 40 THEN p_size END AS quantity, CASE WHEN p_size + 12 BETWEEN 1 AND 600 THEN CAST(p_size + 12 AS INTEGER) END AS months, strftime(DATE '2026-05-01' + p_size, '%Y-%m-%d') AS deadline FROM part")
@@ -509,12 +517,10 @@ def json_props(spark, sf_dir):
     return read(spark, sf_dir, "events").select("event_id", F.from_json(fixed, "k long")["k"].alias("k"))
 
 
-@query("SELECT vec_id, 'LOT-0001' AS lot, round(CAST(embedding[1] AS DOUBLE), 5) AS value FROM embeddings UNION ALL SELECT vec_id, 'LOT-0002', round(CAST(embedding[2] AS DOUBLE), 5) FROM embeddings")
+@query("SELECT vec_id, 'LOT-' || lpad(CAST(i AS VARCHAR), 4, '0') AS lot, CAST(embedding[i] AS DOUBLE) AS value FROM (SELECT vec_id, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings)")
 def lots_zip(spark, sf_dir):
-    e = read(spark, sf_dir, "embeddings")
-    first = F.slice("embedding", 1, 2)
-    lots = resolve.numbered_lots(first, F.transform(first, lambda x: x.cast("string")))
-    return e.select("vec_id", F.explode(lots).alias("l")).select("vec_id", "l.lot", F.round(F.col("l.value").cast("double"), 5).alias("value"))
+    lots = resolve.numbered_lots(F.col("embedding"), F.transform("embedding", lambda x: x.cast("string")))
+    return read(spark, sf_dir, "embeddings").select("vec_id", F.explode(lots).alias("l")).select("vec_id", "l.lot", F.col("l.value").cast("double").alias("value"))
 
 
 @query("SELECT w AS word, count(*) AS n FROM (SELECT unnest(list_distinct(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]{3,}'))) AS w FROM documents) GROUP BY 1 ORDER BY n DESC, word LIMIT 50")
@@ -523,10 +529,12 @@ def document_frequencies_top(spark, sf_dir):
     return metrics.top_counts(words, "word", 50)
 
 
-@query("SELECT doc_id, CASE WHEN source = 'src0' THEN 'framework' WHEN contains(lower(text), 'maintenance') OR contains(lower(text), 'service') OR contains(lower(text), 'annual') THEN 'recurring' ELSE 'one_time' END AS kind FROM documents")
+_TYPES_SQL = " ".join(f"WHEN regexp_matches(text, '{p.removeprefix('(?iu)')}', 'i') THEN '{name}'" for name, p in X.CONTRACT_TYPES)
+
+
+@query(f"SELECT doc_id, CASE WHEN source = 'src0' THEN 'framework' {_TYPES_SQL} ELSE 'one_time' END AS kind FROM documents")
 def contract_types(spark, sf_dir):
-    kind = X.contract_type(F.when(F.col("source") == "src0", "F"), F.regexp_replace(F.lower("text"), "(?iu)framework|rahmen|accord-cadre|acuerdo marco|yearly|jährlich|annuel|deliver|liefer|livraison|entrega|supply", ""))
-    return read(spark, sf_dir, "documents").select("doc_id", kind.alias("kind"))
+    return read(spark, sf_dir, "documents").select("doc_id", X.contract_type(F.when(F.col("source") == "src0", "F"), F.col("text")).alias("kind"))
 
 
 # --- increments
