@@ -59,6 +59,28 @@ def test_labelers_are_weighed_and_loose_spans_decided(spark):
     assert all(0 < r.true_yes < 1 and 0 < r.false_yes < 1 for r in model.labelers.values())
 
 
+def planted_names(copies):
+    """Names with title or known first name, and capitalised words that only look like a name; serials and numbers to call."""
+    good = ["Dear Anna Schmidt, thank you", "signed by Dr. Peter Jones for us", "from Carlos Ruiz with regards", "please call (030) 555777 now", "Telefon: 0171 5557788", "my konto is DE89 3704 0044 0532 0130 00 there"]
+    bad = ["the Martin Street is closed", "a serial (12345) 99 17 of it", "code AB12 CDEF GHIJ KLMN here"]
+    rows = [(t, True) for t in good] * copies + [(t, False) for t in bad] * copies
+    return [(k, t, g) for k, (t, g) in enumerate(rows)]
+
+
+def test_loose_spans_are_found_at_any_size_of_the_table(spark):
+    kept = {}
+    for copies in (20, 400):
+        rows = planted_names(copies)
+        found = pii.candidates(spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string"))
+        model = pii.train_spans(found)
+        spans = {r.doc_id: bool(r.spans) for r in pii.accepted(found, model).collect()}
+        kept[copies] = {t: spans[k] for k, t, _ in rows}
+        assert all(spans[k] for k, _, g in rows if g)
+        assert not any(spans[k] for k, _, g in rows if not g)
+        assert all(model.labelers[n].true_yes - model.labelers[n].false_yes > 0.2 for n in pii.LABELERS)
+    assert kept[20] == kept[400]
+
+
 def test_expectation_maximisation_finds_the_reliable_labeler():
     counts = {("phone", 1, -1, 1, 2): 400, ("phone", 0, -1, 1, 2): 10, ("phone", 1, 1, 1, 2): 300, ("phone", 0, 1, -1, 2): 150, ("phone", 0, -1, -1, 2): 300}
     rel, prior, posterior = pii.expectation_maximisation(counts)
