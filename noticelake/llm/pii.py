@@ -31,7 +31,7 @@ TITLES = "Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Monsieur|Madame|Señora|Señor"
 NAMES = "Alexander|Ana|Andreas|Andrew|Anna|Antonio|Carlos|Carmen|Catherine|Charles|Christian|Claire|Claudia|Daniel|David|Elena|Elizabeth|Emma|Eva|Fernando|Francisco|François|Hans|Helen|Henri|Isabel|Jacques|James|Javier|Jean|John|José|Juan|Julia|Karl|Klaus|Laura|Louis|Lucía|Luis|Manuel|Maria|María|Marie|Mark|Martin|Mary|Michael|Michel|Miguel|Monika|Nicolas|Paul|Pedro|Peter|Philippe|Pierre|Robert|Sabine|Sarah|Sophie|Stefan|Susan|Thomas|Ursula|William|Wolfgang"
 # Words after a given name that make it a place.
 PLACES = "Street|Road|Avenue|Square|Park|Place|Lane|Platz|Allee|Weg|Rue|Avenida|Plaza|River|County|Hall|Church|University"
-# The patterns. Possessive counts and the guards (a match starts after another, or not within a run) only save backtracking.
+# The patterns. Possessive counts and the guards (a match starts after another, not within a run, or at a capital) only save backtracking.
 PATTERNS = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
@@ -39,7 +39,7 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "local_phone": r"(?<![A-Za-z0-9+.@-])(?:\([0-9]{2,5}\)[\x20-]?|0[0-9]{1,4}[\x20/-])[0-9]{2,8}(?:[\x20-][0-9]{2,6}){0,3}(?![A-Za-z0-9@])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    "person": rf"(?<![\p{{L}}])(?:(?:{TITLES})\.?\x20\p{{Lu}}\p{{Ll}}{{1,20}}(?:\x20\p{{Lu}}\p{{Ll}}{{1,20}})?|(?:{NAMES})\x20\p{{Lu}}\p{{Ll}}{{1,20}})(?![\p{{L}}])",
+    "person": rf"(?=[A-Z])(?<![\p{{L}}])(?:(?:{TITLES})\.?\x20\p{{Lu}}\p{{Ll}}{{1,20}}(?:\x20\p{{Lu}}\p{{Ll}}{{1,20}})?|(?:{NAMES})\x20\p{{Lu}}\p{{Ll}}{{1,20}})(?![\p{{L}}])",
 }
 # What a text must have for the pattern to be tried.
 HINTS = {
@@ -49,7 +49,7 @@ HINTS = {
     "phone": r"\+[0-9]",
     "local_phone": r"(?:\([0-9]{2}|(?<![0-9A-Za-z])0[0-9]{1,4}[\x20/-])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}",
-    "person": rf"(?:{TITLES}|{NAMES})\.?\x20\p{{Lu}}\p{{Ll}}",
+    "person": rf"(?=[A-Z])(?<![\p{{L}}])(?:{TITLES}|{NAMES})\.?\x20\p{{Lu}}\p{{Ll}}",
 }
 # Strict forms, gazetteers and context words of the labelers.
 STRICT = {
