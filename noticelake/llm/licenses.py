@@ -24,7 +24,6 @@ BASE = {"mit license": "mit", "apache license": "apache", "general public licens
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # of texts whose letters A-Z were not lower-cased
-_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _RULE = "struct<at:int,priority:int,sure:double,label:string,pattern:string>"
 _HIT = "struct<start:int,stop:int,priority:int,at:int,sure:double,label:string>"
 
@@ -104,14 +103,13 @@ def find_licenses(docs: DataFrame, rules: Sequence[Mapping] = RULES, base: Mappi
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     low = slim(docs, id_col, text_col).select("doc_id", text.alias("text"), F.lower(text).alias("low"))
-    needed = dict.fromkeys([*roots, *(max(p.split(), key=len) for p in base)])
+    needed = [*roots, *(max(p.split(), key=len) for p in base if not any(r in p for r in roots))]
     gate = F.col("low").rlike("(?<![a-z0-9])cc(?![a-z])")
-    for root in needed:
-        gate = F.contains("low", F.lit(root)) | gate
-    if any(" " in root for root in roots):  # roots of several words, whatever stands between
-        for root in (r for r in roots if " " in r):
-            gate = F.col("low").rlike(root.replace(" ", r"[^a-z0-9]+")) | gate
-    rows = low.select("doc_id", F.regexp_count("text", F.lit(_WORD)).cast("long").alias("n_words"), F.when(gate, normalised(F.col("text"))).alias("words"))
+    for root in needed:  # between the words of a root anything may stand
+        there = F.col("low").rlike(root.replace(" ", "[^a-z0-9]+")) if " " in root else F.contains("low", F.lit(root))
+        gate = there | gate
+    n_words = F.size(F.array_remove(F.split("text", _BETWEEN, -1), ""))
+    rows = low.select("doc_id", n_words.cast("long").alias("n_words"), F.when(gate, normalised(F.col("text"))).alias("words"))
     places = F.array(*(F.struct(F.lit(p).alias("phrase"), F.lit(label).alias("label"), F.when(F.col("words").isNull(), F.array().cast("array<int>")).otherwise(phrase_places(F.col("words"), p)).alias("starts")) for p, label in base.items()))
     hits = F.when(F.col("words").isNull(), F.array().cast(f"array<{_HIT}>")).otherwise(unsuppressed(detections(F.col("words"), rules)))
     return rows.select("doc_id", "n_words", places.alias("places"), hits.alias("hits"))
