@@ -12,7 +12,7 @@ grants it, U its address, A its name, G a general remark.
 # Kinds with their priority (0 is best) and how sure a detection is.
 KINDS = {"S": (0, 1.0), "T": (1, 0.95), "N": (2, 0.9), "U": (3, 0.85), "A": (4, 0.7), "G": (5, 0.3)}
 
-#: Every keyword holds one of these, or the word "cc": texts without any are not scanned.
+# A text without any of these, and without the word "cc", is not scanned.
 ROOTS = ("licen", "copyright", "copyleft", "gpl", "bsd", "spdx", "commons", "public domain", "permission", "redistribut", "reserved", "warrant", "wtfpl", "opensource", "zlib", "mozilla", "apache", "eclipse")
 
 _RULES = r"""
@@ -83,7 +83,7 @@ T mpl-2.0 | copyright licen | source code form is subject to the terms of the mo
 T epl-1.0 | public license | the accompanying program is provided under the terms of this eclipse public license
 T cddl-1.0 | distribution license | common development and distribution license cddl version 1 0
 T cpl-1.0 | common public license | the accompanying program is provided under the terms of this common public license
-T artistic-2.0 | license | everyone is permitted to copy and distribute verbatim copies of this license document but changing it is not allowed
+T artistic-2.0 | verbatim copies of this license | everyone is permitted to copy and distribute verbatim copies of this license document but changing it is not allowed
 T unlicense | public domain | this is free and unencumbered software released into the public domain
 T unlicense | public domain | anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary
 T zlib | warrant | this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages
@@ -91,12 +91,12 @@ T zlib | permission is granted | permission is granted to anyone to use this sof
 T bsl-1.0 | permission is hereby granted | permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license
 T wtfpl | public license | do what the fuck you want to public license
 T wtfpl | wtfpl | you just do what the fuck you want to
-T beerware | licen | the beer ware license
-T json | license | the software shall be used for good not evil
+T beerware | beer ware license | the beer ware license
+T json | good not evil | the software shall be used for good not evil
 T openssl | redistribut | this product includes software developed by the openssl project for use in the openssl toolkit
 T php-3.01 | redistribut | this product includes php software freely available from
-T python-2.0 | license | python software foundation license version 2
-T ofl-1.1 | license | sil open font license version 1 1 26 february 2007
+T python-2.0 | python software foundation license | python software foundation license version 2
+T ofl-1.1 | open font license | sil open font license version 1 1 26 february 2007
 T ncsa | permission is hereby granted | to deal with the software without restriction including without limitation the rights to use
 T cc0-1.0 | commons | creative commons legal code cc0 1 0 universal
 T cc-by-4.0 | commons | creative commons attribution 4 0 international public license
@@ -108,13 +108,13 @@ T cc-by-nc-nd-4.0 | commons | creative commons attribution noncommercial noderiv
 T cc-by-3.0 | commons | the work as defined below is provided under the terms of this creative commons public license
 T ms-pl | public license | microsoft public license ms pl this license governs use of the accompanying software
 T ms-rl | reciprocal license | microsoft reciprocal license ms rl this license governs use of the accompanying software
-T eupl-1.2 | licen | european union public licence v 1 2
-T eupl-1.1 | licen | european union public licence v 1 1
-T odbl-1.0 | licen | open data commons open database license
-T elastic-2.0 | licen | you may not provide the software to third parties as a hosted or managed service
-T busl-1.1 | licen | the licensor hereby grants you the right to copy modify create derivative works redistribute and make non production use
-T sspl-1.0 | licen | server side public license version 1 october 16 2018
-T openrail | licen | responsible ai licen[cs]e
+T eupl-1.2 | european union public licence | european union public licence v 1 2
+T eupl-1.1 | european union public licence | european union public licence v 1 1
+T odbl-1.0 | open data commons | open data commons open database license
+T elastic-2.0 | managed service | you may not provide the software to third parties as a hosted or managed service
+T busl-1.1 | licensor hereby grants | the licensor hereby grants you the right to copy modify create derivative works redistribute and make non production use
+T sspl-1.0 | server side public license | server side public license version 1 october 16 2018
+T openrail | responsible ai | responsible ai licen[cs]e
 
 N gpl-3.0-or-later | general public license | (?:gnu )?general public license as published by the free software foundation either version 3 of the license or at your option any later version
 N gpl-2.0-or-later | general public license | (?:gnu )?general public license as published by the free software foundation either version 2 of the license or at your option any later version
@@ -136,8 +136,8 @@ N lgpl | lgpl | (?:licensed|released|distributed|available|published) under (?:t
 N agpl | agpl | (?:licensed|released|distributed|available|published) under (?:the )?(?:gnu )?agpl
 N mit | mit license | (?:licensed|released|distributed|available|published) under (?:the )?(?:terms of the )?mit license
 N mit | mit licence | (?:licensed|released|distributed|available|published) under (?:the )?(?:terms of the )?mit licence
-N mit | licen | (?:licensed under|license is|licence is) (?:the )?mit
-N mit | licensed | mit licensed
+N mit |  mit | (?:licensed under|license is|licence is) (?:the )?mit
+N mit | mit licensed | mit licensed
 N apache-2.0 | apache | (?:licensed|released|distributed|available|published) under (?:the )?(?:terms of the )?apache licen[cs]e (?:version |v ?)?2(?: 0)?
 N apache-1.1 | apache | (?:licensed|released|distributed|available|published) under (?:the )?(?:terms of the )?apache (?:software )?licen[cs]e (?:version |v ?)?1 1
 N apache | apache | (?:licensed|released|distributed|available|published) under (?:the )?(?:terms of the )?apache (?:software )?licen[cs]e
@@ -147,8 +147,8 @@ N bsd-2-clause | bsd | (?:licensed|released|distributed|available|published) und
 N bsd-3-clause | bsd | (?:licensed|released|distributed|available|published) under (?:the |a )?bsd 3 clause(?: licen[cs]e)?
 N bsd-2-clause | bsd | (?:licensed|released|distributed|available|published) under (?:the |a )?bsd 2 clause(?: licen[cs]e)?
 N bsd | bsd | (?:licensed|released|distributed|available|published) under (?:the |a )?bsd(?: style)?(?: licen[cs]e)?
-N bsd | licen | use of this source code is governed by a bsd style license that can be found in the license file
-N mit | licen | use of this source code is governed by an mit style license that can be found in the license file
+N bsd | this source code is governed | use of this source code is governed by a bsd style license that can be found in the license file
+N mit | this source code is governed | use of this source code is governed by an mit style license that can be found in the license file
 N mpl-2.0 | mozilla | (?:licensed|released|distributed|available|published) under (?:the )?(?:terms of the )?mozilla public license (?:version |v ?)?2(?: 0)?
 N mpl-1.1 | mozilla | the contents of this file are subject to the mozilla public license version 1 1
 N mpl | mozilla | (?:licensed|released|distributed|available|published) under (?:the )?(?:terms of the )?mozilla public license
@@ -161,7 +161,7 @@ N wtfpl | wtfpl | (?:licensed|released|distributed|available|published) under (?
 N zlib | zlib | (?:licensed|released|distributed|available|published) under (?:the )?zlib licen[cs]e
 N bsl-1.0 | boost software license | distributed under the boost software license version 1 0
 N artistic | artistic licen | (?:licensed|released|distributed|available) under (?:the )?(?:terms of the )?artistic licen[cs]e
-N perl | licen | (?:is free software you can redistribute it and or modify it )?under the same terms as perl itself
+N perl | terms as perl | (?:is free software you can redistribute it and or modify it )?under the same terms as perl itself
 N cc-by-nc-nd-4.0 | cc by nc nd | (?:licensed|released|distributed|available|published) under (?:a |the )?cc by nc nd 4 0
 N cc-by-nc-sa-4.0 | cc by nc sa | (?:licensed|released|distributed|available|published) under (?:a |the )?cc by nc sa 4 0
 N cc-by-nc-4.0 | cc by nc | (?:licensed|released|distributed|available|published) under (?:a |the )?cc by nc 4 0
@@ -186,9 +186,9 @@ N public-domain | public domain | (?:this|the) (?:work|file|code|software|text|d
 N proprietary | reserved | copyright(?: c)?(?: [0-9]{4}){0,2} [a-z0-9 ]{2,60} all rights reserved
 N proprietary | permission | no part of this (?:publication|work|book|document) may be reproduced
 N proprietary | permission | may not be (?:copied|reproduced|distributed|republished)(?: [a-z]+){0,6} without (?:the )?(?:prior |express |written ){0,3}permission
-N proprietary | licen | this software is (?:licensed not sold|proprietary and confidential)
-N ogl-uk-3.0 | licen | (?:licensed|available|published|contains public sector information licensed) under the open government licen[cs]e(?: v3 0| v2 0| v1 0)?
-N odbl-1.0 | licen | (?:licensed|made available|available) under the open (?:data commons open )?database licen[cs]e
+N proprietary | this software is | this software is (?:licensed not sold|proprietary and confidential)
+N ogl-uk-3.0 | open government | (?:licensed|available|published|contains public sector information licensed) under the open government licen[cs]e(?: v3 0| v2 0| v1 0)?
+N odbl-1.0 | database licen | (?:licensed|made available|available) under the open (?:data commons open )?database licen[cs]e
 N gfdl | free documentation license | permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license
 N dual-mit-apache | apache | (?:dual )?licensed under (?:either )?(?:of )?(?:the )?mit (?:license )?(?:or|and) apache(?: license)?(?: version)?(?: 2 0)?
 N dual-mit-apache | apache | licensed under (?:either )?(?:of )?(?:the )?apache (?:license )?(?:version )?(?:2 0 )?(?:or|and) mit
@@ -197,34 +197,34 @@ N busl-1.1 | business source license | (?:licensed|released|available) under the
 N elastic-2.0 | elastic license | (?:licensed|released|available) under the elastic license(?: 2 0| v2)?
 N sspl-1.0 | server side public license | (?:licensed|released|available) under the server side public license
 N ofl-1.1 | open font license | (?:this font software is )?licensed under the sil open font license version 1 1
-N eupl-1.2 | licence | licensed under the eupl(?: version)? 1 2
+N eupl-1.2 | eupl | licensed under the eupl(?: version)? 1 2
 N llama | community license | (?:licensed|available) under the llama [0-9](?: [0-9])? community license
-N same-as | licen | licensed under the same terms as [a-z0-9]+
+N same-as | under the same terms | licensed under the same terms as [a-z0-9]+
 
-U mit | opensource | opensource org licenses? mit(?: license)?
-U apache-2.0 | opensource | opensource org licenses? apache 2 0
-U bsd-3-clause | opensource | opensource org licenses? bsd 3 clause
-U bsd-2-clause | opensource | opensource org licenses? bsd 2 clause
-U bsd | opensource | opensource org licenses? bsd license
-U gpl-3.0 | opensource | opensource org licenses? gpl 3 0
-U gpl-2.0 | opensource | opensource org licenses? gpl 2 0
-U lgpl-3.0 | opensource | opensource org licenses? lgpl 3 0
-U mpl-2.0 | opensource | opensource org licenses? mpl 2 0
-U isc | opensource | opensource org licenses? isc(?: license)?
-U artistic-2.0 | opensource | opensource org licenses? artistic license 2 0
-U osl-3.0 | opensource | opensource org licenses? osl 3 0
-U afl-3.0 | opensource | opensource org licenses? afl 3 0
-U zlib | opensource | opensource org licenses? zlib(?: license)?
-U ms-pl | opensource | opensource org licenses? ms pl
+U mit | opensource org | opensource org licenses? mit(?: license)?
+U apache-2.0 | opensource org | opensource org licenses? apache 2 0
+U bsd-3-clause | opensource org | opensource org licenses? bsd 3 clause
+U bsd-2-clause | opensource org | opensource org licenses? bsd 2 clause
+U bsd | opensource org | opensource org licenses? bsd license
+U gpl-3.0 | opensource org | opensource org licenses? gpl 3 0
+U gpl-2.0 | opensource org | opensource org licenses? gpl 2 0
+U lgpl-3.0 | opensource org | opensource org licenses? lgpl 3 0
+U mpl-2.0 | opensource org | opensource org licenses? mpl 2 0
+U isc | opensource org | opensource org licenses? isc(?: license)?
+U artistic-2.0 | opensource org | opensource org licenses? artistic license 2 0
+U osl-3.0 | opensource org | opensource org licenses? osl 3 0
+U afl-3.0 | opensource org | opensource org licenses? afl 3 0
+U zlib | opensource org | opensource org licenses? zlib(?: license)?
+U ms-pl | opensource org | opensource org licenses? ms pl
 U apache-2.0 | apache | apache org licenses license 2 0(?: txt| html)?
 U apache-1.1 | apache | apache org licenses license 1 1
-U gpl-3.0 | licen | gnu org licenses gpl 3 0(?: txt| html| en html)?
-U gpl-2.0 | licen | gnu org licenses (?:old licenses )?gpl 2 0(?: txt| html| en html)?
-U gpl | licen | gnu org licenses(?: gpl(?: html| txt)?)?
-U lgpl-3.0 | licen | gnu org licenses lgpl 3 0(?: txt| html)?
-U lgpl-2.1 | licen | gnu org licenses (?:old licenses )?lgpl 2 1(?: txt| html)?
-U agpl-3.0 | licen | gnu org licenses agpl 3 0(?: txt| html)?
-U gfdl-1.3 | licen | gnu org licenses fdl 1 3(?: txt| html)?
+U gpl-3.0 | gnu org | gnu org licenses gpl 3 0(?: txt| html| en html)?
+U gpl-2.0 | gnu org | gnu org licenses (?:old licenses )?gpl 2 0(?: txt| html| en html)?
+U gpl | gnu org | gnu org licenses(?: gpl(?: html| txt)?)?
+U lgpl-3.0 | gnu org | gnu org licenses lgpl 3 0(?: txt| html)?
+U lgpl-2.1 | gnu org | gnu org licenses (?:old licenses )?lgpl 2 1(?: txt| html)?
+U agpl-3.0 | gnu org | gnu org licenses agpl 3 0(?: txt| html)?
+U gfdl-1.3 | gnu org | gnu org licenses fdl 1 3(?: txt| html)?
 U gpl | copyleft | gnu org copyleft gpl html
 U mpl-2.0 | mozilla | mozilla org (?:en us )?mpl 2 0
 U mpl-1.1 | mozilla | mozilla org mpl mpl 1 1(?: html)?
@@ -247,12 +247,12 @@ U cc-by-sa-2.0 | commons | creativecommons org licenses by sa 2 [05]
 U cc0-1.0 | commons | creativecommons org publicdomain zero 1 0
 U public-domain | commons | creativecommons org publicdomain mark 1 0
 U unlicense | unlicense | unlicense org
-U bsl-1.0 | licen | boost org license 1 0 txt
+U bsl-1.0 | boost org | boost org license 1 0 txt
 U wtfpl | wtfpl | (?:www )?wtfpl net
-U ogl-uk-3.0 | licen | nationalarchives gov uk doc open government licence version 3
+U ogl-uk-3.0 | nationalarchives | nationalarchives gov uk doc open government licence version 3
 U odbl-1.0 | commons | opendatacommons org licenses odbl(?: 1 0)?
-U ofl-1.1 | licen | scripts sil org ofl
-U busl-1.1 | licen | mariadb com bsl11
+U ofl-1.1 | scripts sil org | scripts sil org ofl
+U busl-1.1 | mariadb com | mariadb com bsl11
 
 A gpl-3.0 | general public license | gnu general public license (?:gpl )?(?:version |v ?)3(?: 0)?
 A gpl-2.0 | general public license | gnu general public license (?:gpl )?(?:version |v ?)2(?: 0)?
@@ -279,7 +279,7 @@ A apache-1.1 | apache | apache (?:software )?licen[cs]e (?:version |v ?)?1 1
 A apache-1.0 | apache | apache (?:software )?licen[cs]e (?:version |v ?)?1 0
 A apache | apache | apache (?:software )?licen[cs]e
 A mit | mit licen | (?:the )?mit licen[cs]e(?: mit)?
-A mit-0 | licen | mit no attribution(?: license)?
+A mit-0 | mit no attribution | mit no attribution(?: license)?
 A x11 | x11 licen | x11 licen[cs]e
 A expat | expat licen | expat licen[cs]e
 A bsd-4-clause | bsd | (?:4 clause bsd|bsd 4 clause|original bsd|old bsd)(?: licen[cs]e)?
@@ -308,32 +308,33 @@ A artistic-2.0 | artistic licen | artistic licen[cs]e (?:version )?2 0
 A artistic-1.0 | artistic licen | artistic licen[cs]e(?: (?:version )?1 0)?
 A bsl-1.0 | boost software license | boost software license(?: (?:version )?1 0)?
 A zlib | zlib | zlib (?:libpng )?licen[cs]e
-A libpng | licen | libpng licen[cs]e
-A openssl | licen | openssl licen[cs]e
-A php-3.01 | licen | php licen[cs]e(?: (?:version )?3 01?)?
-A python-2.0 | licen | (?:psf|python software foundation) licen[cs]e
-A ruby | licen | ruby s? ?licen[cs]e
-A vim | licen | vim licen[cs]e
-A w3c | licen | w3c software (?:notice and )?licen[cs]e
-A ncsa | licen | (?:university of illinois )?ncsa open source licen[cs]e
+A libpng | libpng licen | libpng licen[cs]e
+A openssl | openssl licen | openssl licen[cs]e
+A php-3.01 | php licen | php licen[cs]e(?: (?:version )?3 01?)?
+A python-2.0 | psf licen | psf licen[cs]e
+A python-2.0 | software foundation licen | python software foundation licen[cs]e
+A ruby | ruby | ruby s? ?licen[cs]e
+A vim | vim licen | vim licen[cs]e
+A w3c | w3c software | w3c software (?:notice and )?licen[cs]e
+A ncsa | ncsa open source | (?:university of illinois )?ncsa open source licen[cs]e
 A unlicense | unlicense | (?:the )?unlicense
 A wtfpl | wtfpl | wtfpl
-A beerware | licen | beerware licen[cs]e
+A beerware | beerware | beerware licen[cs]e
 A ms-pl | public license | microsoft public license
 A ms-rl | reciprocal license | microsoft reciprocal license
-A eupl | licen | european union public licen[cs]e
-A cecill | licen | cecill (?:b |c )?licen[cs]e
+A eupl | european union public | european union public licen[cs]e
+A cecill | cecill | cecill (?:b |c )?licen[cs]e
 A ofl-1.1 | open font license | (?:sil )?open font license(?: (?:version )?1 1)?
-A ogl-uk | licen | open government licen[cs]e
-A odbl-1.0 | licen | open database licen[cs]e
-A odc-by-1.0 | licen | open data commons attribution licen[cs]e
-A pddl-1.0 | licen | public domain dedication and licen[cs]e
-A cdla | licen | community data licen[cs]e agreement(?: permissive| sharing)?
-A busl-1.1 | licen | business source licen[cs]e
-A elastic-2.0 | licen | elastic licen[cs]e
-A sspl-1.0 | licen | server side public licen[cs]e
-A openrail | licen | (?:creative ml |bigscience )?openrail(?: m)? licen[cs]e
-A llama | licen | llama [0-9](?: [0-9])? community licen[cs]e
+A ogl-uk | open government | open government licen[cs]e
+A odbl-1.0 | open database | open database licen[cs]e
+A odc-by-1.0 | open data commons | open data commons attribution licen[cs]e
+A pddl-1.0 | public domain dedication | public domain dedication and licen[cs]e
+A cdla | community data | community data licen[cs]e agreement(?: permissive| sharing)?
+A busl-1.1 | business source | business source licen[cs]e
+A elastic-2.0 | elastic licen | elastic licen[cs]e
+A sspl-1.0 | server side public | server side public licen[cs]e
+A openrail | openrail | (?:creative ml |bigscience )?openrail(?: m)? licen[cs]e
+A llama | llama | llama [0-9](?: [0-9])? community licen[cs]e
 A cc0-1.0 | cc0 | (?:creative commons )?cc0(?: 1 0)?(?: universal)?
 A cc-by-nc-nd-4.0 | cc by nc nd | cc by nc nd 4 0
 A cc-by-nc-sa-4.0 | cc by nc sa | cc by nc sa 4 0
@@ -366,13 +367,13 @@ G public-domain | public domain | public domain
 G proprietary | reserved | all rights reserved
 G copyright | copyright | copyright(?: c)? [0-9]{4}(?: [0-9]{4})?(?: by)?
 G copyleft | copyleft | copyleft licen[cs]e
-G open-source | licen | open source licen[cs]e
-G permissive | licen | permissive(?:ly)? (?:software )?licen[cs]ed?
-G free-software | licen | free software licen[cs]e
-G commercial | licen | commercial licen[cs]e
-G eula | licen | end user licen[cs]e agreement
+G open-source | open source licen | open source licen[cs]e
+G permissive | permissive | permissive(?:ly)? (?:software )?licen[cs]ed?
+G free-software | free software licen | free software licen[cs]e
+G commercial | commercial licen | commercial licen[cs]e
+G eula | end user licen | end user licen[cs]e agreement
 G licensed | licensed | licensed under
-G license-file | licen | see (?:the )?(?:file )?licen[cs]e(?: file)?(?: for details)?
+G license-file | see  | see (?:the )?(?:file )?licen[cs]e(?: file)?(?: for details)?
 """
 
 
