@@ -20,50 +20,45 @@ def first_valid(text: Column, patterns: Sequence[str], convert: Callable[[Column
     return F.coalesce(*(one(p) for p in patterns))
 
 
-# Patterns by field, in order of trust. Case is ignored, also outside ASCII.
-QUANTITY = (
-    r"(?iu)\b(?:qty|quantity|quantité|menge|anzahl|cantidad|quantità|ilość|počet|stück)\s*[:=]?\s*([0-9][0-9.,]{0,9})",
-    r"(?iu)\b([0-9][0-9.,]{0,9})\s*(?:units|pcs|pieces|stück|unités|unidades|szt|ks)\b",
-    r"(?iu)\b([0-9]{1,5})\s*x\s+[\p{L}]{3,}",
-)
-DURATION_MONTHS = (r"(?iu)\b([0-9]{1,3})\s*(?:months?|monate?n?|mois|meses|mesi)\b",)
-DURATION_YEARS = (r"(?iu)\b([0-9]{1,2})\s*(?:years?|jahre?n?|ans|años|anni)\b",)
-ISO_DATE = r"\b([0-9]{4}-[0-9]{2}-[0-9]{2})\b"
-DOTTED_DATE = r"\b([0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})\b"
-DAYS_AFTER = (r"(?iu)\b([0-9]{1,3})\s*(?:calendar\s+)?(?:days?|tagen?|jours|días|giorni)\b",)
-WEEKS_AFTER = (r"(?iu)\b([0-9]{1,3})\s*(?:weeks?|wochen|semaines|semanas|settimane)\b",)
+# Patterns of quantities by name, in order of trust. Case is ignored, also outside ASCII.
+QUANTITY = {
+    "up_to_N_trailer": r"(?iuU)(?:bis zu|up to|jusqu.{1,3}à|fino a)\s+([0-9.,]+)\s+(?:anhänger|trailer|remorque|rimorchi|przycze)",
+    "N_trailer": r"(?iuU)([0-9.,]+)\s+(?:anhänger|trailer|remorque|semi-trailer|sattelanhänger|przycze|rimorchi|påhängsvogn)",
+    "N_units": r"(?iuU)([0-9.,]+)\s*(?:stück|units?|pièces?|items?|stk\.?|pcs\.?|stuks?|szt\.?)",
+    "quantity_field": r"(?iuU)(?:quantity|menge|quantité|cantidad|antal)\s*[:=]\s*([0-9.,]+)",
+    "Nx_trailer": r"(?iuU)([0-9.,]+)\s*[xX×]\s+(?:anhänger|trailer|remorque)",
+}
 
 
-def whole(text: Column) -> Column:
-    """An integer written with thousands separators."""
-    return F.regexp_replace(text, r"[^0-9]", "").try_cast("int")
+def grouped_int(text: Column) -> Column:
+    """A whole number, its digits in threes between points or between commas, or plain; null for anything else."""
+    return F.when(text.rlike(r"^[0-9]{1,3}(?:\.[0-9]{3})+$"), F.replace(text, F.lit("."), F.lit(""))).when(text.rlike(r"^[0-9]{1,3}(?:,[0-9]{3})+$"), F.replace(text, F.lit(","), F.lit(""))).otherwise(text).try_cast("int")
 
 
-def quantity(text: Column, least: int = 1, most: int = 10_000) -> Column:
-    return first_valid(text, QUANTITY, whole, lambda v: v.between(least, most))
+def detected_quantity(text: Column, least: int = 1, most: int = 100_000) -> Column:
+    """``quantity, source``: of the first pattern whose first match is a number in range; null if none is."""
 
+    def one(name: str, pattern: str) -> Column:
+        n = grouped_int(extract(text, pattern))
+        return F.when(n.between(least, most), F.struct(n.alias("quantity"), F.lit(name).alias("source")))
 
-def duration_months(text: Column, most: int = 600) -> Column:
-    """Years times twelve plus months, from 1 to ``most``; null without either."""
-    y = first_valid(text, DURATION_YEARS, whole, lambda v: v > 0)
-    m = first_valid(text, DURATION_MONTHS, whole, lambda v: v > 0)
-    total = F.coalesce(y * 12, F.lit(0)) + F.coalesce(m, F.lit(0))
-    return F.when(total.between(1, most), total)
+    return F.coalesce(*(one(name, pattern) for name, pattern in QUANTITY.items()))
+
+
+def quantity(text: Column, least: int = 1, most: int = 100_000) -> Column:
+    return detected_quantity(text, least, most)["quantity"]
 
 
 def duration_in_months(n: Column, unit: Column) -> Column:
-    """A length in days, weeks, months or years as months: at least one, rounded; a month is 30 days."""
-    months = F.when(unit == "day", n / 30).when(unit == "week", n * 7 / 30).when(unit == "month", n * F.lit(1.0)).when(unit == "year", n * F.lit(12.0))
-    return F.greatest(F.lit(1), F.round(months)).cast("int")
+    """A length in days, weeks, months or years as months of 30 days; halves go to the even number, days and weeks make one month at least."""
+    short = F.when(unit == "day", n / 30).when(unit == "week", n * 7 / 30)
+    return F.coalesce(F.when(short.isNotNull(), F.greatest(F.lit(1.0), F.bround(short))), F.bround(F.when(unit == "month", n * F.lit(1.0)).when(unit == "year", n * F.lit(12.0)))).cast("int")
 
 
-def deadline(text: Column, anchor: Column) -> Column:
-    """An absolute date, else ``anchor`` plus the days or weeks that the text names; a date."""
-    iso = F.try_to_date(extract(text, ISO_DATE), "yyyy-MM-dd")
-    dotted = F.try_to_date(extract(text, DOTTED_DATE), "d.M.yyyy")
-    days = first_valid(text, DAYS_AFTER, whole, lambda v: v.between(1, 999))
-    weeks = first_valid(text, WEEKS_AFTER, whole, lambda v: v.between(1, 200))
-    return F.coalesce(iso, dotted, F.date_add(anchor, days), F.date_add(anchor, weeks * 7))
+def months_of(text: Column) -> Column:
+    """The first length in a text, as months."""
+    pattern = r"(?i)([0-9]+(?:\.[0-9]+)?)\s*(month|year|week|day)s?"
+    return duration_in_months(F.regexp_extract(text, pattern, 1).try_cast("double"), F.lower(F.regexp_extract(text, pattern, 2)))
 
 
 def amount(text: Column, style: str = "auto") -> Column:
@@ -98,14 +93,3 @@ def amount(text: Column, style: str = "auto") -> Column:
 def short_amount(n: Column) -> Column:
     """932, 4.9K, 2.5M: one decimal above a thousand."""
     return F.when(n >= 1e6, F.format_string("%.1fM", n / 1e6)).when(n >= 1e3, F.format_string("%.1fK", n / 1e3)).otherwise(F.format_string("%.0f", n))
-
-
-# Contract types by words, the first that matches.
-CONTRACT_TYPES = (("framework", r"(?iu)framework|rahmen|accord-cadre|acuerdo marco"), ("recurring", r"(?iu)annual|yearly|jährlich|annuel|maintenance|service"), ("delivery", r"(?iu)deliver|liefer|livraison|entrega|supply"))
-
-
-def contract_type(code: Column, text: Column) -> Column:
-    """By a structured code, else by words; ``one_time`` where nothing tells."""
-    by_code = F.when(code == "F", "framework").when(code == "R", "recurring").when(code == "D", "delivery")
-    by_text = F.coalesce(*(F.when(text.rlike(p), F.lit(name)) for name, p in CONTRACT_TYPES))
-    return F.coalesce(by_code, by_text, F.lit("one_time"))

@@ -67,12 +67,21 @@ def clean_iso_date(text: Column) -> Column:
     return extract(F.trim(first_line(text)), r"^([0-9]{4}-[0-9]{2}-[0-9]{2})(?:[T+Z ].*)?$")
 
 
-def clean_number(text: Column) -> Column:
-    return F.regexp_replace(text, r"[^0-9.\-]", "").try_cast("double")
+def _plain_number(text: Column) -> Column:
+    """A number without its commas and blanks; null where anything else is in it."""
+    bare = F.regexp_replace(F.translate(text, ", ", ""), r"(?U)^\s+|\s+$", "")
+    return F.when(bare.rlike(r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"), bare).try_cast("double")
+
+
+def clean_number(text: Column, least: float = 0.01) -> Column:
+    """A number with commas or blanks as thousands; null for other texts and for placeholders up to ``least``."""
+    n = _plain_number(text)
+    return F.when(n > least, n)
 
 
 def clean_int(text: Column) -> Column:
-    return clean_number(text).cast("long")
+    """The whole part of such a number, of whatever size."""
+    return _plain_number(text).cast("long")
 
 
 def tokens(text: Column, least: int = 3) -> Column:
@@ -85,7 +94,8 @@ def tokens_without(text: Column, stop_words: Sequence[str], least: int = 3) -> C
 
 
 def normalised_name(text: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(text), r"[^a-z0-9]+", " "))
+    """A buyer's name for comparison: lower-cased, single blanks; letters of all scripts stay."""
+    return F.trim(F.regexp_replace(F.lower(text), r"(?U)\s+", " "))
 
 
 def code_prefixes(codes: Column, n: int) -> Column:

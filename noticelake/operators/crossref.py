@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import normalised_name
+
 # Words that say nothing about a title or a buyer.
 STOP_WORDS = (
     "a", "an", "the", "of", "in", "for", "to", "and", "or", "with", "by", "at", "on", "is", "be", "are", "was", "were", "as", "from",
@@ -27,7 +29,7 @@ _BITS = 1 << 20
 
 def buyer_name(text: Column) -> Column:
     """Lower-cased with single blanks; "" for null."""
-    return F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"(?U)\s+", " "))
+    return normalised_name(F.coalesce(text, F.lit("")))
 
 
 def title_words(text: Column, stop_words: Sequence[str] = STOP_WORDS) -> Column:

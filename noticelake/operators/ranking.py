@@ -33,13 +33,42 @@ def descending(c: Column) -> Column:
     return F.struct(c.isNull().alias("n"), (-c).alias("v"))
 
 
-def completeness(*columns: Column) -> Column:
-    """How many of the columns are neither null nor blank nor 0."""
-    out = F.lit(0)
-    for c in columns:
-        text = F.trim(c.cast("string"))
-        out = out + (c.isNotNull() & ~text.isin("", "0", "0.0")).cast("int")
-    return out
+def completeness(texts: Sequence[Column] = (), numbers: Sequence[Column] = (), lists: Sequence[Column] = ()) -> Column:
+    """How many of the columns say something: texts other than "", numbers other than 0, lists with an element."""
+    there = [*(c != "" for c in texts), *(c != 0 for c in numbers), *(F.size(c) > 0 for c in lists)]
+    return sum((F.coalesce(t, F.lit(False)).cast("int") for t in there), F.lit(0))
+
+
+def data_score(winner: Column, amount: Column, quantity: Column, published: Column) -> Column:
+    """100 for a winner, 50 for an amount above 0.01, 25 for a quantity other than 0, and the length of the date's text."""
+    says = lambda c: F.coalesce(c, F.lit(False)).cast("int")
+    return says(winner != "") * 100 + says(amount > 0.01) * 50 + says(quantity != 0) * 25 + F.coalesce(F.length(published.cast("string")), F.lit(0))
+
+
+def notice_key(authority: Column, codes: Column, title: Column, published: Column) -> Column:
+    """What two notices of one purchase have in common: 30 letters of the authority, two codes, 40 letters of the title, the year."""
+    two = F.array_join(F.slice(F.array_sort(F.array_compact(F.coalesce(codes, F.array().cast("array<string>")))), 1, 2), ",")
+    lead = lambda c, n: F.left(F.lower(F.coalesce(c, F.lit(""))), F.lit(n))
+    day = F.coalesce(published.cast("string"), F.lit(""))
+    year = F.when(F.length(day) >= 4, F.left(day, F.lit(4))).otherwise("unknown")
+    return F.concat_ws("|", lead(authority, 30), two, lead(title, 40), year)
+
+
+def one_notice_each(df: DataFrame, key: Column, winner: Column, published: Column, order: Column) -> DataFrame:
+    """Of the notices with an equal key one with a winner before one without, then the latest, then the first in ``order``, which is unique."""
+    has = F.coalesce(winner != "", F.lit(False))
+    return best_row(df, [key], [(~has).cast("int"), latest(published), order])
+
+
+def latest(day: Column) -> Column:
+    """For ``best_row``: texts of dates so that later ones come first and nulls last."""
+    letters = F.transform(F.split(F.coalesce(day, F.lit("")), ""), lambda c: -F.ascii(c))
+    return F.struct(day.isNull().alias("n"), F.concat(letters, F.array(F.lit(1))).alias("v"))  # the end counts more than any letter
+
+
+def most_complete(df: DataFrame, key: str, says: Column, tier: Column, published: Column, order: Column) -> DataFrame:
+    """Of the rows of a key, which is neither null nor "", the most complete, then the best tier, then the latest, then the first in ``order``."""
+    return best_row(df.where(F.col(key) != ""), [key], [-says, -tier, latest(F.coalesce(published, F.lit(""))), order])
 
 
 def first_seen(df: DataFrame, key: str, ts: str) -> DataFrame:

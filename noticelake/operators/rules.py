@@ -120,9 +120,15 @@ def listing_with_fallback(df: DataFrame, source: str, authority: Column, keyword
     return tested.where("_a").join(full, F.col(source).eqNullSafe(F.col("_full")), "left").where("_k OR _full IS NULL").drop("_a", "_k", "_full")
 
 
-def in_scope(source: Column, record_id: Column, sources: Sequence[str]) -> Column:
-    """By an explicit source, else by the id's prefix, else by a plain number with a year."""
-    return F.when(source.isNotNull(), source.isin(*sources)).when(record_id.rlike("^[A-Z]{2}-"), F.left(record_id, F.lit(2)).isin(*sources)).otherwise(record_id.rlike("^[0-9]+-[0-9]{4}$"))
+def in_scope(source: Column, record_id: Column, sources: Sequence[str], numbered: str = "TED") -> Column:
+    """Whether a record's source is listed: the one it names, else ``numbered`` for an id like 123-2024, else what stands before the id's first dash.
+
+    Sources are compared in capitals; a blank source is none, and an id without a dash is out of scope.
+    """
+    named = F.upper(F.trim(F.coalesce(source, F.lit(""))))
+    record = F.trim(F.coalesce(record_id.cast("string"), F.lit("")))
+    by_id = F.when(record.rlike("^[0-9]+-[0-9]{4}$"), F.lit(numbered in sources)).when(record.contains("-"), F.upper(F.split_part(record, F.lit("-"), F.lit(1))).isin(*sources)).otherwise(F.lit(False))
+    return F.when(named != "", named.isin(*sources)).otherwise(by_id)
 
 
 def without_listed(df: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:

@@ -73,26 +73,34 @@ def code_prefixes_of_suppliers(spark, sf_dir):
     return g.select("s_suppkey", "n", F.array_join(F.array_sort(T.code_prefixes(F.col("codes"), 6)), ",").alias("prefixes"), rules.has_prefix(F.col("codes"), ("PROMO", "SMALL PL")).alias("listed"))
 
 
-@query("SELECT c_custkey, trim(regexp_replace(lower(c_name), '[^a-z0-9]+', ' ', 'g')) AS name, TRY_CAST(regexp_replace(c_name, '[^0-9.]', '', 'g') AS DOUBLE) AS number, CAST(TRY_CAST(regexp_replace(c_name, '[^0-9.]', '', 'g') AS DOUBLE) AS BIGINT) AS whole FROM (SELECT c_custkey, replace(c_name, '#', ' no: ') AS c_name FROM customer)")
+@query(r"""SELECT c_custkey, trim(regexp_replace(lower(' Büro ' || c_name || '  Ärzte '), '\s+', ' ', 'g')) AS name, CASE c_custkey % 4 WHEN 1 THEN NULL WHEN 2 THEN NULL ELSE CASE WHEN c_acctbal > 0.01 THEN c_acctbal END END AS number, CAST(CASE c_custkey % 4 WHEN 1 THEN NULL WHEN 2 THEN 0 ELSE trunc(c_acctbal) END AS BIGINT) AS whole FROM customer""")
 def names_and_numbers_cleaned(spark, sf_dir):
-    name = F.replace("c_name", F.lit("#"), F.lit(" no: "))
-    return read(spark, sf_dir, "customer").select("c_custkey", T.normalised_name(name).alias("name"), T.clean_number(name).alias("number"), T.clean_int(name).alias("whole"))
+    """Balances with commas or blanks as thousands, the placeholder 0.01, and texts with a number in them, which are none."""
+    k, english = F.col("c_custkey") % 4, F.format_number("c_acctbal", 2)
+    written = F.when(k == 0, english).when(k == 1, F.replace("c_name", F.lit("#"), F.lit(" no: "))).when(k == 2, "0.01").otherwise(F.translate(english, ",", " "))
+    return read(spark, sf_dir, "customer").select("c_custkey", T.normalised_name(F.concat(F.lit(" Büro "), "c_name", F.lit("  Ärzte "))).alias("name"), T.clean_number(written).alias("number"), T.clean_int(written).alias("whole"))
 
 
 @query("""WITH d AS (SELECT l_orderkey, l_linenumber, date_diff('day', o_orderdate::DATE, l_shipdate::DATE) AS n FROM lineitem JOIN orders ON o_orderkey = l_orderkey)
- SELECT l_orderkey, l_linenumber, CAST(greatest(1, round(n / 30)) AS INTEGER) AS from_days, CAST(greatest(1, round(n * 7 / 30)) AS INTEGER) AS from_weeks, CAST(greatest(1, n * 12) AS INTEGER) AS from_years FROM d""")
+ SELECT l_orderkey, l_linenumber, CAST(greatest(1, round_even(n / 30, 0)) AS INTEGER) AS from_days, CAST(greatest(1, round_even(n * 7 / 30, 0)) AS INTEGER) AS from_weeks, CAST(n * 12 AS INTEGER) AS from_years,
+ CAST(CASE l_linenumber % 4 WHEN 0 THEN greatest(1, round_even(abs(n) / 30, 0)) WHEN 1 THEN greatest(1, round_even(abs(n) * 7 / 30, 0)) WHEN 2 THEN round_even(abs(n) + 0.5, 0) ELSE round_even((abs(n) + 0.5) * 12, 0) END AS INTEGER) AS from_text FROM d""")
 def durations_in_months(spark, sf_dir):
+    """Lengths between order and shipping as if they were days, weeks and years, and as texts of four units."""
     j = read(spark, sf_dir, "lineitem").join(read(spark, sf_dir, "orders"), F.col("o_orderkey") == F.col("l_orderkey"))
     n = F.datediff("l_shipdate", "o_orderdate")
-    return j.select("l_orderkey", "l_linenumber", *(X.duration_in_months(n, F.lit(u)).alias(f"from_{u}s") for u in ("day", "week", "year")))
+    unit = F.element_at(F.array(*(F.lit(u) for u in (" Days", " weeks.", ".5 months", ".5 YEAR"))), F.col("l_linenumber") % 4 + 1)
+    return j.select("l_orderkey", "l_linenumber", *(X.duration_in_months(n, F.lit(u)).alias(f"from_{u}s") for u in ("day", "week", "year")), X.months_of(F.concat(F.lit("runs "), F.abs(n).cast("string"), unit)).alias("from_text"))
 
 
-@query("""SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN true WHEN regexp_matches(id, '^[A-Z]{2}-') THEN left(id, 2) IN ('GE', 'FR', 'UN') ELSE regexp_full_match(id, '[0-9]+-[0-9]{4}') END AS scoped
- FROM (SELECT c_custkey, c_mktsegment, CASE WHEN c_custkey % 2 = 0 THEN upper(left(n_name, 2)) || '-' || c_custkey ELSE c_custkey || '-2024' END AS id FROM customer JOIN nation ON c_nationkey = n_nationkey)""")
+@query("""SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN true WHEN c_mktsegment = 'MACHINERY' THEN false WHEN regexp_full_match(id, '[0-9]+-[0-9]{4}') THEN true WHEN contains(id, '-') THEN upper(split_part(id, '-', 1)) IN ('GE', 'NATION_3', 'TED') ELSE false END AS scoped
+ FROM (SELECT c_custkey, c_mktsegment, CASE c_custkey % 3 WHEN 0 THEN lower(n_name) || '-' || c_custkey WHEN 1 THEN c_custkey || '-2024' ELSE 'plain' || c_custkey END AS id FROM customer JOIN nation ON c_nationkey = n_nationkey)""")
 def sources_in_scope(spark, sf_dir):
+    """By a source that is named (in any case, blank for none), by a numbered id, else by what stands before an id's dash."""
     c = read(spark, sf_dir, "customer").join(read(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    record = F.when(F.col("c_custkey") % 2 == 0, F.concat(F.upper(F.left("n_name", F.lit(2))), F.lit("-"), "c_custkey")).otherwise(F.concat("c_custkey", F.lit("-2024")))
-    return c.select("c_custkey", rules.in_scope(F.when(F.col("c_mktsegment") == "BUILDING", "GE"), record, ("GE", "FR", "UN")).alias("scoped"))
+    k = F.col("c_custkey") % 3
+    record = F.when(k == 0, F.concat(F.lower("n_name"), F.lit("-"), "c_custkey")).when(k == 1, F.concat("c_custkey", F.lit("-2024"))).otherwise(F.concat(F.lit("plain"), "c_custkey"))
+    source = F.when(F.col("c_mktsegment") == "BUILDING", " ge ").when(F.col("c_mktsegment") == "MACHINERY", "XX").when(F.col("c_mktsegment") == "HOUSEHOLD", " ")
+    return c.select("c_custkey", rules.in_scope(source, record, ("GE", "NATION_3", "TED")).alias("scoped"))
 
 
 @query("""WITH s AS (SELECT o_orderkey, max(l_quantity) FILTER (l_linenumber = 1) AS q1, max(l_quantity) FILTER (l_linenumber = 2) AS q2, max(l_returnflag) FILTER (l_linenumber = 1) AS m1, max(l_returnflag) FILTER (l_linenumber = 2) AS m2, max(l_returnflag) FILTER (l_linenumber = 3) AS m3, sum(l_quantity) AS total FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1)
@@ -122,19 +130,48 @@ def first_amounts(spark, sf_dir):
     return o.select("o_orderkey", F.round(found, 2).alias("amount"))
 
 
-@query("SELECT user_id, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY CASE event_type WHEN 'purchase' THEN 0 WHEN 'click' THEN 1 ELSE 2 END, value DESC NULLS LAST, event_id) AS r FROM (SELECT user_id, event_id, event_type, CASE WHEN event_type <> 'view' THEN value END AS value FROM events)) WHERE r = 1")
-def best_by_source_tier(spark, sf_dir):
-    e = read(spark, sf_dir, "events").select("user_id", "event_id", "event_type", F.when(F.col("event_type") != "view", F.col("value")).alias("value"))
-    tier = F.when(F.col("event_type") == "purchase", 0).when(F.col("event_type") == "click", 1).otherwise(2)
-    return ranking.best_row(e, ["user_id"], [tier, ranking.descending(F.col("value")), F.col("event_id")]).select("user_id", "event_id", "value")
+# A line as a notice: supplier and type, codes, name, day, and a winner for returned ones.
+_LINE_NOTICES_SQL = """n AS (SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice) AS place, l_orderkey, l_linenumber, 'Office of ' || upper(p_type) AS authority, [p_type, 'C' || (p_partkey % 3), 'B' || (l_suppkey % 3)] AS codes, p_name AS title,
+ CASE WHEN l_linenumber = 7 THEN NULL WHEN l_linenumber = 6 THEN '19' ELSE strftime(l_shipdate, '%Y-%m-%d') END AS day, CASE l_returnflag WHEN 'R' THEN 'Supplier ' || l_suppkey WHEN 'A' THEN '' END AS winner, l_quantity, l_extendedprice, l_discount, p_partkey FROM lineitem JOIN part ON p_partkey = l_partkey)"""
 
 
-@query("""WITH k AS (SELECT p_partkey, p_retailprice, p_size, lower(left(p_name, 12)) AS name, array_to_string(list_slice(list_sort([p_brand, p_type, left(p_name, 4)]), 1, 2), ',') AS codes FROM part)
- SELECT p_partkey, codes FROM (SELECT *, row_number() OVER (PARTITION BY name, codes ORDER BY CASE WHEN p_size > 25 THEN 0 ELSE 1 END, p_retailprice DESC NULLS LAST, p_partkey) AS r FROM k) WHERE r = 1""")
-def dedup_by_code_pair(spark, sf_dir):
-    codes = F.array_join(F.slice(F.array_sort(F.array("p_brand", "p_type", F.left("p_name", F.lit(4)))), 1, 2), ",")
-    p = read(spark, sf_dir, "part").select("p_partkey", "p_retailprice", "p_size", F.lower(F.left("p_name", F.lit(12))).alias("name"), codes.alias("codes"))
-    return ranking.best_row(p, ["name", "codes"], [F.when(F.col("p_size") > 25, 0).otherwise(1), ranking.descending(F.col("p_retailprice")), F.col("p_partkey")]).select("p_partkey", "codes")
+def line_notices(spark, sf_dir):
+    """Lines as notices; ``place`` is their order."""
+    j = read(spark, sf_dir, "lineitem").join(read(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    code = lambda letter, c: F.concat(F.lit(letter), (F.col(c) % 3).cast("string"))
+    day = F.when(F.col("l_linenumber") == 7, None).when(F.col("l_linenumber") == 6, "19").otherwise(F.date_format("l_shipdate", "yyyy-MM-dd"))
+    winner = F.when(F.col("l_returnflag") == "R", F.concat(F.lit("Supplier "), "l_suppkey")).when(F.col("l_returnflag") == "A", "")
+    place = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice")
+    return j.select(place.alias("place"), "l_orderkey", "l_linenumber", F.concat(F.lit("Office of "), F.upper("p_type")).alias("authority"), F.array("p_type", code("C", "p_partkey"), code("B", "l_suppkey")).alias("codes"), F.col("p_name").alias("title"), day.alias("day"), winner.alias("winner"), "l_quantity", "l_extendedprice", "l_discount", "p_partkey")
+
+
+@query(f"""WITH {_LINE_NOTICES_SQL}, k AS (SELECT *, lower(left(authority, 30)) || '|' || array_to_string(list_sort(codes)[1:2], ',') || '|' || lower(left(title, 40)) || '|' || CASE WHEN length(coalesce(day, '')) >= 4 THEN left(day, 4) ELSE 'unknown' END AS key FROM n)
+ SELECT l_orderkey, l_linenumber, key FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY CASE WHEN coalesce(winner, '') <> '' THEN 0 ELSE 1 END, day DESC NULLS LAST, place) AS r FROM k) WHERE r = 1""")
+def one_notice_a_purchase(spark, sf_dir):
+    """One notice for each authority, two codes, title and year: one with a winner if there is one, then the latest."""
+    n = line_notices(spark, sf_dir)
+    key = ranking.notice_key(F.col("authority"), F.col("codes"), F.col("title"), F.col("day"))
+    return ranking.one_notice_each(n, key, F.col("winner"), F.col("day"), F.col("place")).select("l_orderkey", "l_linenumber", ranking.notice_key(F.col("authority"), F.col("codes"), F.col("title"), F.col("day")).alias("key"))
+
+
+@query(f"""WITH {_LINE_NOTICES_SQL}, k AS (SELECT *, CASE WHEN p_partkey % 10 = 0 THEN '' ELSE 'P' || p_partkey END AS id, CASE WHEN coalesce(winner, '') <> '' THEN 1 ELSE 0 END + CASE WHEN day IS NOT NULL THEN 1 ELSE 0 END + CASE WHEN l_discount <> 0 THEN 1 ELSE 0 END + 2 AS says, CASE l_linenumber % 4 WHEN 0 THEN 10 WHEN 1 THEN 5 WHEN 2 THEN 3 ELSE 0 END AS tier FROM n)
+ SELECT id, l_orderkey, l_linenumber FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY says DESC, tier DESC, coalesce(day, '') DESC, place) AS r FROM k WHERE id <> '') WHERE r = 1""")
+def most_complete_record(spark, sf_dir):
+    """Of the lines of a part the most complete, then the best source, then the latest; parts without an id are left out."""
+    part = F.col("p_partkey")
+    n = line_notices(spark, sf_dir).withColumn("id", F.when(part % 10 == 0, "").otherwise(F.concat(F.lit("P"), part.cast("string"))))
+    says = ranking.completeness([F.col("winner"), F.col("day"), F.col("title")], [F.col("l_discount")], [F.col("codes")])
+    tier = F.element_at(F.array(F.lit(10), F.lit(5), F.lit(3), F.lit(0)), F.col("l_linenumber") % 4 + 1)
+    return ranking.most_complete(n, "id", says, tier, F.col("day"), F.col("place")).select("id", "l_orderkey", "l_linenumber")
+
+
+@query(f"""WITH {_LINE_NOTICES_SQL}, k AS (SELECT *, CASE WHEN coalesce(winner, '') <> '' THEN 100 ELSE 0 END + CASE WHEN l_extendedprice * l_discount > 0.01 THEN 50 ELSE 0 END + CASE WHEN l_quantity > 30 THEN 25 ELSE 0 END + length(coalesce(day, '')) AS score FROM n)
+ SELECT p_partkey, l_orderkey, l_linenumber, score FROM (SELECT *, row_number() OVER (PARTITION BY p_partkey ORDER BY score DESC, place) AS r FROM k) WHERE r = 1""")
+def best_data_score(spark, sf_dir):
+    """Of the lines of a part the first with the highest score of winner, amount, quantity and date."""
+    score = ranking.data_score(F.col("winner"), F.col("l_extendedprice") * F.col("l_discount"), F.when(F.col("l_quantity") > 30, F.col("l_quantity")), F.col("day"))
+    n = line_notices(spark, sf_dir).withColumn("score", score)
+    return ranking.best_row(n, ["p_partkey"], [-F.col("score"), F.col("place")]).select("p_partkey", "l_orderkey", "l_linenumber", F.col("score").cast("long").alias("score"))
 
 
 @query("""WITH y AS (SELECT o_orderpriority, count(*) FILTER (year(o_orderdate) = 1996) AS now, count(*) FILTER (year(o_orderdate) = 1995) AS before FROM orders GROUP BY 1)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import extract as X
+from ..functions import mining
 from ..functions import text as T
 from ..operators import linkage, merge, metrics, ranking, resolve, rules
 
@@ -81,7 +82,7 @@ def relevance_score(spark, sf_dir):
 def relevant_deduplicated(spark, sf_dir):
     """The flagship: score, threshold, best row of each dedup key, order."""
     rows = rules.at_least(scored(spark, sf_dir), RULES.relevant).select("doc_id", "source", "lang", "score", F.left("text", F.lit(40)).alias("head"))
-    best = ranking.best_row(rows, ["source", "lang", "head"], [-F.col("score"), F.col("doc_id")])
+    best = ranking.best_row(rows, ["source", "lang", "head"], [ranking.descending(F.col("score")), F.col("doc_id")])
     return best.select("doc_id", "source", "lang", "score").orderBy(F.desc("score"), "doc_id")
 
 
@@ -153,10 +154,10 @@ def dedup_best_row(spark, sf_dir):
     return ranking.best_row(d, [T.dedup_key((F.col("source"), 30), (F.col("lang"), 2), (F.col("head"), 40))], [ranking.descending(F.col("n_chars")), F.col("doc_id")]).select("doc_id", "lang", "source")
 
 
-@query("SELECT event_id, user_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY (CASE WHEN value IS NOT NULL AND value <> 0 THEN 1 ELSE 0 END + CASE WHEN props IS NOT NULL AND trim(props) <> '' THEN 1 ELSE 0 END) DESC, ts DESC, event_id) AS r FROM events) WHERE r = 1")
+@query("SELECT event_id, user_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY (CASE WHEN value IS NOT NULL AND value <> 0 THEN 1 ELSE 0 END + CASE WHEN props IS NOT NULL AND props <> '' THEN 1 ELSE 0 END) DESC, ts DESC, event_id) AS r FROM events) WHERE r = 1")
 def dedup_completeness(spark, sf_dir):
     e = read(spark, sf_dir, "events")
-    return ranking.best_row(e, ["user_id", "event_type"], [-ranking.completeness(F.col("value"), F.col("props")), -F.unix_micros(F.col("ts").cast("timestamp")), F.col("event_id")]).select("event_id", "user_id", "event_type")
+    return ranking.best_row(e, ["user_id", "event_type"], [-ranking.completeness([F.col("props")], [F.col("value")]), -F.unix_micros(F.col("ts").cast("timestamp")), F.col("event_id")]).select("event_id", "user_id", "event_type")
 
 
 @query("SELECT o_custkey, o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS r FROM orders) WHERE r = 1")
@@ -463,10 +464,14 @@ def amount_parse(spark, sf_dir):
     return read(spark, sf_dir, "orders").select("o_orderkey", *(X.amount(c).alias(n) for n, c in written.items()))
 
 
-@query("SELECT p_partkey, CASE WHEN p_size BETWEEN 1 AND 40 THEN p_size END AS quantity, CASE WHEN p_size + 12 BETWEEN 1 AND 600 THEN CAST(p_size + 12 AS INTEGER) END AS months, strftime(DATE '2026-05-01' + p_size, '%Y-%m-%d') AS deadline FROM part")
+@query("""SELECT p_partkey, CASE WHEN p_size * 2500 <= 100000 THEN p_size * 2500 END AS quantity, CASE WHEN p_size * 2500 <= 100000 THEN ['up_to_N_trailer', 'N_trailer', 'N_units', 'quantity_field', 'Nx_trailer'][p_partkey % 5 + 1] END AS source FROM part""")
 def mined_fields(spark, sf_dir):
-    text = F.concat(F.lit("NSN 12. Quantity: "), F.col("p_size"), F.lit(" pieces, contract of 1 year and "), F.col("p_size"), F.lit(" months, delivery "), F.col("p_size"), F.lit(" days after award"))
-    return read(spark, sf_dir, "part").select("p_partkey", X.quantity(text, 1, 40).alias("quantity"), X.duration_months(text).alias("months"), F.date_format(X.deadline(text, F.to_date(F.lit("2026-05-01"))), "yyyy-MM-dd").alias("deadline"))
+    """Each part's number written in one of five forms, with points or commas between thousands, and found again up to 100,000."""
+    english = F.format_number(F.col("p_size") * 2500, 0)
+    n = F.when(F.col("p_partkey") % 2 == 0, F.translate(english, ",", ".")).otherwise(english)
+    forms = (("delivery of up to ", " trailers"), ("wanted: ", " Trailer of any kind"), ("NSN A. Needed: ", " Stück"), ("Menge : ", " in all"), ("about ", " × remorque"))
+    text = F.element_at(F.array(*(F.concat(F.lit(a), n, F.lit(b)) for a, b in forms)), (F.col("p_partkey") % 5 + 1).cast("int"))
+    return read(spark, sf_dir, "part").withColumn("_found", X.detected_quantity(text)).select("p_partkey", "_found.quantity", "_found.source")
 
 
 @query(r"SELECT doc_id, nullif(regexp_extract(text, '(?:password|passwd|token)=([0-9a-z]+)', 1), '') AS found, len(list_filter(regexp_split_to_array(regexp_replace(text, '([0-9])\.([0-9])', '\1_\2', 'g'), '[.!?]+'), lambda p: length(trim(p)) > 10)) AS sentences FROM documents")
@@ -529,12 +534,12 @@ def document_frequencies_top(spark, sf_dir):
     return metrics.top_counts(words, "word", 50)
 
 
-_TYPES_SQL = " ".join(f"WHEN regexp_matches(text, '{p.removeprefix('(?iu)')}', 'i') THEN '{name}'" for name, p in X.CONTRACT_TYPES)
+_TYPES_SQL = " ".join(f"WHEN regexp_matches(text, '{p}', 'i') THEN '{name}'" for name, p in mining.KINDS.items())
 
 
-@query(f"SELECT doc_id, CASE WHEN source = 'src0' THEN 'framework' {_TYPES_SQL} ELSE 'one_time' END AS kind FROM documents")
+@query(f"SELECT doc_id, CASE WHEN source = 'src0' THEN 'framework_agreement' {_TYPES_SQL} ELSE 'one_time' END AS kind FROM documents")
 def contract_types(spark, sf_dir):
-    return read(spark, sf_dir, "documents").select("doc_id", X.contract_type(F.when(F.col("source") == "src0", "F"), F.col("text")).alias("kind"))
+    return read(spark, sf_dir, "documents").select("doc_id", mining.contract_profile(F.when(F.col("source") == "src0", "FA-mix"), F.col("text"))["contract_type"].alias("kind"))
 
 
 # --- increments

@@ -45,19 +45,41 @@ def test_formatted_id(spark, raw, want):
     assert one(spark, raw, lambda c: text.formatted_id(c, F.lit("DE"))) == want
 
 
-@pytest.mark.parametrize("raw, want", [("Qty 27 trailers", 27), ("Menge: 1.200", 1200), ("quantité 5", 5), ("12 Stück", 12), ("ILOŚĆ: 7", 7), ("qty 99999", None), ("file 5", None), ("", None)])
+@pytest.mark.parametrize("raw, want", [("bis zu 4.600 Anhängern", (4600, "up_to_N_trailer")), ("54 remorques", (54, "N_trailer")), ("12 Stück", (12, "N_units")), ("Menge: 1.200", (1200, "quantity_field")), ("quantity = 100,000", (100000, "quantity_field")), ("5 x trailer", (5, "Nx_trailer")), ("120000 units", None), ("1.2 units", None), ("1.2 units, quantity: 7", (7, "quantity_field")), ("file 5", None), ("", None), (None, None)])
 def test_quantity(spark, raw, want):
-    assert one(spark, raw, extract.quantity) == want
+    found = one(spark, raw, extract.detected_quantity)
+    assert (found and tuple(found)) == want
 
 
-def test_deadline_and_duration(spark):
-    anchor = F.to_date(F.lit("2026-05-01"))
-    assert one(spark, "120 days after contract award", lambda c: extract.deadline(c, anchor)) == datetime.date(2026, 8, 29)
-    assert one(spark, "Lieferung bis 31.12.2026", lambda c: extract.deadline(c, anchor)) == datetime.date(2026, 12, 31)
-    assert one(spark, "on 2026-02-30", lambda c: extract.deadline(c, anchor)) is None
-    assert one(spark, "2 years and 6 months", extract.duration_months) == 30
-    assert one(spark, "24 Monate", extract.duration_months) == 24
-    assert one(spark, "none", extract.duration_months) is None
+@pytest.mark.parametrize("raw, want", [("75 days", 2), ("45 days", 2), ("3 days", 1), ("2 weeks", 1), ("8 weeks", 2), ("0 months", 0), ("2.5 Months", 2), ("1.5 years", 18), ("12 month", 12), ("soon", None), (None, None)])
+def test_months_of(spark, raw, want):
+    assert one(spark, raw, extract.months_of) == want
+
+
+@pytest.mark.parametrize("raw, number, whole", [("1,234.5", 1234.5, 1234), ("12 000", 12000.0, 12000), ("0", None, 0), ("0.01", None, 0), ("0.02", 0.02, 0), ("no: 12", None, None), ("-5.7", None, -5), ("1e3", 1000.0, 1000), ("", None, None), ("nan", None, None), (None, None, None)])
+def test_clean_numbers(spark, raw, number, whole):
+    assert one(spark, raw, text.clean_number) == number
+    assert one(spark, raw, text.clean_int) == whole
+
+
+@pytest.mark.parametrize("source, record, want", [("ca", "1-2024", True), (" DE ", None, True), ("FR", "CA-1", False), ("", "CA-cb-1", True), (None, "nspa-9", True), (None, "123-2024", False), (None, "12-20245", False), (None, "plain", False), (None, None, False)])
+def test_in_scope(spark, source, record, want):
+    df = spark.createDataFrame([(source, record)], "s string, r string")
+    assert df.select(rules.in_scope(F.col("s"), F.col("r"), ("CA", "DE", "NSPA"))).first()[0] is want
+    assert df.select(rules.in_scope(F.col("s"), F.col("r"), ("TED",))).first()[0] is (record == "123-2024")
+
+
+def test_scores_of_rows(spark):
+    df = spark.createDataFrame([("0", " ", 0, None, []), ("", None, 5, 0.0, [""])], "a string, b string, n int, x double, l array<string>")
+    assert [r[0] for r in df.select(ranking.completeness([F.col("a"), F.col("b")], [F.col("n"), F.col("x")], [F.col("l")])).collect()] == [2, 2]
+    scored = spark.createDataFrame([("w", 0.01, 3, "2024-01-02"), ("", 7.0, None, None), (None, None, 0, "")], "w string, a double, q int, d string")
+    assert [r[0] for r in scored.select(ranking.data_score(*(F.col(c) for c in "waqd"))).collect()] == [135, 50, 0]
+
+
+def test_one_notice_each_prefers_winners_then_later_ones(spark):
+    rows = [(1, "A", "", "2024-01-01"), (2, "A", "w", "2023-01-01"), (3, "A", "w", "2023-05-01"), (4, "B", None, "2024-01"), (5, "B", None, "2024-01-01"), (6, "B", None, None), (7, "B", "", "2024-01-01")]
+    df = spark.createDataFrame(rows, "id int, k string, w string, d string")
+    assert {r.id for r in ranking.one_notice_each(df, F.col("k"), F.col("w"), F.col("d"), F.col("id")).collect()} == {3, 5}
 
 
 def test_names_urls_and_json(spark):
@@ -105,7 +127,7 @@ def test_range_candidates_equal_all_pairs(spark):
 
 def test_best_row_and_completeness(spark):
     df = spark.createDataFrame([(1, "a", None, 2), (1, "b", "x", 1), (2, "c", "", 0)], "k int, id string, w string, n int")
-    best = ranking.best_row(df, ["k"], [-ranking.completeness(F.col("w"), F.col("n")), F.col("id")])
+    best = ranking.best_row(df, ["k"], [-ranking.completeness([F.col("w")], [F.col("n")]), F.col("id")])
     assert {r.id for r in best.collect()} == {"b", "c"}
 
 
