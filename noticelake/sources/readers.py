@@ -1,15 +1,12 @@
-"""Sources: JSON, CSV, XML and recorded pages of remote searches."""
+"""Sources: JSON, CSV, XML and the union of searches."""
 
 from __future__ import annotations
 
-import json
-import os
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThanOrEqual, In, InputPartition
 
 
 def json_folder(spark: SparkSession, path: str, schema: T.StructType, failed_flag: str = "_fetch_failed") -> DataFrame:
@@ -67,58 +64,6 @@ def month_windows(since: Column, until: Column) -> Column:
     return F.transform(months, lambda m: F.struct(F.greatest(m, since).alias("first"), F.least(F.last_day(m), until).alias("last")))
 
 
-class _Page(InputPartition):
-    def __init__(self, path: str):
-        self.path = path
-
-
-class RecordedPages(DataSource):
-    """A paged search recorded on disk: ``page-*.json`` files with a list under ``results``.
-
-    A partition a page. Equality and lower bounds on pushed columns are applied
-    while reading, as a remote search would apply them. Options: ``path``, ``schema``.
-    Load it anew for each search: Spark keeps pushed filters with the loaded table.
-    """
-
-    @classmethod
-    def name(cls) -> str:
-        return "recorded_pages"
-
-    def schema(self) -> str:
-        return self.options["schema"]
-
-    def reader(self, schema: T.StructType) -> DataSourceReader:
-        return _PageReader(self.options["path"], schema)
-
-
-class _PageReader(DataSourceReader):
-    def __init__(self, path: str, schema: T.StructType):
-        self.path, self.names, self.wanted = path, [f.name for f in schema.fields], []
-
-    def pushFilters(self, filters: list[Filter]):
-        for f in filters:
-            if isinstance(f, (EqualTo, GreaterThanOrEqual, In)) and len(f.attribute) == 1:
-                self.wanted.append((f.attribute[0], type(f).__name__, tuple(f.value) if isinstance(f, In) else f.value))
-            else:
-                yield f
-
-    def partitions(self) -> list[InputPartition]:
-        return [_Page(os.path.join(self.path, p)) for p in sorted(os.listdir(self.path)) if p.startswith("page-")]
-
-    def _fits(self, row: dict) -> bool:
-        for name, kind, value in self.wanted:
-            x = row.get(name)
-            if x is None or (kind == "EqualTo" and x != value) or (kind == "GreaterThanOrEqual" and x < value) or (kind == "In" and x not in value):
-                return False
-        return True
-
-    def read(self, partition: _Page) -> Iterator[tuple]:
-        with open(partition.path, encoding="utf-8") as f:
-            for row in json.load(f).get("results", []):
-                if self._fits(row):
-                    yield tuple(row.get(n) for n in self.names)
-
-
 def union_of_searches(frames: Sequence[DataFrame], key: str) -> DataFrame:
     """Several searches as one table: of rows with the same key that of the first search stays."""
     out = None

@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 
 def file_stream(spark: SparkSession, path: str, pattern: str = "*.parquet", files_a_batch: int | None = None) -> DataFrame:
@@ -32,45 +34,121 @@ def windowed_counts(stream: DataFrame, ts: str, by: str, width: str = "1 day", d
 
 
 def first_seen_stream(stream: DataFrame, key: str, ts: str) -> DataFrame:
-    """``key, first_seen`` as updates: the earliest time of each key so far, kept as state."""
+    """``key, first_seen`` as updates: the earliest time of each key so far, an aggregate's state."""
+    return stream.groupBy(key).agg(F.min(F.col(ts).cast("timestamp_ntz")).alias("first_seen"))
 
-    def update(k: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        least = min(f["ts"].min() for f in frames)
-        before = pd.Timestamp(state.get[0], unit="us") if state.exists else None
-        if before is None or least < before:
-            state.update((int(least.value // 1000),))
-            yield pd.DataFrame({key: [k[0]], "first_seen": [least]})
 
-    rows = stream.select(F.col(key), F.col(ts).cast("timestamp_ntz").alias("ts"))
-    kind = dict(rows.dtypes)[key]
-    return rows.groupBy(key).applyInPandasWithState(update, f"`{key}` {kind}, first_seen timestamp_ntz", "at long", "update", GroupStateTimeout.NoTimeout)
+class _Fresh(StatefulProcessor):
+    """Lets a key's row pass when nothing is kept of the key; what is kept ends by itself after its time to live."""
 
+    def __init__(self, ttl_ms: int, order: str):
+        self.ttl_ms, self.order = ttl_ms, order
 
-def expiring(stream: DataFrame, key: str, ts: str, keep: str = "30 days") -> DataFrame:
-    """The first row of a key, and again when none came for ``keep``: state with a time to live."""
-    return stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, "1 hour").groupBy(F.session_window(ts, keep), key).agg(F.min(ts).alias("first"), F.max(ts).alias("last"), F.count("*").alias("n"))
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.passed = handle.getValueState("passed", T.StructType([T.StructField("n", T.LongType())]), self.ttl_ms)
 
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
+        first = None
+        for frame in rows:
+            some = frame if first is None else pd.concat([first, frame])
+            first = some.sort_values(self.order, kind="stable").head(1)
+        if first is not None and not self.passed.exists():
+            self.passed.update((1,))
+            yield first
 
-def upsert_latest(target: str, keys: Sequence[str], order: Sequence[str]) -> Callable[[DataFrame, int], None]:
-    """For ``foreachBatch``: keeps the latest row of each key in versions under ``target``.
+    def close(self) -> None:
+        pass
 
-    Each batch writes ``version=n`` from the version before and its own rows;
-    a batch that runs again writes the same version.
+
+def expiring(stream: DataFrame, key: str, order: str, keep_seconds: float = 30 * 86_400) -> DataFrame:
+    """The first row of each key by ``order``, and again the first that comes after ``keep_seconds``, counted from the row before.
+
+    State with a time to live, in time of processing: a decision that is older is
+    asked for anew. Needs the RocksDB state store (``use_state_store``); run it with
+    ``run_to_end(..., idle=False)``.
+    """
+    return stream.groupBy(key).transformWithStateInPandas(_Fresh(int(keep_seconds * 1000), order), stream.schema, "append", "ProcessingTime")
+
+
+def use_state_store(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
+_BUCKET = "_bucket"
+
+
+def current_version(spark: SparkSession, target: str, before: int | None = None) -> DataFrame | None:
+    """``bucket, batch``: where the rows of each bucket are, after the last batch (before number ``before``); None if there is none.
+
+    A batch counts from the moment its list of buckets is committed, which is one
+    small file, so readers see all of a batch or nothing.
+    """
+    try:
+        lists = spark.read.schema("bucket int, at long, batch long").parquet(f"{target}/buckets")
+    except AnalysisException:
+        return None
+    lists = lists if before is None else lists.where(F.col("batch") < before)
+    last = lists.agg(F.max("batch")).first()[0]
+    return None if last is None else lists.where(F.col("batch") == last).select("bucket", F.col("at").alias("batch"))
+
+
+def read_latest(spark: SparkSession, target: str) -> DataFrame | None:
+    """The rows of all keys as the last whole batch left them."""
+    now = current_version(spark, target)
+    return None if now is None else _rows_of(spark, target, [(r.bucket, r.batch) for r in now.collect()])
+
+
+def _rows_of(spark: SparkSession, target: str, places: Sequence[tuple[int, int]]) -> DataFrame:
+    return spark.read.parquet(*(f"{target}/rows/batch={batch}/{_BUCKET}={bucket}" for bucket, batch in sorted(places)))
+
+
+def upsert_latest(target: str, keys: Sequence[str], order: Sequence[str], buckets: int = 64) -> Callable[[DataFrame, int], None]:
+    """For ``foreachBatch``: keeps the latest row of each key in ``buckets`` by a hash of the key.
+
+    A batch reads and writes only the buckets that its keys fall into; files of
+    the others stay as they are. Then a new list of buckets is committed. A
+    batch that runs again starts from the lists before it, so it gives the same.
     """
 
     def merge(batch: DataFrame, number: int) -> None:
-        spark, rows = batch.sparkSession, batch
-        if number:
-            rows = spark.read.parquet(f"{target}/version={number - 1}").unionByName(batch)
-        names = batch.columns
-        best = rows.groupBy(*keys).agg(F.max(F.struct(*order, F.struct(*names).alias("_row"))).alias("_best"))
-        best.select("_best._row.*").write.mode("overwrite").parquet(f"{target}/version={number}")
+        spark, names = batch.sparkSession, batch.columns
+        rows = batch.withColumn(_BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+        touched = {r[0] for r in rows.select(_BUCKET).distinct().collect()}  # ``buckets`` at most
+        if not touched:
+            return
+        now = current_version(spark, target, number)
+        there = {r.bucket: r.batch for r in now.collect()} if now is not None else {}
+        old = [(b, there[b]) for b in touched if b in there]
+        if old:
+            known = _rows_of(spark, target, old).select(*names)
+            rows = rows.unionByName(known.withColumn(_BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")))
+        best = rows.groupBy(_BUCKET, *keys).agg(F.max(F.struct(*order, F.struct(*names).alias("_row"))).alias("_best"))
+        best.select(_BUCKET, "_best._row.*").repartition(_BUCKET).write.mode("overwrite").partitionBy(_BUCKET).parquet(f"{target}/rows/batch={number}")
+        places = sorted((there | dict.fromkeys(touched, number)).items())
+        spark.createDataFrame(places, "bucket int, at long").coalesce(1).write.mode("overwrite").parquet(f"{target}/buckets/batch={number}")
 
     return merge
 
 
-def run_to_end(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> DataFrame:
-    """Runs a stream over what is there now into Parquet, and reads that; a later call goes on from the checkpoint."""
+_IDLE = "spark.sql.streaming.noDataMicroBatches.enabled"
+
+
+def run_to_end(stream: DataFrame, path: str, checkpoint: str, mode: str = "append", idle: bool = True) -> DataFrame:
+    """Runs a stream over what is there now into Parquet, and reads that; a later call goes on from the checkpoint.
+
+    ``idle`` batches without rows let watermarks close windows. A stream of
+    ``expiring`` must go without: by the clock it could always have one more.
+    """
+    spark = stream.sparkSession
+    before = spark.conf.get(_IDLE)
+    spark.conf.set(_IDLE, str(idle).lower())
+    try:
+        return _run_to_end(stream, path, checkpoint, mode)
+    finally:
+        spark.conf.set(_IDLE, before)
+
+
+def _run_to_end(stream: DataFrame, path: str, checkpoint: str, mode: str) -> DataFrame:
     spark = stream.sparkSession
     if mode == "append":
         started = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode(mode).trigger(availableNow=True).start()
