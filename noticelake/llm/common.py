@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
 from collections.abc import Callable, Iterator
+from functools import lru_cache, wraps
 from itertools import islice
 from typing import Any
 
@@ -49,6 +52,43 @@ def pieces(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.Re
             yield batch.slice(at, rows)
 
 
+_KEPT: list = []
+
+
+def kept_by_worker(most: int = 1):
+    """For what a worker keeps from task to task: the ``most`` last results of the function, until another such function is called.
+
+    A worker that goes on to another operator so gives back the vocabularies and
+    words of the one before.
+    """
+
+    def wrap(make):
+        cached = lru_cache(maxsize=most)(make)
+        _KEPT.append(cached)
+
+        @wraps(make)
+        def get(*args):
+            others = [c for c in _KEPT if c is not cached and c.cache_info().currsize]
+            for c in others:
+                c.cache_clear()
+            if others:
+                _give_back()
+            return cached(*args)
+
+        return get
+
+    return wrap
+
+
+def _give_back() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library keeps what it has
+        pass
+
+
 class Memo(dict):
     """A dict that computes missing entries and drops the older half when it is full.
 

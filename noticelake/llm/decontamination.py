@@ -12,14 +12,13 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import ahocorasick
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import pieces, slim, table, written
+from .common import kept_by_worker, pieces, slim, table, written
 
 WIDTH = 13
 #: Text of benchmark items that one automaton takes; a larger benchmark is read in blocks of about this size.
@@ -93,7 +92,7 @@ class Windows:
         return Hits(n_words, [(a, b) for a, b in merged], sorted(items), spans)
 
 
-@lru_cache(maxsize=1)
+@kept_by_worker()
 def _windows(sent, width: int) -> Windows:
     """One for each worker and block, kept from task to task."""
     return Windows(sent.value, width)

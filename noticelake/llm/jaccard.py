@@ -25,7 +25,7 @@ import hashlib
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache, reduce
+from functools import reduce
 from operator import add, and_
 
 import numpy as np
@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import pieces, slim, table, written
+from .common import kept_by_worker, pieces, slim, table, written
 from .components import connected_components
 
 #: A-Z to lower case, white space to blanks; other bytes of UTF-8 are parts of words.
@@ -113,7 +113,7 @@ class Shingler:
         return np.unique(_mix(out))
 
 
-@lru_cache(maxsize=2)
+@kept_by_worker(2)
 def shingler(width: int) -> Shingler:
     """One for each worker, so that its words are kept from task to task."""
     return Shingler(width)

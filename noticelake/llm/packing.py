@@ -18,14 +18,13 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ranked_within, slim, table, written
+from .common import kept_by_worker, ranked_within, slim, table, written
 
 CAPACITY = 4096
 END_ID = 1
@@ -188,7 +187,7 @@ class WordTokenizer:
         return [b"".join(map(get, w)) if w is not None else self._whole(t) if t else b"" for t, w in zip(texts, found, strict=True)]
 
 
-@lru_cache(maxsize=1)
+@kept_by_worker()
 def word_tokenizer(path: str | None) -> WordTokenizer:
     """One for each worker: the vocabulary is read once and words are kept from task to task."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core

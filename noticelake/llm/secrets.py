@@ -16,13 +16,12 @@ import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Memo, pieces, slim, table
+from .common import Memo, kept_by_worker, pieces, slim, table
 
 # The base patterns and the kinds in the order that breaks ties of start.
 KINDS = ("assign", "access", "hex", "random")
@@ -94,7 +93,7 @@ class SecretFinder:
         return base, sorted(base + more, key=_order)
 
 
-@lru_cache(maxsize=2)
+@kept_by_worker(2)
 def secret_finder(settings: SecretSettings) -> SecretFinder:
     """One for each worker: the vocabulary is read once."""
     return SecretFinder(settings)

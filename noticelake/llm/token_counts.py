@@ -15,14 +15,13 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Memo, slim, table
+from .common import Memo, kept_by_worker, slim, table
 
 SPACE = "▁"
 #: What the library's Metaspace splitting makes of a text whose spaces are written U+2581.
@@ -84,7 +83,7 @@ def words_for_counting(text: str | None) -> list[str]:
     return _WORDS.findall(text if text.startswith(SPACE) else SPACE + text)
 
 
-@lru_cache(maxsize=1)
+@kept_by_worker()
 def _counts(vocabulary_path: str | None) -> Memo:
     """One for each worker, so that its words are kept from task to task."""
     return Memo(CountOnlyViterbi(unigram_vocabulary(vocabulary_path)).count)

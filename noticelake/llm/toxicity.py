@@ -19,14 +19,13 @@ import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LETTERS, Memo, id_mod, pieces, slim, table
+from .common import LETTERS, Memo, id_mod, kept_by_worker, pieces, slim, table
 from .ftrl import Ftrl
 
 # Identity terms, by group, in the four languages of the tables. A term is swapped within its group.
@@ -224,7 +223,7 @@ def bounded(labels: DataFrame, most: int, id_col: str = "doc_id") -> DataFrame:
 _SCORED = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
 
 
-@lru_cache(maxsize=1)
+@kept_by_worker()
 def _scores(sent) -> Callable[[str | None], float]:
     m = sent.value
     weight = Memo(lambda w: float(m.weights[word_features(w, m.settings)].sum()))
