@@ -81,18 +81,35 @@ class SecretFinder:
         if not text:
             return [], []
         base = self.base(text)
-        more = []
-        places = None
+        more: list[tuple[str, int, int]] = []
+        covered, places = _Stretches([(a, b) for _, a, b in base]), None
         for m in self.candidate.finditer(text):
             a, b = m.span()
-            if self.random[m[0]] and not any(x < b and a < y for _, x, y in base):
+            if self.random[m[0]] and not covered.touch(a, b):
                 if places is None:
-                    places = [p.span() for p in _PLACE.finditer(text)] if "@" in text or "://" in text else []
-                if not any(x < b and a < y for x, y in places):
+                    places = _Stretches([p.span() for p in _PLACE.finditer(text)] if "@" in text or "://" in text else [])
+                if not places.touch(a, b):
                     more.append(("random", a, b))
         return base, sorted(base + more, key=_order)
 
 
+class _Stretches:
+    """Intervals put together, asked about others that come in order of their starts: both are walked once."""
+
+    def __init__(self, spans: list[tuple[int, int]]):
+        self.at, self.all = 0, []
+        for a, b in sorted(spans):
+            if self.all and a <= self.all[-1][1]:
+                self.all[-1] = (self.all[-1][0], max(b, self.all[-1][1]))
+            else:
+                self.all.append((a, b))
+
+    def touch(self, a: int, b: int) -> bool:
+        while self.at < len(self.all) and self.all[self.at][1] <= a:
+            self.at += 1
+        return self.at < len(self.all) and self.all[self.at][0] < b
+
+
 @kept_by_worker(2)
 def secret_finder(settings: SecretSettings) -> SecretFinder:
     """One for each worker: the vocabulary is read once."""
