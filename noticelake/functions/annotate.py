@@ -1,56 +1,47 @@
-"""Text functions with computed replacements, over Arrow batches: what SQL expressions can't say."""
+"""Amounts in texts with their value in euros beside them; texts of JSON and of element trees, over Arrow batches."""
 
 from __future__ import annotations
 
 import json
-import re
 from collections.abc import Mapping
 from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import Column
+from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-_AMOUNT = re.compile(r"(?<![0-9.,])([0-9][0-9.,   ]*[0-9]|[0-9])\s?([A-Z]{3})\b(?!\s*\(~€)")
+from .extract import amount
 
+# Currencies that are looked for in texts, in any case.
+CURRENCIES = ("CZK", "PLN", "UAH", "NOK", "SEK", "DKK", "HUF", "RON", "BGN", "GBP", "CHF", "TRY", "USD", "JPY", "CNY")
+# A number, its thousands in threes, before a currency; neither may go on as a word.
+_NUMBER = r"[0-9]{1,3}(?:[,.\s\u00A0][0-9]{3})*(?:[,.][0-9]{1,4})?"
+AMOUNT = rf"(?iU)(?<!\w){_NUMBER}\s*(?:{'|'.join(CURRENCIES)})(?![A-Za-z])"
 
-def parsed_amount(text: str) -> float | None:
-    """A number with locale separators, by the rules of ``extract.amount``."""
-    t = re.sub(r"[\u00A0\u202F\s]", "", text)
-    groups = {mark: t.split(mark) for mark in ",." if mark in t}
-    if len(groups) == 2:
-        point = max(groups, key=t.rfind)
-        t = t.replace("," if point == "." else ".", "").replace(point, ".")
-    elif "," in groups:
-        t = t.replace(",", "." if len(groups[","]) == 2 and len(groups[","][1]) <= 2 else "")
-    elif len(groups.get(".", ())) > 2 and all(len(g) == 3 for g in groups["."][1:]):
-        t = t.replace(".", "")
-    return float(t) if re.fullmatch(r"[0-9]+\.?[0-9]*|\.[0-9]+", t) else None
 
+def short(n: Column) -> Column:
+    """932, 4.9K, 2.5M; halves round to the even digit."""
+    return F.when(n >= 1e6, F.format_string("%.1fM", F.bround(n / 1e6, 1))).when(n >= 1e3, F.format_string("%.1fK", F.bround(n / 1e3, 1))).otherwise(F.format_string("%.0f", F.bround(n)))
 
-def short(n: float) -> str:
-    return f"{n / 1e6:.1f}M" if n >= 1e6 else f"{n / 1e3:.1f}K" if n >= 1e3 else f"{n:.0f}"
 
+def annotate_amounts(text: Column, rates: Mapping[str, float], least: float = 1.0, most: float = 1e10) -> Column:
+    """The text with `` (~€…)`` after each amount in a currency of ``rates``; one that is followed by such a note stays as it is.
 
-def annotated(text: str | None, rates: Mapping[str, float], least: float = 1.0, most: float = 1e10) -> str | None:
-    """Appends ``(~€…)`` to each amount in a known foreign currency; an annotated text stays as it is."""
-    if text is None:
-        return None
-
-    def put(m: re.Match) -> str:
-        n, r = parsed_amount(m[1]), rates.get(m[2])
-        eur = n * r if n is not None and r and m[2] != "EUR" else None
-        return m[0] if eur is None or not least <= eur <= most else f"{m[0]} (~€{short(eur)})"
-
-    return _AMOUNT.sub(put, text)
+    What stands between the amounts alternates with them, so the text is put
+    together again from both. Amounts outside ``least`` to ``most`` euros stay.
+    """
+    between = F.split(text, AMOUNT, -1)
+    found = F.regexp_extract_all(text, F.lit(AMOUNT), F.lit(0))
+    known = F.create_map(*(F.lit(x) for k, v in rates.items() if v > 0 for x in (k, float(v))))
 
+    def noted(match: Column, at: Column) -> Column:
+        after = F.ltrim(F.left(F.get(between, at + 1), F.lit(5)))
+        euros = amount(F.regexp_extract(match, rf"(?U)^{_NUMBER}", 0)) * F.try_element_at(known, F.upper(F.right(match, F.lit(3))))
+        return F.when(~after.startswith("(~€") & euros.between(least, most), F.concat(match, F.lit(" (~€"), short(euros), F.lit(")"))).otherwise(match)
 
-def annotate_amounts(text: Column, rates: Mapping[str, float]) -> Column:
-    @pandas_udf("string")
-    def run(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: annotated(t, rates))
-
-    return run(text)
+    pairs = F.zip_with(between, F.transform(found, noted), lambda b, m: F.concat(b, F.coalesce(m, F.lit(""))))
+    return F.when(text.rlike(AMOUNT), F.array_join(pairs, "")).otherwise(text)
 
 
 def _leaves(value, depth: int) -> list[str]:

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import notices, records, streams, tables
+from . import notices, records, streams, tables, upkeep
 
 QUERIES = dict(tables.QUERIES)
 ORACLES = dict(tables.ORACLES)
-__all__ = ["QUERIES", "ORACLES", "notices", "records", "streams"]
+__all__ = ["QUERIES", "ORACLES", "notices", "records", "streams", "upkeep"]

@@ -32,10 +32,18 @@ def stream_first_seen(spark, sf_dir):
     return out.groupBy("user_id").agg(F.date_format(F.min("first_seen"), "yyyy-MM-dd HH:mm:ss").alias("first_seen"))
 
 
-@query()
+_FX_EUR = " ".join(f"WHEN {k} THEN {RATES[c]}" for k, c in enumerate(("PLN", "USD", "CZK")))
+
+
+@query(f"""WITH e AS (SELECT o_orderkey, printf('%.2f', o_totalprice) AS plain, o_totalprice * CASE o_orderkey % 5 {_FX_EUR} END AS eur, o_orderkey % 5 AS k, CASE WHEN o_totalprice >= 1000 THEN printf('%d', CAST(floor(o_totalprice / 1000) AS BIGINT)) || ' ' || right('00' || printf('%.2f', o_totalprice - floor(o_totalprice / 1000) * 1000), 6) ELSE printf('%.2f', o_totalprice) END AS spaced FROM orders)
+ SELECT o_orderkey, CASE k WHEN 0 THEN 'Value ' || spaced || 'pln' || note || ' net' WHEN 1 THEN 'Value ' || spaced || ' USD' || note || ' net' WHEN 2 THEN 'Value ' || spaced || ' Czk' || note || ' (~€1) net' WHEN 3 THEN 'Value ' || spaced || ' EUR net' ELSE 'x' || spaced || ' USDT net' END AS text
+ FROM (SELECT *, CASE WHEN k < 2 THEN ' (~€' || CASE WHEN eur >= 1e6 THEN printf('%.1fM', eur / 1e6) WHEN eur >= 1e3 THEN printf('%.1fK', eur / 1e3) ELSE printf('%.0f', eur) END || ')' ELSE '' END AS note FROM e)""")
 def annotate_fx_text(spark, sf_dir):
+    """Prices with blanks between thousands in currencies of any case; noted ones, euros and longer words stay."""
     o = read(spark, sf_dir, "orders")
-    text = F.concat(F.lit("Value "), F.format_number("o_totalprice", 2), F.lit(" "), F.element_at(F.array(*map(F.lit, ("EUR", "USD", "PLN", "XXX"))), (F.col("o_orderkey") % 4 + 1).cast("int")))
+    n = F.translate(F.format_number("o_totalprice", 2), ",", " ")
+    forms = (("Value ", "pln net"), ("Value ", " USD net"), ("Value ", " Czk (~€1) net"), ("Value ", " EUR net"), ("x", " USDT net"))
+    text = F.element_at(F.array(*(F.concat(F.lit(a), n, F.lit(b)) for a, b in forms)), (F.col("o_orderkey") % 5 + 1).cast("int"))
     return o.select("o_orderkey", annotate.annotate_amounts(text, RATES).alias("text"))
 
 

@@ -17,22 +17,18 @@ def one(spark, value, make, kind="string"):
 @pytest.mark.parametrize("raw, want", [("123,293.66", 123293.66), ("123.293,66", 123293.66), ("123 293,66", 123293.66), ("39999.99", 39999.99), ("1,234", 1234.0), ("1,23", 1.23), ("20,800,000", 20800000.0), ("20.800.000", 20800000.0), ("12345", 12345.0), ("", None), (None, None), ("abc", None)])
 def test_amount(spark, raw, want):
     assert one(spark, raw, extract.amount) == want
-    assert raw is None or annotate.parsed_amount(raw) == want
 
 
-@pytest.mark.parametrize("n, want", [(932.4, "932"), (4932.0, "4.9K"), (478400.0, "478.4K"), (2500000.0, "2.5M")])
+@pytest.mark.parametrize("n, want", [(932.4, "932"), (4932.0, "4.9K"), (478400.0, "478.4K"), (2500000.0, "2.5M"), (4250.0, "4.2K"), (932.5, "932")])
 def test_short_amount(spark, n, want):
-    assert annotate.short(n) == want
-    assert one(spark, n, extract.short_amount, "double") == want
+    assert one(spark, n, annotate.short, "double") == want
 
 
-def test_annotation_happens_once():
-    rates = {"UAH": 0.023, "EUR": 1.0}
-    out = annotate.annotated("price 20,800,000 UAH net", rates)
-    assert out == "price 20,800,000 UAH (~€478.4K) net"
-    assert annotate.annotated(out, rates) == out
-    for same in ("price 5 EUR", "price 5 XYZ", "no amount", "0.1 UAH", None):
-        assert annotate.annotated(same, rates) == same
+@pytest.mark.parametrize("raw, want", [("price 20,800,000 UAH net", "price 20,800,000 UAH (~€478.4K) net"), ("20 800 000uah and 1.234,5 Usd", "20 800 000uah (~€478.4K) and 1.234,5 Usd (~€1.1K)"), ("price 20,800,000 UAH (~€478.4K) net", "price 20,800,000 UAH (~€478.4K) net"), ("5 EUR", "5 EUR"), ("abc123USD", "abc123USD"), ("12345 USD", "12345 USD"), ("100 USDT", "100 USDT"), ("0.5 USD", "0.5 USD"), ("12 USD", "12 USD (~€11)"), ("999 CZK", "999 CZK"), ("", ""), (None, None), ("no amount", "no amount")])
+def test_annotation(spark, raw, want):
+    made = lambda c: annotate.annotate_amounts(c, {"UAH": 0.023, "USD": 0.92, "EUR": 1.0})
+    out = one(spark, raw, made)
+    assert out == want and one(spark, out, made) == want
 
 
 @pytest.mark.parametrize("raw, want", [("2026-05-01", "2026-05-01"), ("2026-05-01+02:00", "2026-05-01"), ("2026-05-01Z", "2026-05-01"), ("2026-05-01T10:00:00", "2026-05-01"), ("2026-05-01\n2026-06-01", "2026-05-01"), ("", None), ("garbage", None), ("2026-05", None), ("0", None), (None, None)])
@@ -170,13 +166,12 @@ def test_scored_candidates_equal_all_pairs_with_nulls(spark):
 AMOUNTS = [("1.234", 1.234), ("1,2345", 12345.0), ("1,234", 1234.0), ("1,23", 1.23), ("1.234.567", 1234567.0), ("1.234,5", 1234.5), ("1,234.5", 1234.5), ("123 293,66", 123293.66), ("1.2.3", None), ("", None), ("x", None), (None, None)]
 
 
-def test_amounts_of_both_parsers(spark):
-    from noticelake.functions import annotate, extract
+def test_amounts_by_separators(spark):
+    from noticelake.functions import extract
 
     df = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(AMOUNTS)], "k int, t string")
     got = {r.k: r.v for r in df.select("k", extract.amount(F.col("t")).alias("v")).collect()}
     assert [got[k] for k in range(len(AMOUNTS))] == [v for _, v in AMOUNTS]
-    assert [annotate.parsed_amount(t) for t, _ in AMOUNTS if t] == [v for t, v in AMOUNTS if t]
 
 
 def test_merging_fills_the_last_row_of_a_key_once(spark):
