@@ -11,6 +11,7 @@ from ..functions import extract as X
 from ..functions import mining
 from ..functions import text as T
 from ..operators import linkage, merge, metrics, ranking, resolve, rules
+from ..sources import readers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -550,7 +551,13 @@ def hwm_incremental(spark, sf_dir):
     return read(spark, sf_dir, "events").where(F.col("ts") >= F.to_timestamp_ntz(F.lit("2024-01-20 00:00:00"))).select("event_id", "event_type")
 
 
-@query("SELECT strftime(m, '%Y-%m-%d') AS month, count(*) AS n FROM (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS m FROM orders) GROUP BY 1")
+@query("""SELECT strftime(greatest(m, first), '%Y-%m-%d') AS first, strftime(least(m + INTERVAL 1 MONTH - INTERVAL 1 DAY, last), '%Y-%m-%d') AS last, count(o_orderkey) AS n FROM (SELECT min(CAST(o_orderdate AS DATE)) AS first, max(CAST(o_orderdate AS DATE)) AS last FROM orders) b,
+ (SELECT unnest(generate_series(date_trunc('month', (SELECT min(o_orderdate) FROM orders)), (SELECT max(o_orderdate) FROM orders), INTERVAL 1 MONTH)) AS m) g LEFT JOIN orders ON date_trunc('month', o_orderdate) = m GROUP BY 1, 2""")
 def month_windows(spark, sf_dir):
-    o = read(spark, sf_dir, "orders")
-    return o.groupBy(F.date_format(F.date_trunc("month", "o_orderdate"), "yyyy-MM-dd").alias("month")).agg(F.count("*").alias("n"))
+    """Orders in each month between the first and the last, the outer months cut to these days."""
+    o = read(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("day"))
+    span = o.agg(F.min("day").alias("a"), F.max("day").alias("b"))
+    windows = span.select(F.explode(readers.month_windows(F.col("a"), F.col("b"))).alias("w")).select("w.first", "w.last", F.trunc("w.first", "month").alias("month"))
+    counts = o.groupBy(F.trunc("day", "month").alias("month")).agg(F.count("*").alias("n"))
+    text = lambda c: F.date_format(c, "yyyy-MM-dd")
+    return windows.join(counts, "month", "left").select(text("first").alias("first"), text("last").alias("last"), F.coalesce("n", F.lit(0)).alias("n"))
