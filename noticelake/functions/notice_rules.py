@@ -188,3 +188,55 @@ def merged_terms(current: Mapping[str, Sequence[str]], added: Mapping[str, Seque
     """Keywords by category: the current ones, then new ones once, without those dropped. A rule's configuration, so no table."""
     gone = {d.lower() for d in dropped}
     return {k: [t for t in dict.fromkeys([*current.get(k, ()), *added.get(k, ())]) if t.lower() not in gone] for k in dict.fromkeys([*current, *added])}
+
+
+# Short forms of a country's name before titles, and currencies where a portal names none (euros elsewhere).
+COUNTRY_SHORT = {"Czech Republic": ("Czech", "Czechia"), "United Kingdom": ("UK",)}
+CURRENCY_OF = {"DE": "EUR", "PL": "PLN", "SE": "SEK", "NO": "NOK", "CZ": "CZK", "DK": "DKK", "GB": "GBP", "CH": "CHF", "TR": "TRY"}
+
+
+def without_country(title: Column, country: Column, least: int = 8) -> Column:
+    """The title without ``Country -`` or ``Country Defence –`` before it, unless less than ``least`` characters would be left.
+
+    A country's short forms count as its name; of those that fit, the first.
+    """
+    short = F.create_map(*(x for k, v in COUNTRY_SHORT.items() for x in (F.lit(k), F.array(*(F.lit(n) for n in v)))))
+    names = F.concat(F.array(country), F.coalesce(F.try_element_at(short, country), F.array().cast("array<string>")))
+    patterns = F.transform(names, lambda n: F.concat(F.lit(r"(?iU)^\Q"), n, F.lit(r"\E(?:\s+(?:Ministry of Defence|Defence))?\s*[-–]\s+")))
+    hit = F.get(F.filter(patterns, lambda p: F.regexp_like(title, p)), F.lit(0))
+    rest = F.regexp_replace(title, hit, F.lit(""))
+    known = F.coalesce((country != "") & (country != "Unknown"), F.lit(False)) & hit.isNotNull()
+    return F.when(known & (F.length(rest) >= least), rest).otherwise(title)
+
+
+def prefixed_id(reference: Column, country: Column) -> Column:
+    """``CC-reference`` with the prefix once; "" without a reference."""
+    prefix = F.concat(country, F.lit("-"))
+    return F.when(F.coalesce(reference, F.lit("")) == "", "").when(reference.startswith(prefix), reference).otherwise(F.concat(prefix, reference))
+
+
+def standard_notice(detail: Column, country_code: Column, country: Column, source: Column) -> Column:
+    """A portal's detail (reference, url, title, authority, date, value, currency, winner, description, raw_text, status, quantity,
+    duration) in the schema that all portals share: texts cut at 500 and 10,000 characters, missing texts as ""."""
+    text = lambda name, n=None: F.coalesce(detail[name] if n is None else F.left(detail[name], F.lit(n)), F.lit(""))
+    currency = F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for kv in CURRENCY_OF.items() for x in kv)), country_code), F.lit("EUR"))
+    return F.struct(
+        prefixed_id(detail["reference"], country_code).alias("tender_id"), source.alias("source"), detail["url"].alias("source_url_national"), detail["title"].alias("title"), country.alias("country"), detail["authority"].alias("authority"), text("date", 10).alias("published"),
+        detail["value"].alias("value"), F.coalesce(F.nullif(detail["currency"], F.lit("")), currency).alias("currency"), detail["winner"].alias("winner"), text("description", 500).alias("description"), text("raw_text", 10_000).alias("raw_text"), text("status").alias("status"),
+        detail["quantity"].alias("quantity"), detail["duration"].alias("duration"),
+    )
+
+
+def buyer_names(flat: Sequence[Column], buyer: Column, parties: Column, roles: Sequence[str] = ("buyer", "procuringentity")) -> Column:
+    """All names that may be the buyer's: flat fields, the buyer, then parties with a role, by lower-cased roles; one that comes twice stays twice."""
+    fits = F.filter(F.coalesce(parties, F.array().cast("array<struct<name:string,roles:array<string>>>")), lambda p: F.exists(F.coalesce(p["roles"], F.array().cast("array<string>")), lambda r: F.lower(r).isin(*roles)))
+    return F.filter(F.concat(F.array(*flat, buyer), F.transform(fits, lambda p: p["name"])), lambda n: n.isNotNull() & (n != ""))
+
+
+def gathered_codes(plain: Column, extended: Column, items: Column, scheme: str = "CPV") -> Column:
+    """Codes of a list in a text, those of a second list that are new, then of items' and further classifications of the scheme."""
+    words = lambda c: F.filter(F.split(F.coalesce(c, F.lit("")), r"\s+"), lambda w: w != "")
+    of = lambda classes: F.transform(F.filter(classes, lambda c: (F.upper(c["scheme"]) == scheme) & (c["id"] != "")), lambda c: c["id"])
+    none = F.array().cast("array<struct<scheme:string,id:string>>")
+    nested = F.flatten(F.transform(F.coalesce(items, F.array().cast("array<struct<classification:struct<scheme:string,id:string>,more:array<struct<scheme:string,id:string>>>>")), lambda i: of(F.concat(F.array(i["classification"]), F.coalesce(i["more"], none)))))
+    return F.concat(words(plain), F.array_except(words(extended), words(plain)), nested)

@@ -175,3 +175,32 @@ def models_ranked(spark, sf_dir):
     """Return flags and statuses as models that estimate quantities from prices."""
     li = read(spark, sf_dir, "lineitem").select(F.concat("l_returnflag", "l_linestatus").alias("model"), metrics.count_band(F.floor(F.col("l_extendedprice") / 1500).cast("string"), F.col("l_quantity").cast("string")).alias("score"), F.col("l_tax").alias("cost"))
     return metrics.ranked_models(li, "model", "score", "cost")
+
+
+_LANDS = ("Sweden", "Czech Republic", "United Kingdom", "Unknown")
+
+
+@query("""WITH d AS (SELECT doc_id, ['Sweden', 'Czech Republic', 'United Kingdom', 'Unknown'][doc_id % 4 + 1] AS country, left(text, 5 + doc_id % 30) AS h FROM documents)
+ SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN CASE WHEN country <> 'Unknown' AND length(h) >= 8 THEN h ELSE country || ' - ' || h END WHEN 1 THEN CASE WHEN country = 'Sweden' AND length(h) >= 8 THEN h ELSE 'SWEDEN Defence – ' || h END WHEN 2 THEN CASE WHEN country = 'Czech Republic' AND length(h) >= 8 THEN h ELSE 'Czechia Ministry of Defence- ' || h END WHEN 3 THEN CASE WHEN country = 'United Kingdom' AND length(h) >= 8 THEN h ELSE 'UK -  ' || h END ELSE country || '-' || h END AS title FROM (SELECT doc_id, country, trim(regexp_replace(h, '\\s', 'x', 'g')) AS h FROM d)""")
+def titles_without_country(spark, sf_dir):
+    """Heads of documents with a country before them in five forms, the last of which is no prefix."""
+    d = F.col("doc_id")
+    country = F.element_at(F.array(*(F.lit(c) for c in _LANDS)), (d % 4 + 1).cast("int"))
+    head = F.regexp_replace(F.left("text", (5 + d % 30).cast("int")), r"\s", "x")
+    forms = (F.concat(country, F.lit(" - "), head), F.concat(F.lit("SWEDEN Defence – "), head), F.concat(F.lit("Czechia Ministry of Defence- "), head), F.concat(F.lit("UK -  "), head), F.concat(country, F.lit("-"), head))
+    title = F.element_at(F.array(*forms), (d % 5 + 1).cast("int"))
+    return read(spark, sf_dir, "documents").select("doc_id", N.without_country(title, country).alias("title"))
+
+
+@query("""SELECT page_id, CASE page_id % 3 WHEN 0 THEN '' ELSE cc || '-' || page_id END AS tender_id, cc || '-X' AS source, strftime(DATE '2024-01-01' + CAST(page_id % 700 AS INTEGER), '%Y-%m-%d') AS published, CASE WHEN page_id % 2 = 0 THEN 'USD' WHEN cc = 'PL' THEN 'PLN' ELSE 'EUR' END AS currency, md5(left(html, 500)) AS description, length(left(html, 10000)) AS raw, '' AS status
+ FROM (SELECT *, ['PL', 'FR', 'UA'][page_id % 3 + 1] AS cc FROM pages)""")
+def pages_as_standard_notices(spark, sf_dir):
+    """Pages as details of three portals, one without references and one that prefixes them itself."""
+    p = F.col("page_id")
+    code = F.element_at(F.array(F.lit("PL"), F.lit("FR"), F.lit("UA")), (p % 3 + 1).cast("int"))
+    n, none = p.cast("string"), F.lit(None).cast("string")
+    reference = F.when(p % 3 == 1, n).when(p % 3 == 2, F.concat(F.lit("UA-"), n))
+    day = F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), (p % 700).cast("int")), "yyyy-MM-dd'T'00:00")
+    detail = F.struct(reference.alias("reference"), F.col("url").alias("url"), none.alias("title"), none.alias("authority"), day.alias("date"), F.lit(1.0).alias("value"), F.when(p % 2 == 0, "USD").otherwise("").alias("currency"), none.alias("winner"), F.col("html").alias("description"), F.col("html").alias("raw_text"), none.alias("status"), F.lit(1).alias("quantity"), none.alias("duration"))
+    s = N.standard_notice(detail, code, F.lit("Land"), F.concat(code, F.lit("-X")))
+    return read(spark, sf_dir, "pages").withColumn("_s", s).select("page_id", "_s.tender_id", "_s.source", "_s.published", "_s.currency", F.md5("_s.description").alias("description"), F.length("_s.raw_text").cast("long").alias("raw"), "_s.status")

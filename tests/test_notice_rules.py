@@ -79,3 +79,14 @@ def test_portals_fall_back_by_source(spark):
     run = lambda d: {(r.id, r.confidence) for r in portals.wanted_listings(d, rules, "s", "buyer", "title", "snippet", "codes").collect()}
     assert run(df) == {(1, "high"), (4, "high"), (5, "high"), (6, "medium"), (8, "high"), (11, "high")}
     assert run(df.where("id <> 1")) >= {(2, "high")}
+
+
+def test_titles_ids_and_gathering(spark):
+    rows = [("Sweden - Aircraft Maintenance Trailers", "Sweden"), ("Belgium Defence - 780 Military Trailers", "Belgium"), ("Netherlands Ministry of Defence – Low beds", "Netherlands"), ("czechia - Cisterny polni", "Czech Republic"), ("UK - Short", "United Kingdom"), ("Sweden-Trailers of all kinds", "Sweden"), ("Unknown - title of that", "Unknown"), ("A (b) - something long", "A (b)"), ("x", None), (None, "Sweden")]
+    assert each(spark, rows, "t string, c string", N.without_country(F.col("t"), F.col("c"))) == ["Aircraft Maintenance Trailers", "780 Military Trailers", "Low beds", "Cisterny polni", "UK - Short", "Sweden-Trailers of all kinds", "Unknown - title of that", "something long", "x", None]
+    assert each(spark, [("1", "UA"), ("UA-1", "UA"), ("", "UA"), (None, "UA")], "r string, c string", N.prefixed_id(F.col("r"), F.col("c"))) == ["UA-1", "UA-1", "", ""]
+    parties = [("Army", ["BUYER"]), ("Firm", ["supplier"]), ("Office", ["procuringEntity"]), (None, ["buyer"])]
+    assert each(spark, [("a", None, "b", parties), (None, "", None, None)], "x string, y string, b string, p array<struct<name:string,roles:array<string>>>", N.buyer_names([F.col("x"), F.col("y")], F.col("b"), F.col("p"))) == [["a", "b", "Army", "Office"], []]
+    items = [(("cpv", "7"), [("CPV", "8"), ("X", "9")]), (("CPV", None), None)]
+    schema = "a string, b string, i array<struct<classification:struct<scheme:string,id:string>,more:array<struct<scheme:string,id:string>>>>"
+    assert each(spark, [("1 2", "2 3 ", items), (None, None, None)], schema, N.gathered_codes(F.col("a"), F.col("b"), F.col("i"))) == [["1", "2", "3", "7", "8"], []]
