@@ -68,3 +68,33 @@ def test_stages(spark):
     assert {r.doc_id for r in rows} == set(kept)
     assert sum(r.length for r in rows) == sum(len(t.encode(x, add_special_tokens=False).ids) + 1 for x in kept.values())
     check_packed(rows, 4096)
+
+
+def test_stages_on_odd_rows(spark, odd):
+    """Null, empty and very long texts, repeated rows, repeated and null ids, columns with clashing names, no rows at all."""
+    from pyspark.sql import functions as F
+
+    real = table(spark, SF, "documents").where("doc_id < 60")
+    strange = odd.select((F.col("doc_id") + 10_000).alias("doc_id"), "text", F.lit("en").alias("lang"), F.lit(None).cast("string").alias("source"), F.length("text").cast("long").alias("n_chars"))
+    more = spark.createDataFrame([(None, "a text without an id"), (None, None), (10_001, "second text of an id"), (10_002, "same words here again and again today"), (10_002, "same words here again and again today")], "doc_id long, text string")
+    more = more.select("doc_id", "text", F.lit("en").alias("lang"), F.lit("x").alias("source"), F.length("text").cast("long").alias("n_chars"))
+    clashing = {"component_id": F.lit(1), "score": F.lit(0.5), "rank": F.lit(2), "_gone": F.lit(3), "spans": F.lit("x")}
+    docs = written(real.unionByName(strange).unionByName(more).withColumns(clashing), "odd")
+    plain = lambda df: sorted((tuple(r) for r in df.select("doc_id", "text").collect()), key=repr)
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        out = written(stage(spark, docs, SF), "odd")
+        assert out.columns == docs.columns, name
+        texts = {r.doc_id for r in out.collect()}
+        assert {None, 10_001, 10_003, 10_004, 10_007} <= texts, name
+        if name == "secrets":
+            assert out.count() == docs.count()
+        if name == "jaccard":  # ids 10002, 10005 and 10006 hold the same words
+            assert 10_002 in texts and not {10_005, 10_006} & texts and plain(out.where("doc_id = 10002")) == plain(docs.where("doc_id = 10002"))
+        docs = out
+    packed = dict(corpus_pipeline.STAGES)["packing"](spark, docs, SF)
+    rows = packed.collect()
+    assert sum(r.piece == 0 for r in rows) == docs.count()
+    check_packed(rows, 4096)
+    none = docs.limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, none, SF).count() == 0, name
