@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
@@ -45,16 +46,40 @@ def conditional_counts(df: DataFrame, group: str, conditions: Mapping[str, Colum
     return df.groupBy(group).agg(*(F.count_if(c).alias(f"n_{name}") for name, c in conditions.items()))
 
 
+def group_medians(df: DataFrame, keys: Sequence[str], value: str, least: int = 1, parts: int = 64) -> DataFrame:
+    """``keys, median, n`` of groups with at least ``least`` values, exactly, no group's values in one task.
+
+    A sketch cuts each group into ``parts``; counts of the parts tell which one
+    or two hold the middle, and only there are values counted and looked up.
+    Nulls are no values; null keys make a group.
+    """
+    rows = df.select(*keys, F.col(value).cast("double").alias("_v")).where("_v IS NOT NULL")
+    cuts = rows.groupBy(*keys).agg(F.percentile_approx("_v", [k / parts for k in range(1, parts)], 1000).alias("_cuts"), F.count("*").alias("n")).where(F.col("n") >= least)
+    c = cuts.select(*(F.col(k).alias(f"_g{i}") for i, k in enumerate(keys)), "_cuts", "n")
+    on = reduce(lambda x, y: x & y, (rows[k].eqNullSafe(c[f"_g{i}"]) for i, k in enumerate(keys)))
+    dealt = rows.join(c, on).select(*keys, "_v", "n", F.size(F.filter("_cuts", lambda x: x < F.col("_v"))).alias("_part"))
+    values = dealt.groupBy(*keys, "n", "_part", "_v").agg(F.count("*").alias("_c"))
+    sizes = values.groupBy(*keys, "n", "_part").agg(F.sum("_c").alias("_size"))
+    before = F.coalesce(F.sum("_size").over(Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # over ``parts`` rows a group
+    low, high = F.floor((F.col("n") - 1) / 2), F.floor(F.col("n") / 2)
+    middle = sizes.withColumn("_before", before).where((F.col("_before") <= high) & (F.col("_before") + F.col("_size") > low))
+    m = middle.select(*(F.col(k).alias(f"_g{i}") for i, k in enumerate(keys)), F.col("_part").alias("_p"), "_before")
+    there = values.join(m, reduce(lambda x, y: x & y, (values[k].eqNullSafe(m[f"_g{i}"]) for i, k in enumerate(keys))) & (F.col("_part") == F.col("_p")))
+    upto = F.col("_before") + F.sum("_c").over(Window.partitionBy(*keys, "_part").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+    found = there.withColumn("_upto", upto)
+    at = lambda r: (F.col("_upto") - F.col("_c") <= r) & (F.col("_upto") > r)
+    return found.groupBy(*keys, "n").agg(((F.max(F.when(at(low), F.col("_v"))) + F.max(F.when(at(high), F.col("_v")))) / 2).alias("median")).select(*keys, "median", "n")
+
+
 def median_waterfall(df: DataFrame, value: str, levels: Sequence[tuple[Sequence[str], int]]) -> DataFrame:
     """Adds ``median`` and ``level``: the median of the first level whose group has enough rows.
 
     Each level is a grouping with its least group size; groups are small in
-    number next to rows, so each level is one aggregate and one join.
+    number next to rows, so each level is a small table and one join.
     """
     out = df
     for k, (keys, least) in enumerate(levels):
-        m = df.where(F.col(value).isNotNull()).groupBy(*keys).agg(F.median(value).alias(f"_m{k}"), F.count("*").alias("_n")).where(F.col("_n") >= least).drop("_n")
-        out = out.join(m, list(keys), "left")
+        out = out.join(group_medians(df, keys, value, least).drop("n").withColumnRenamed("median", f"_m{k}"), list(keys), "left")
     level = F.coalesce(*(F.when(F.col(f"_m{k}").isNotNull(), k + 1) for k in range(len(levels))))
     return out.withColumn("median", F.coalesce(*(f"_m{k}" for k in range(len(levels))))).withColumn("level", level).drop(*(f"_m{k}" for k in range(len(levels))))
 

@@ -231,3 +231,16 @@ def test_scores_of_models(spark):
     assert [tuple(x) for x in one([("a", "a", 70), ("a", "a", 50), ("b", "a", 90), (None, None, 60), (None, None, 61), ("a", None, 0), (None, "a", 0)], "p string, t string, f int", metrics.match_scores(c("p"), c("t"), c("f"), F.lit(60), F.lit(60)))] == [(1.0, 1.0), (1.0, 0.5), (0.0, 0.0), (1.0, 1.0), (1.0, 0.5), (0.0, 0.0), (0.0, 0.0)]
     got = one([("Heavy tank  trailer", "heavy trailer unit", ["TANK"], ["panzer"]), ("Panzer", "tank", [], ["panzer"]), ("", "", None, None)], "p string, t string, r array<string>, f array<string>", metrics.translation_scores(c("p"), c("t"), c("r"), c("f")))
     assert [tuple(x) for x in got] == [(1.0, 1.0, 0.67), (0.0, 0.0, 0.0), (1.0, 1.0, 0.0)]
+
+
+def test_medians_of_groups_are_exact(spark):
+    import random
+    import statistics
+
+    r = random.Random(2)
+    rows = [(r.choice(["a", "a", "a", "b", None]), r.choice([1.0, 5.0, r.random() * 100, None])) for _ in range(5000)] + [("c", 7.0)] + [("d", 1.0), ("d", 2.0)] + [("e", None)]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(7)
+    want = {k: (statistics.median(x), len(x)) for k in {k for k, _ in rows} if (x := [v for g, v in rows if g == k and v is not None])}
+    for parts in (2, 64):
+        assert {x.k: (x.median, x.n) for x in metrics.group_medians(df, ["k"], "v", parts=parts).collect()} == want
+    assert {x.k for x in metrics.group_medians(df, ["k"], "v", least=2).collect()} == {"a", "b", "d", None}
