@@ -82,3 +82,13 @@ def test_stream_reads_each_file_once_and_keeps_the_latest(spark, tmp_path):
 def test_failures_are_skipped(spark):
     df = spark.createDataFrame([(1, True)] * 3 + [(2, True), (2, False)], "id int, failed boolean")
     assert [r.id for r in state.failures_skipped(df, "id", "failed").collect()] == [1]
+
+
+def test_late_rows_over_several_batches(spark, tmp_path):
+    """A key is dropped while its state lives, and passes again when the watermark has gone beyond it."""
+    src, out, check = (str(tmp_path / x) for x in ("src", "out", "check"))
+    at = lambda days, hours=0: datetime.datetime(2024, 1, 1) + datetime.timedelta(days=days, hours=hours)
+    for rows in ([("a", 1, at(0)), ("b", 2, at(0))], [("a", 3, at(0, 1)), ("c", 4, at(5))], [("a", 5, at(6)), ("c", 6, at(5, 2))]):
+        spark.createDataFrame(rows, "k string, v int, ts timestamp").coalesce(1).write.mode("append").parquet(src)
+        seen = state.run_to_end(state.late_deduplicated(state.file_stream(spark, src), "ts", ["k"]), out, check)
+    assert sorted(r.v for r in seen.collect()) == [1, 2, 4, 5]
