@@ -284,7 +284,7 @@ def test_disposal_transparency_and_times():
     assert red(3)[1] == [[255] * 4, [0] * 4]  # the row was cleared
     assert frames[3].histogram.sum() == 4
     rows = gif.read_gif(picture([(0, 0, 1, 5, [0, 3, 2, 1, 3], 0, None, True)], 1, 5)).images[0].indexes
-    assert np.ravel(rows).tolist() == [0, 1, 2, 3, 3]
+    assert list(rows) == [0, 1, 2, 3, 3]
 
 
 def test_gif_frames_and_broken_files(spark):
