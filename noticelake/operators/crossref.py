@@ -10,6 +10,7 @@ Rows alike in what a strategy looks at are one, so copies make no pairs.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,29 +46,46 @@ def bare_id(text: Column) -> Column:
 def ids_in_texts(texts: DataFrame, ids: DataFrame, id_col: str, text_col: str, ref_col: str, place_col: str, least: int = LEAST_ID) -> DataFrame:
     """``id_col, place``: the smallest place of a record whose id stands anywhere in the text, separators aside.
 
-    Ids shorter than ``least`` are none. A bitmap of ``_BITS`` bits, whatever the
-    number of ids, says where one can begin; there the text's substrings of all
-    lengths that ids have are joined by equality, so no text meets all ids.
+    Ids shorter than ``least`` are none. An id without white space stands within
+    one word, so distinct words are looked at; ids with white space are looked for
+    in whole texts. A bitmap of ``_BITS`` bits, whatever the number of ids, says
+    where one can begin; from there the substrings of all lengths that ids have
+    are joined by equality, so no text meets all ids.
     """
     refs = ids.select(bare_id(F.col(ref_col)).alias("ref"), F.col(place_col).alias("place")).where(F.length("ref") >= least).groupBy("ref").agg(F.min("place").alias("place"))
-    lengths = [r.n for r in refs.select(F.length("ref").alias("n")).distinct().collect()]
+    here = texts.select(id_col, bare_id(F.col(text_col)).alias("t"))
+    spaced = F.col("ref").rlike(r"(?U)\s")
+    in_words = _standing(here, refs.where(~spaced), id_col, F.array_distinct(F.split("t", r"(?U)\s+")), least)
+    in_texts = _standing(here, refs.where(spaced), id_col, F.array("t"), least)
+    found = [f for f in (in_words, in_texts) if f is not None]
+    if not found:
+        return here.select(id_col, F.lit(None).cast("long").alias("place")).where(F.lit(False))
+    return reduce(DataFrame.unionByName, found).groupBy(id_col).agg(F.min("place").alias("place"))
+
+
+def _standing(texts: DataFrame, refs: DataFrame, id_col: str, parts: Column, least: int) -> DataFrame | None:
+    """``id_col, place`` of ids within one of the parts of each text; None without ids."""
     begins = F.pmod(F.hash(F.left("ref", F.lit(least))), F.lit(_BITS))
+    lengths = sorted(r.n for r in refs.select(F.length("ref").alias("n")).distinct().collect())
+    if not lengths:
+        return None
     words = refs.select(begins.alias("b")).groupBy(F.shiftright("b", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(b % 64 AS int))")).alias("bits")).collect()
     bitmap = [0] * (_BITS // 64)
     for r in words:
         bitmap[r.word] = r.bits
-    here = texts.select(id_col, F.regexp_replace(F.lower(F.coalesce(F.col(text_col), F.lit(""))), SEPARATORS, "").alias("t"))
-    if not lengths:
-        return here.select(id_col, F.lit(None).cast("long").alias("place")).where(F.lit(False))
     bits = F.from_json(F.lit(str(bitmap)), "array<bigint>")
 
-    def may_begin(at: Column) -> Column:
-        b = F.pmod(F.hash(F.substring(F.col("t"), at, F.lit(least))), F.lit(_BITS))
-        return F.getbit(F.get(bits, F.shiftright(b, 6)), b % 64) == 1
+    def tried(part: Column) -> Column:
+        def may_begin(at: Column) -> Column:
+            b = F.pmod(F.hash(F.substring(part, at, F.lit(least))), F.lit(_BITS))
+            return F.getbit(F.get(bits, F.shiftright(b, 6)), b % 64) == 1
+
+        places = F.filter(F.sequence(F.lit(1), F.length(part) - (least - 1)), may_begin)
+        return F.flatten(F.transform(places, lambda at: F.array(*(F.substring(part, at, F.lit(n)) for n in lengths))))
 
-    places = F.filter(F.sequence(F.lit(1), F.length("t") - least + 1), may_begin)
-    tried = here.where(F.length("t") >= least).select(id_col, F.explode(F.array_distinct(F.flatten(F.transform(places, lambda at: F.array(*(F.substring(F.col("t"), at, F.lit(n)) for n in sorted(lengths))))))).alias("ref"))
-    return tried.join(refs, "ref").groupBy(id_col).agg(F.min("place").alias("place"))
+    long = F.filter(parts, lambda p: F.length(p) >= least)
+    candidates = texts.select(id_col, F.explode(F.array_distinct(F.flatten(F.transform(long, tried)))).alias("ref"))
+    return candidates.join(refs, "ref").select(id_col, "place")
 
 
 def word_map(words: DataFrame, texts: DataFrame, least: int = LEAST_WORD) -> DataFrame:

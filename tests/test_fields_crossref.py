@@ -75,8 +75,8 @@ def test_references_equal_all_pairs(spark, seed):
     title = lambda: None if r.random() < 0.1 else " ".join(r.sample(terms, r.randint(1, 6)))
     day = lambda: None if r.random() < 0.2 else datetime.date(2024, 1, 1) + datetime.timedelta(days=r.randint(0, 900))
     code = lambda: r.choice([None, "2510", "2511", "2512"])
-    records = [(f"r{k}", r.choice([f"ATM/2024/{k % 40}", f"L-{k}", None, f"land{k}_25"]), r.choice(buyers), title(), code(), day(), k * 3 % 121) for k in range(121)]
-    notices = [(k, r.choice(buyers), title(), r.choice([None, "text of atm-2024/%d here" % r.randint(0, 60), "xLAND%d/25y" % r.randint(0, 130), "none"]), code(), day()) for k in range(150)]
+    records = [(f"r{k}", r.choice([f"ATM/2024/{k % 40}", f"L-{k}", None, f"land{k}_25", f"lot {k % 30} of 9"]), r.choice(buyers), title(), code(), day(), k * 3 % 121) for k in range(121)]
+    notices = [(k, r.choice(buyers), title(), r.choice([None, "text of atm-2024/%d here" % r.randint(0, 60), "xLAND%d/25y" % r.randint(0, 130), "see Lot %d of_9" % r.randint(0, 40), "none"]), code(), day()) for k in range(150)]
     n = spark.createDataFrame(notices, "id int, buyer string, title string, description string, code string, day date")
     m = spark.createDataFrame(records, "id string, ref string, buyer string, title string, code string, day date, place int")
     got = {x.id: (x.record, x.strategy) for x in crossref.cross_reference(n, m).collect()}
