@@ -71,15 +71,22 @@ def group_medians(df: DataFrame, keys: Sequence[str], value: str, least: int = 1
     return found.groupBy(*keys, "n").agg(((F.max(F.when(at(low), F.col("_v"))) + F.max(F.when(at(high), F.col("_v")))) / 2).alias("median")).select(*keys, "median", "n")
 
 
-def median_waterfall(df: DataFrame, value: str, levels: Sequence[tuple[Sequence[str], int]]) -> DataFrame:
+def median_waterfall(df: DataFrame, value: str, levels: Sequence[tuple[Sequence[str], int]], split: bool = False) -> DataFrame:
     """Adds ``median`` and ``level``: the median of the first level whose group has enough rows.
 
     Each level is a grouping with its least group size; groups are small in
-    number next to rows, so each level is a small table and one join.
+    number next to rows, so each level is a small table and one join. Spark's
+    median brings a group's distinct values, with their counts, to one task;
+    with ``split`` no task gets a whole group, at the price of further passes.
     """
+    def medians(keys: Sequence[str], least: int) -> DataFrame:
+        if split:
+            return group_medians(df, keys, value, least)
+        return df.where(F.col(value).isNotNull()).groupBy(*keys).agg(F.median(value).alias("median"), F.count("*").alias("n")).where(F.col("n") >= least)
+
     out = df
     for k, (keys, least) in enumerate(levels):
-        out = out.join(group_medians(df, keys, value, least).drop("n").withColumnRenamed("median", f"_m{k}"), list(keys), "left")
+        out = out.join(medians(keys, least).drop("n").withColumnRenamed("median", f"_m{k}"), list(keys), "left")
     level = F.coalesce(*(F.when(F.col(f"_m{k}").isNotNull(), k + 1) for k in range(len(levels))))
     return out.withColumn("median", F.coalesce(*(f"_m{k}" for k in range(len(levels))))).withColumn("level", level).drop(*(f"_m{k}" for k in range(len(levels))))
 
@@ -189,4 +196,4 @@ def translation_scores(predicted: Column, truth: Column, required: Column, forbi
 def ranked_models(scores: DataFrame, model: str, score: str, cost: str) -> DataFrame:
     """``model, n, score, cost, rank``: by mean score, of equals the cheaper first; models equal in both share a rank. There are few models."""
     means = scores.groupBy(model).agg(F.count("*").alias("n"), F.round(F.avg(score), 6).alias("score"), F.round(F.sum(cost), 6).alias("cost"))
-    return means.withColumn("rank", F.rank().over(Window.orderBy(F.desc("score"), F.asc_nulls_last("cost"))))
+    return means.withColumn("rank", F.rank().over(Window.orderBy(F.desc("score"), F.asc_nulls_last("cost"))).cast("long"))

@@ -138,7 +138,7 @@ def reclassify_first(spark, sf_dir):
     k = F.col("o_orderkey")
     missing = N.gaps(F.when(k % 2 == 1, "x"), F.when(F.col("o_orderstatus") != "F", 5), F.when(k % 5 > 0, "y").otherwise(""))
     rows = read(spark, sf_dir, "orders").select("o_orderkey", F.when(k % 3 == 0, 0).otherwise(1).alias("n"), missing.alias("m")).orderBy("n", F.desc("m"), "o_orderkey").limit(60)
-    return rows.select("o_orderkey", F.row_number().over(Window.orderBy("n", F.desc("m"), "o_orderkey")).alias("rank"))  # 60 rows
+    return rows.select("o_orderkey", F.row_number().over(Window.orderBy("n", F.desc("m"), "o_orderkey")).cast("long").alias("rank"))  # 60 rows
 
 
 @query("""SELECT page_id, CASE WHEN page_id % 3 = 0 THEN url WHEN page_id % 3 = 1 THEN 'https://second.org/' || page_id ELSE url END AS picked FROM pages""")

@@ -244,3 +244,5 @@ def test_medians_of_groups_are_exact(spark):
     for parts in (2, 64):
         assert {x.k: (x.median, x.n) for x in metrics.group_medians(df, ["k"], "v", parts=parts).collect()} == want
     assert {x.k for x in metrics.group_medians(df, ["k"], "v", least=2).collect()} == {"a", "b", "d", None}
+    waterfall = lambda split: sorted((tuple(r) for r in metrics.median_waterfall(df.where("k IS NOT NULL"), "v", [(["k"], 3)], split).collect()), key=repr)
+    assert waterfall(True) == waterfall(False)
