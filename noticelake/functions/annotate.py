@@ -20,9 +20,18 @@ _NUMBER = r"[0-9]{1,3}(?:[,.\s\u00A0][0-9]{3})*(?:[,.][0-9]{1,4})?"
 AMOUNT = rf"(?iU)(?<!\w){_NUMBER}\s*(?:{'|'.join(CURRENCIES)})(?![A-Za-z])"
 
 
+def _to_tenth(x: Column) -> Column:
+    """A number from 1 on to its nearest tenth, by the double's exact value: 12.35 lies below its tie. Ties go to the even digit."""
+    parts = ((x - F.floor(x)) * 2**52).cast("long") * 10  # no such double has a finer part
+    down = F.shiftright(parts, 52)
+    rest = parts - F.shiftleft(down, 52)
+    up = (rest > 2**51) | ((rest == 2**51) & (down % 2 == 1))
+    return (F.floor(x) * 10 + down + up.cast("int")) / 10
+
+
 def short(n: Column) -> Column:
-    """932, 4.9K, 2.5M; halves round to the even digit."""
-    return F.when(n >= 1e6, F.format_string("%.1fM", F.bround(n / 1e6, 1))).when(n >= 1e3, F.format_string("%.1fK", F.bround(n / 1e3, 1))).otherwise(F.format_string("%.0f", F.bround(n)))
+    """932, 4.9K, 2.5M; rounded by the exact value, halves to the even digit."""
+    return F.when(n >= 1e6, F.format_string("%.1fM", _to_tenth(n / 1e6))).when(n >= 1e3, F.format_string("%.1fK", _to_tenth(n / 1e3))).otherwise(F.format_string("%.0f", F.bround(n)))
 
 
 def annotate_amounts(text: Column, rates: Mapping[str, float], least: float = 1.0, most: float = 1e10) -> Column:
@@ -38,7 +47,8 @@ def annotate_amounts(text: Column, rates: Mapping[str, float], least: float = 1.
     def noted(match: Column, at: Column) -> Column:
         after = F.ltrim(F.left(F.get(between, at + 1), F.lit(5)))
         euros = amount(F.regexp_extract(match, rf"(?U)^{_NUMBER}", 0)) * F.try_element_at(known, F.upper(F.right(match, F.lit(3))))
-        return F.when(~after.startswith("(~€") & euros.between(least, most), F.concat(match, F.lit(" (~€"), short(euros), F.lit(")"))).otherwise(match)
+        told = lambda e: F.when(~after.startswith("(~€") & e.between(least, most), F.concat(match, F.lit(" (~€"), short(e), F.lit(")"))).otherwise(match)
+        return F.transform(F.array(euros), told)[0]  # as a lambda's variable the euros are computed once
 
     pairs = F.zip_with(between, F.transform(found, noted), lambda b, m: F.concat(b, F.coalesce(m, F.lit(""))))
     return F.when(text.rlike(AMOUNT), F.array_join(pairs, "")).otherwise(text)

@@ -24,6 +24,12 @@ def test_short_amount(spark, n, want):
     assert one(spark, n, annotate.short, "double") == want
 
 
+def test_short_amounts_round_by_their_exact_value(spark):
+    ns = [1000.0 + 50 * k for k in range(3000)] + [1e6 + 50_000 * k for k in range(3000)] + [1e3, 999_950.0, 1e10]
+    got = spark.createDataFrame([(k, n) for k, n in enumerate(ns)], "k int, n double").select("k", annotate.short(F.col("n")).alias("v")).collect()
+    assert {r.k: r.v for r in got} == {k: f"{n / 1e6:.1f}M" if n >= 1e6 else f"{n / 1e3:.1f}K" for k, n in enumerate(ns)}
+
+
 @pytest.mark.parametrize("raw, want", [("price 20,800,000 UAH net", "price 20,800,000 UAH (~€478.4K) net"), ("20 800 000uah and 1.234,5 Usd", "20 800 000uah (~€478.4K) and 1.234,5 Usd (~€1.1K)"), ("price 20,800,000 UAH (~€478.4K) net", "price 20,800,000 UAH (~€478.4K) net"), ("5 EUR", "5 EUR"), ("abc123USD", "abc123USD"), ("12345 USD", "12345 USD"), ("100 USDT", "100 USDT"), ("0.5 USD", "0.5 USD"), ("12 USD", "12 USD (~€11)"), ("999 CZK", "999 CZK"), ("", ""), (None, None), ("no amount", "no amount")])
 def test_annotation(spark, raw, want):
     made = lambda c: annotate.annotate_amounts(c, {"UAH": 0.023, "USD": 0.92, "EUR": 1.0})
