@@ -33,15 +33,17 @@ def portal_table(spark: SparkSession, buyers: Mapping[str, Sequence[str]], keywo
 def wanted_listings(df: DataFrame, rules: DataFrame, source: str, buyer: str, title: str, snippet: str, codes: str) -> DataFrame:
     """The rows that their source's rule lets pass, with ``confidence`` (``high`` or ``medium``).
 
-    Rows of sources without a rule go. Null fields are as empty ones. A source
+    Rows of sources without a rule go. Null fields are as empty ones; a word must
+    stand within one field, not across the end of one and the beginning of the
+    next. A source
     falls back only if no row of it passes, which takes a count by source.
     """
     names = df.columns
     fields = {BUYER: buyer, TITLE: title, SNIPPET: snippet}
 
     def has(where: str, words: str) -> Column:
-        text = F.lower(F.concat_ws(" ", *(F.when(F.array_contains(where, f), F.coalesce(F.col(c), F.lit(""))) for f, c in fields.items())))
-        return F.exists(words, lambda w: text.contains(w))
+        texts = F.array_compact(F.array(*(F.when(F.array_contains(where, f), F.lower(F.col(c))) for f, c in fields.items())))
+        return F.exists(texts, lambda text: F.exists(words, lambda w: text.contains(w)))
 
     joined = df.join(F.broadcast(rules), F.col(source) == F.col("_source"))
     tested = joined.withColumns({"_b": has("_buyer_in", "_buyers"), "_k": has("_keyword_in", "_keywords"), "_c": F.exists(F.coalesce(F.col(codes), F.array().cast("array<string>")), lambda c: F.exists("_codes", lambda p: c.startswith(p)))})

@@ -81,6 +81,13 @@ def test_portals_fall_back_by_source(spark):
     assert run(df.where("id <> 1")) >= {(2, "high")}
 
 
+def test_portal_words_stand_within_one_field(spark):
+    rows = [(1, "AU-AT", "x", "under the", "sea"), (2, "AU-AT", "x", "the sea", ""), (3, "LT-CV", "army the", "a", "b"), (4, "LV-IUB", "the army", "a", None), (5, "BE-EP", "of ar", "my the sea", None), (6, "BE-EP", None, "the army", None)]
+    df = spark.createDataFrame([(*r, None) for r in rows], "id int, s string, buyer string, title string, snippet string, codes array<string>")
+    rules = portals.portal_table(spark, {"*": ("army", "ar m")}, {"*": ("the ",)}, ())
+    assert {r.id for r in portals.wanted_listings(df, rules, "s", "buyer", "title", "snippet", "codes").collect()} == {2, 4, 6}
+
+
 def test_titles_ids_and_gathering(spark):
     rows = [("Sweden - Aircraft Maintenance Trailers", "Sweden"), ("Belgium Defence - 780 Military Trailers", "Belgium"), ("Netherlands Ministry of Defence – Low beds", "Netherlands"), ("czechia - Cisterny polni", "Czech Republic"), ("UK - Short", "United Kingdom"), ("Sweden-Trailers of all kinds", "Sweden"), ("Unknown - title of that", "Unknown"), ("A (b) - something long", "A (b)"), ("x", None), (None, "Sweden")]
     assert each(spark, rows, "t string, c string", N.without_country(F.col("t"), F.col("c"))) == ["Aircraft Maintenance Trailers", "780 Military Trailers", "Low beds", "Cisterny polni", "UK - Short", "Sweden-Trailers of all kinds", "Unknown - title of that", "something long", "x", None]
