@@ -60,6 +60,10 @@ def converted(text: Column, rule: Column) -> Column:
     flags = F.when(rule["field"] == "description", "(?diuUs)").otherwise("(?diuU)")
     patterned = ~rule["convert"].isin("listed", "json")
     raw = F.when(patterned, F.nullif(F.call_function("regexp_extract", text, F.when(patterned, F.concat(flags, rule["pattern"])).otherwise("()"), F.lit(1)), F.lit("")))
+    return F.transform(F.array(raw), lambda found: _value(text, found, rule))[0]  # as a lambda's variable the match is searched once
+
+
+def _value(text: Column, raw: Column, rule: Column) -> Column:
     kind, cut = rule["convert"], F.coalesce(rule["cut"], F.lit(1_000_000))
     less = lambda c, *gone: less(F.replace(c, F.lit(gone[0]), F.lit("")), *gone[1:]) if gone else c
     decimal = lambda c: F.replace(c, F.lit(","), F.lit("."))
@@ -96,19 +100,22 @@ def converted(text: Column, rule: Column) -> Column:
 def extracted_fields(df: DataFrame, rules: DataFrame, text: Column, language: Column, fields: Sequence[str] = FIELDS) -> DataFrame:
     """Adds a struct ``value, rule`` for each field: the first valid rule's value as text, and ``language:field:place``.
 
-    The rules of a language come with one broadcast join (as many rows as there
-    are languages) and run within a row, so nothing is shuffled. Rows of other
-    languages, and null texts, have nulls.
+    The rules of a language and of these fields come with one broadcast join (as
+    many rows as there are languages) and run within a row, so nothing is
+    shuffled; after a field's first valid rule its others are not tried. Rows of
+    other languages, and null texts, have nulls.
     """
-    rule = F.struct("field", "place", "convert", "pattern", "least", "most", "cut")
-    by_language = rules.groupBy(F.col("language").alias("_language")).agg(F.sort_array(F.collect_list(rule)).alias("_rules"))
+    rule = F.struct("place", "field", "convert", "pattern", "least", "most", "cut")
+    wanted = rules.where(F.col("field").isin(*fields))
+    by_language = wanted.groupBy(F.col("language").alias("_language")).agg(F.sort_array(F.collect_list(rule)).alias("_rules"))
     joined = df.withColumn("_text", text).join(F.broadcast(by_language), language == F.col("_language"), "left")
-    none = "array<struct<field:string,place:int,value:string>>"
-    found = F.coalesce(F.transform("_rules", lambda r: F.struct(r["field"].alias("field"), r["place"].alias("place"), converted(F.col("_text"), r).alias("value"))), F.array().cast(none))
-    valid = joined.withColumn("_found", F.filter(found, lambda x: x["value"].isNotNull()))
+
+    def told(r: Column) -> Column:
+        by = F.concat_ws(":", "_language", r["field"], r["place"].cast("string"))
+        return F.transform(F.array(converted(F.col("_text"), r)), lambda value: F.when(value.isNotNull(), F.struct(value.alias("value"), by.alias("rule"))))[0]
 
     def first(field: str) -> Column:
-        hit = F.get(F.filter("_found", lambda x: x["field"] == field), F.lit(0))
-        return F.when(hit.isNotNull(), F.struct(hit["value"].alias("value"), F.concat_ws(":", "_language", hit["field"], hit["place"].cast("string")).alias("rule")))
+        none = F.lit(None).cast("struct<value:string,rule:string>")
+        return F.aggregate(F.filter("_rules", lambda r: r["field"] == field), none, lambda found, r: F.coalesce(found, told(r)))
 
-    return valid.withColumns({f: first(f) for f in fields}).drop("_text", "_language", "_rules", "_found")
+    return joined.withColumns({f: first(f) for f in fields}).drop("_text", "_language", "_rules")

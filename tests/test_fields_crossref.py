@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from noticelake.operators import crossref, fields
 
+fields_any = (None, None, None)
 CASES = [
     ("cs", "Název: Nákup přívěsů pro armádu\nZadavatel: Ministerstvo obrany\nDatum 5. 3. 2024\nPočet: 1 200", {"title": "Nákup přívěsů pro armádu", "authority": "Ministerstvo obrany", "date": "2024-03-05", "quantity": "1200"}),
     ("cs", "ESTIMATED VALUE (EXCL. VAT)\n153,107.43\nSUPPLIER\nTatra Trucks a.s.\nCURRENT STATUS OF THE PROCUREMENT PROCEDURE\nTermination of performance\nCODE FROM THE CPV CODE LIST\n34223300-9", {"value": 153107.43, "winner": "Tatra Trucks a.s.", "status": "Closed", "code": "34223300-9"}),
@@ -41,6 +42,16 @@ def test_rules_find_what_labels_say(spark):
     assert fields.extracted_fields(listed, fields.rule_table(spark, names=names), F.col("text"), F.col("lang")).first().authority.value == "Bundeswehr"
 
 
+def test_only_rules_that_count_are_tried(spark):
+    """A broken pattern stops the run if it is tried: neither other fields' rules are nor those after the first valid one."""
+    rules = [("de", "title", "text", "T: (.*)", *fields_any), ("de", "title", "text", "(", *fields_any), ("de", "code", "text", "(", *fields_any)]
+    df = spark.createDataFrame([("de", "T: short"), ("xx", "T: none"), ("de", None)], "lang string, text string")
+    made = lambda d, names: [r.title and tuple(r.title) for r in fields.extracted_fields(d, fields.rule_table(spark, rules), F.col("text"), F.col("lang"), names).collect()]
+    assert made(df.where("text IS NOT NULL"), ("title",)) == [("short", "de:title:1"), None]
+    with pytest.raises(Exception, match="(?i)pattern|group"):
+        made(df.where("text IS NOT NULL"), ("title", "code"))
+
+
 def brute_references(notices, records):
     stop = set(crossref.STOP_WORDS)
     import re
