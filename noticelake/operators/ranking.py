@@ -8,15 +8,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def best_row(df: DataFrame, keys: Sequence[Column | str], order: Sequence[Column]) -> DataFrame:
+def best_row(df: DataFrame, keys: Sequence[Column | str], order: Sequence[Column], keep: Sequence[str] | None = None) -> DataFrame:
     """One row a key: the first in ``order``, whose last column must be unique.
 
     As an aggregate over a struct of the row, so that each task sends one row a
     key and a key with a third of all rows is no task's load. ``order`` columns
     are compared in ascending order with nulls first; ``descending`` turns a
-    number round and puts nulls last.
+    number round and puts nulls last. Of the row only the columns ``keep``
+    are carried, by default all.
     """
-    names = df.columns
+    names = df.columns if keep is None else keep
     rank = F.struct(*(c.alias(f"o{k}") for k, c in enumerate(order)))
     keyed = df.withColumns({f"_k{k}": F.col(c) if isinstance(c, str) else c for k, c in enumerate(keys)}).withColumn("_rank", rank)
     best = keyed.groupBy(*(f"_k{k}" for k in range(len(keys)))).agg(F.min_by(F.struct(*names), "_rank").alias("_row"))
@@ -62,13 +63,13 @@ def one_notice_each(df: DataFrame, key: Column, winner: Column, published: Colum
 
 def latest(day: Column) -> Column:
     """For ``best_row``: texts of dates so that later ones come first and nulls last."""
-    letters = F.transform(F.split(F.coalesce(day, F.lit("")), ""), lambda c: -F.ascii(c))
-    return F.struct(day.isNull().alias("n"), F.concat(letters, F.array(F.lit(1))).alias("v"))  # the end counts more than any letter
+    turned = F.translate(F.hex(F.encode(F.coalesce(day, F.lit("")), "UTF-8")), "0123456789ABCDEF", "FEDCBA9876543210")
+    return F.struct(day.isNull().alias("n"), F.concat(turned, F.lit("~")).alias("v"))  # the end counts more than any digit
 
 
-def most_complete(df: DataFrame, key: str, says: Column, tier: Column, published: Column, order: Column) -> DataFrame:
+def most_complete(df: DataFrame, key: str, says: Column, tier: Column, published: Column, order: Column, keep: Sequence[str] | None = None) -> DataFrame:
     """Of the rows of a key, which is neither null nor "", the most complete, then the best tier, then the latest, then the first in ``order``."""
-    return best_row(df.where(F.col(key) != ""), [key], [-says, -tier, latest(F.coalesce(published, F.lit(""))), order])
+    return best_row(df.where(F.col(key) != ""), [key], [-says, -tier, latest(F.coalesce(published, F.lit(""))), order], keep)
 
 
 def first_seen(df: DataFrame, key: str, ts: str) -> DataFrame:

@@ -133,6 +133,20 @@ def test_best_row_and_completeness(spark):
     assert {r.id for r in best.collect()} == {"b", "c"}
 
 
+def test_only_the_best_lines_meet_their_part(spark):
+    from noticelake.plans import records
+
+    for query in (records.most_complete_record, records.best_data_score):
+        plan = query(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.index("LeftSemi") < plan.index("Aggregate") and "Join Inner" not in plan and "p_name" not in plan.split("LeftSemi")[1].split("Relation")[0]
+
+
+def test_latest_texts_come_first(spark):
+    days = ["2024-02-01", "2024-01-31", "2024", "é", "z", "19", "", None]
+    got = spark.createDataFrame([(d,) for d in reversed(days)], "d string").orderBy(ranking.latest(F.col("d"))).collect()
+    assert [r.d for r in got] == sorted((d for d in days if d is not None), reverse=True) + [None]
+
+
 def test_nested_resolution(spark):
     df = spark.createDataFrame([(None, [0.0, 5.0], 3.0)], "top double, lots array<double>, step double")
     assert df.select(resolve.first_positive_amount(F.col("top"), F.col("lots"), F.col("step"))).first()[0] == 5.0
