@@ -2,13 +2,16 @@
 
 Each miner tries ordered patterns. Of each pattern only the first match in the
 text counts, and the first pattern whose match is valid gives the value, with
-its name, the match and the text around it. Patterns have no look-around, so
-that ``split`` tells where a match stands. Null and empty texts give null.
+its name, the match and the text around it. No pattern matches an empty text. Null and empty texts give null.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import lru_cache, reduce
+from operator import or_
+from re import _constants as C
+from re import _parser
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -98,20 +101,61 @@ def _let(value: Column, then: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), then)[0]
 
 
-def _mined(text: Column, name: str, pattern: str, value: Callable[[Callable[[int], Column]], Column], guard: str | None = None) -> Column:
-    """``value, pattern, match, fragment`` of the first match; null where it has no value or the guard is near."""
-    full = _FLAGS + pattern
+@lru_cache(None)
+def needed_words(pattern: str) -> tuple[str, ...]:
+    """Lower-cased parts of which every match of a pattern holds one; empty where there are none."""
 
-    def around(sides: Column, match: Column) -> Column:
-        return F.concat(F.right(sides[0], F.lit(AROUND)), match, F.left(sides[1], F.lit(AROUND)))
+    def better(a: set[str], b: set[str]) -> set[str]:
+        return max(a, b, key=lambda words: min(map(len, words), default=0))
 
-    def told(row: Column) -> Column:
-        good = row["value"].isNotNull() if guard is None else row["value"].isNotNull() & ~row["around"].rlike(_FLAGS + guard)
-        return F.when(good, F.struct(row["value"].alias("value"), F.lit(name).alias("pattern"), row["match"].alias("match"), F.left(F.trim(row["around"]), F.lit(200)).alias("fragment")))
+    def of(items) -> set[str]:
+        best, run = set(), ""
+        for op, arg in [*items, (None, None)]:
+            if op is C.LITERAL:
+                run += chr(arg)
+                continue
+            best, run = better(best, {run} - {""}), ""
+            if op is C.SUBPATTERN:
+                best = better(best, of(arg[-1]))
+            elif op is C.BRANCH:
+                each = [of(x) for x in arg[1]]
+                best = better(best, set().union(*each) if all(each) else set())
+            elif op is C.MAX_REPEAT and arg[0] > 0:
+                best = better(best, of(arg[2]))
+        return best
 
-    match = F.regexp_extract(text, full, 0)
-    found = F.struct(value(lambda k: F.regexp_extract(text, full, k)).alias("value"), match.alias("match"), around(F.split(text, full, 2), match).alias("around"))
-    return F.when(text.rlike(full), _let(found, told))
+    return tuple(sorted(w.lower() for w in of(_parser.parse(pattern))))
+
+
+def _folded(text: Column) -> Column:
+    """The text so that whatever a letter matches in any case is that letter in lower case."""
+    return F.lower(F.translate(text, "İıſᲂᲃᲄᲅ", "iisостт"))  # letters whose lower case alone does not tell it
+
+
+def _both(text: Column) -> Column:
+    return F.struct(text.alias("text"), _folded(text).alias("low"))
+
+
+def _mined(both: Column, name: str, pattern: str, value: Callable[[Callable[[int], Column]], Column], guard: str | None = None) -> Column:
+    """``value, pattern, match, fragment`` of the first match; null where it has no value or the guard is near.
+
+    A text without the words that the pattern needs isn't searched: nearly all are without.
+    """
+    full, text = _FLAGS + pattern, both["text"]
+    may = reduce(or_, (both["low"].contains(w) for w in needed_words(pattern)), F.lit(not needed_words(pattern)))
+
+    def around(match: Column) -> Column:
+        before = F.regexp_extract(text, rf"{_FLAGS}\A((?s:.*?))(?:{pattern})", 1)  # as little as may stand before a match: the first one
+        sides = lambda x: F.concat(F.right(x, F.lit(AROUND)), match, F.substring(text, F.length(x) + F.length(match) + 1, F.lit(AROUND)))
+        return _let(before, sides)
+
+    def told(match: Column, value: Column) -> Column:
+        row = lambda near: F.struct(value.alias("value"), F.lit(name).alias("pattern"), match.alias("match"), F.left(F.trim(near), F.lit(200)).alias("fragment"))
+        return _let(around(match), lambda near: row(near) if guard is None else F.when(~near.rlike(_FLAGS + guard), row(near)))
+
+    got = value(lambda k: F.regexp_extract(text, full, k))
+    tried = lambda match: F.when(match != "", _let(got, lambda v: F.when(v.isNotNull(), told(match, v))))
+    return F.when(may, _let(F.regexp_extract(text, full, 0), tried))
 
 
 def mined_quantity(text: Column, least: int = 1, most: int = 10_000) -> Column:
@@ -120,7 +164,7 @@ def mined_quantity(text: Column, least: int = 1, most: int = 10_000) -> Column:
     def value(group):
         return _let(group(1).try_cast("int"), lambda n: F.when(n.between(least, most), n))
 
-    return _let(text, lambda t: F.coalesce(*(_mined(t, name, p, value, IDENTIFIER_NEAR) for name, p in QUANTITY.items())))
+    return _let(_both(text), lambda t: F.coalesce(*(_mined(t, name, p, value, IDENTIFIER_NEAR) for name, p in QUANTITY.items())))
 
 
 def _date(group: Callable[[int], Column], at: tuple[int, int, int]) -> Column:
@@ -137,15 +181,15 @@ def mined_deadline(text: Column, anchor: Column, today: Column | None = None) ->
     Where the anchor is null, ``today`` stands in for it and ``approximate`` is
     true. A date that the calendar lacks is passed over.
     """
-    return _let(F.struct(text.alias("text"), anchor.alias("anchor")), lambda row: _deadline(row["text"], row["anchor"], today))
+    return _let(F.struct(_both(text).alias("both"), anchor.alias("anchor")), lambda row: _deadline(row["both"], row["anchor"], today))
 
 
-def _deadline(text: Column, anchor: Column, today: Column | None) -> Column:
+def _deadline(both: Column, anchor: Column, today: Column | None) -> Column:
     base = F.coalesce(anchor, F.current_date() if today is None else today)
     none = {"anchor": F.lit(None).cast("date"), "approximate": F.lit(None).cast("boolean"), "offset": F.lit(None).cast("int")}
     tries = []
     for name, (pattern, at) in DATES.items():
-        m = _mined(text, name, pattern, lambda group, at=at: _date(group, at))
+        m = _mined(both, name, pattern, lambda group, at=at: _date(group, at))
         tries.append(_let(m, lambda m: F.when(m.isNotNull(), F.struct(*(m[k].alias(k) for k in ("value", "pattern", "match", "fragment")), *(c.alias(k) for k, c in none.items())))))
 
     def after(days: int) -> Callable[[Column], Column]:
@@ -156,7 +200,7 @@ def _deadline(text: Column, anchor: Column, today: Column | None) -> Column:
         return dated
 
     for name, (pattern, days) in OFFSETS.items():
-        tries.append(_let(_mined(text, name, pattern, lambda group: group(1).try_cast("int")), after(days)))
+        tries.append(_let(_mined(both, name, pattern, lambda group: group(1).try_cast("int")), after(days)))
     return F.coalesce(*tries)
 
 
@@ -170,12 +214,13 @@ def mined_duration(text: Column, most: int = 600) -> Column:
 
         return value
 
-    return _let(text, lambda t: F.coalesce(*(_mined(t, name, p, value_of(w)) for name, (p, w) in DURATIONS.items())))
+    return _let(_both(text), lambda t: F.coalesce(*(_mined(t, name, p, value_of(w)) for name, (p, w) in DURATIONS.items())))
 
 
 def mined(text: Column, anchor: Column, today: Column | None = None) -> Column:
     """``quantity, deadline, duration``, each with its provenance or null."""
-    return F.struct(mined_quantity(text).alias("quantity"), mined_deadline(text, anchor, today).alias("deadline"), mined_duration(text).alias("duration"))
+    all_of = lambda t: F.struct(mined_quantity(t).alias("quantity"), mined_deadline(t, anchor, today).alias("deadline"), mined_duration(t).alias("duration"))
+    return _let(text, all_of)  # a plain struct would be put in place of each of its uses, and mined again for each
 
 
 def named_length(text: Column) -> Column:

@@ -39,6 +39,20 @@ def test_quantity_tells_where_it_was_found(spark):
     assert one(spark, text, mining.mined_quantity).fragment == "é" * 59 + " 3 units " + "z" * 59
 
 
+def test_words_that_patterns_need(spark):
+    assert mining.needed_words(r"\b(?:Qty\.?|number)\s+([0-9]+)\s*(?:STÜCK)?") == ("number", "qty")
+    assert mining.needed_words(r"(?:period|term)\s+of\s+([0-9]+)\s+Monate?\b") == ("monat",) and mining.needed_words(r"x?([0-9]+)|units") == ()
+    odd = ["QUANT\u0130TY: 5", "quant\u0131ty: 6", "12 unit\u017f", "8 \u017ftk", "9 \u212as", "7 STÜC\u212a", "\U0001f69a 3 units \U0001f69a"]
+    got = every(spark, odd, mining.mined_quantity)
+    assert [g and g.value for g in got] == [5, 6, 12, 8, 9, 7, 3] and got[-1].fragment == odd[-1]
+
+
+def test_mined_once_for_all_its_uses(spark):
+    m = spark.createDataFrame([("Qty 5",)], "t string").select(mining.mined(F.col("t"), F.lit(DAY)).alias("m")).select("m.quantity.value", "m.deadline.value", "m.duration.value", "m.deadline.pattern")
+    plan = m._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("dl_de_bis_zum_dotted") == 1
+
+
 DEADLINES = [
     (LOWBED, "2026-08-29"), (KITCHEN, "2026-12-07"), ("Delivery deadline 2026-09-15.", "2026-09-15"), ("Lieferung bis 31.12.2026 nach Bonn.", "2026-12-31"), ("bis zum 3. März 2027", "2027-03-03"),
     ("by 11-Apr-2026", "2026-04-11"), ("before 11/04/2026", "2026-04-11"), ("by July 7, 2026", "2026-07-07"), ("by Smarch 7, 2026, within 10 days of award", "2026-05-11"), ("by 2026-02-30", None),
