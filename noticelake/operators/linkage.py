@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,24 +34,43 @@ def shared_counts(left: DataFrame, right: DataFrame, features: Sequence[str], bl
 
     Features are array columns of both sides. Blocks must be equal and dates
     within ``most_days`` only where both sides have one: rows without meet all.
-    A row that has a block is met by its block's key and, where the other side
-    has none, by ``-``; a left row without one meets the ``*`` of every right
-    row. Buckets of days likewise, so each pair meets by one key. Ids are distinct.
+    Days are cut into buckets of four ranges, so a left row has one or two and a
+    right row one. Rows with block and date meet in their block and bucket, once
+    a pair, and their arrays are compared there. Pairs with a row that lacks one
+    meet by each element they share, so that none meets all rows; without such
+    rows that part is empty. Ids are distinct.
     """
-    width = F.lit(max(1, most_days))
+    reach, width = F.lit(most_days), F.lit(4 * max(1, most_days))
+    days = F.coalesce(F.abs(F.datediff("_day", "_other")), F.lit(0))
+    near = (days <= most_days) & (F.col(left_id) != F.col(right_id))
 
-    def rows(df: DataFrame, own: str, date: str, day: str, is_left: bool) -> DataFrame:
-        place, bucket = nonempty(F.col(block).cast("string")), F.floor(F.unix_date(F.to_date(date)) / width).cast("long")
-        meets = lambda c, steps=(0,): F.when(c.isNull(), F.array(F.lit("*")) if is_left else F.array(F.lit("-"), F.lit("*"))).otherwise(F.array(*(F.concat(F.lit("="), (c + k if k else c).cast("string")) for k in steps), F.lit("-") if is_left else F.lit("*")))
-        named = lambda k: lambda t: F.struct(F.lit(k).alias("k"), t.alias("t"))
-        held = F.concat(*(F.coalesce(F.transform(F.array_distinct(f), named(k)), F.array().cast("array<struct<k:int,t:string>>")) for k, f in enumerate(features)))
-        out = df.select(F.col(own), F.to_date(date).alias(day), meets(place).alias("_block"), meets(bucket, (-1, 0, 1) if is_left else (0,)).alias("_bucket"), F.explode(held).alias("_held"))
-        return out.withColumn("_block", F.explode("_block")).withColumn("_bucket", F.explode("_bucket"))
+    def rows(df: DataFrame, own: str, date: str, day: str, side: str) -> DataFrame:
+        at = F.unix_date(F.to_date(date))
+        bucket = lambda d: F.floor(d / width).cast("long")
+        buckets = F.array_distinct(F.array(bucket(at - reach), bucket(at + reach))) if side == "_l" else F.array(bucket(at))
+        held = (F.coalesce(f, F.array().cast("array<string>")).alias(f"{side}{k}") for k, f in enumerate(features))
+        return df.select(F.col(own), F.to_date(date).alias(day), nonempty(F.col(block).cast("string")).alias("_block"), F.when(at.isNotNull(), buckets).alias("_bucket"), *held)
 
-    a, b = rows(left, left_id, left_date, "_day", True), rows(right, right_id, right_date, "_other", False)
-    days = F.coalesce(F.abs(F.datediff("_day", "_other")), F.lit(0))
-    near = a.join(b, ["_held", "_block", "_bucket"]).where((days <= most_days) & (F.col(left_id) != F.col(right_id)))
-    return near.groupBy(left_id, right_id).agg(*(F.count_if(F.col("_held.k") == k).alias(f) for k, f in enumerate(features)))
+    def placed(df: DataFrame) -> DataFrame:
+        return df.withColumn("_bucket", F.explode("_bucket"))
+
+    def by_element(df: DataFrame, side: str) -> DataFrame:
+        """A row of each element and key: ``=`` is its own block or bucket, met by equals, ``-`` and ``*`` are met where the other or this side has none."""
+        meets = lambda c, mine: F.when(c.isNull(), F.array(F.lit("*")) if side == "_l" else F.array(F.lit("-"), F.lit("*"))).otherwise(F.concat(F.transform(mine, lambda m: F.concat(F.lit("="), m.cast("string"))), F.array(F.lit("-") if side == "_l" else F.lit("*"))))
+        named = lambda k: lambda t: F.struct(F.lit(k).alias("k"), t.alias("t"))
+        held = F.concat(*(F.transform(F.array_distinct(f"{side}{k}"), named(k)) for k in range(len(features))))
+        out = df.withColumns({"_block": meets(F.col("_block"), F.array("_block")), "_bucket": meets(F.col("_bucket"), F.col("_bucket")), "_held": held}).drop(*(f"{side}{k}" for k in range(len(features))))
+        keyed = out.withColumn("_block", F.explode("_block")).withColumn("_bucket", F.explode("_bucket"))
+        return keyed.where(~(F.col("_block").startswith("=") & F.col("_bucket").startswith("="))).withColumn("_held", F.explode("_held"))
+
+    whole = F.col("_block").isNotNull() & F.col("_bucket").isNotNull()
+    a, b = rows(left, left_id, left_date, "_day", "_l"), rows(right, right_id, right_date, "_other", "_r")
+    counts = F.struct(*(F.size(F.array_intersect(f"_l{k}", f"_r{k}")).cast("long").alias(f) for k, f in enumerate(features)))
+    met = placed(a.where(whole)).join(placed(b.where(whole)), ["_block", "_bucket"]).where(near).select(left_id, right_id, F.inline(F.array(counts)))  # as a generator, so that filters on counts don't count again
+    some = a.where(~whole), b, a.where(whole), b.where(~whole)
+    joined = (by_element(x, "_l").join(by_element(y, "_r"), ["_held", "_block", "_bucket"]).where(near) for x, y in (some[:2], some[2:]))
+    lacking = reduce(DataFrame.unionByName, joined).groupBy(left_id, right_id).agg(*(F.count_if(F.col("_held.k") == k).alias(f) for k, f in enumerate(features)))
+    return met.where(reduce(or_, (F.col(f) > 0 for f in features))).unionByName(lacking)
 
 
 def scored_candidates(pairs: DataFrame, weights: Mapping[str, float], left_id: str, right_id: str, n: int) -> DataFrame:

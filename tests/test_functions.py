@@ -183,6 +183,27 @@ def test_scored_candidates_equal_all_pairs_with_nulls(spark):
     assert got == sorted(want) and any(not x[1] for x in rows for g in got if g[0] == x[0]) and any(x[2] is None for x in rows for g in got if g[0] == x[0])
 
 
+def test_shared_counts_equal_all_pairs_at_the_edges_of_buckets(spark):
+    day = datetime.date(1970, 1, 1)
+    rows = [(k, ("x", "y")[k % 2], day + datetime.timedelta(days=k // 2 - 40), ["a", "a", f"a{k % 3}"]) for k in range(160)]
+    df = spark.createDataFrame(rows, "id int, b string, d date, words array<string>")
+    other = df.withColumnsRenamed({"id": "other", "d": "e"})
+    for most in (0, 1, 5):
+        got = sorted(map(tuple, linkage.shared_counts(df, other, ["words"], "b", "id", "other", "d", "e", most).collect()))
+        assert got == [(x[0], y[0], len(set(x[3]) & set(y[3]))) for x in rows for y in rows if x[0] != y[0] and x[1] == y[1] and abs((x[2] - y[2]).days) <= most]
+
+
+def test_rows_with_block_and_date_meet_once_a_pair(spark, tmp_path):
+    """Not once an element that they share: what runs has one join of the rows, and no row is made of each element."""
+    words = [f"w{k}" for k in range(50)]
+    spark.createDataFrame([(k, "x", datetime.date(2024, 1, 1 + k), words) for k in range(20)], "id int, b string, d date, words array<string>").write.parquet(f"{tmp_path}/rows")
+    df = spark.read.parquet(f"{tmp_path}/rows")
+    pairs = linkage.shared_counts(df, df.withColumnsRenamed({"id": "other", "d": "e"}), ["words"], "b", "id", "other", "d", "e", 365)
+    assert {(r.id, r.other, r.words) for r in pairs.collect()} == {(x, y, 50) for x in range(20) for y in range(20) if x != y}
+    ran = pairs._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert ran.count("Join ") == 1 and "_held" not in ran
+
+
 AMOUNTS = [("1.234", 1.234), ("1,2345", 12345.0), ("1,234", 1234.0), ("1,23", 1.23), ("1.234.567", 1234567.0), ("1.234,5", 1234.5), ("1,234.5", 1234.5), ("123 293,66", 123293.66), ("1.2.3", None), ("", None), ("x", None), (None, None)]
 
 
