@@ -250,8 +250,10 @@ _OFFERS_SQL = f"""WITH t AS (SELECT l_orderkey AS id, list_distinct(flatten(list
 
 def _offers(spark, sf_dir):
     """Orders as notices: still open ones, and decided ones within a year of the same customer, with what they share."""
-    words = T.tokens(F.col("p_name"))
-    lines = read(spark, sf_dir, "lineitem").join(read(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")).groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.array_distinct(F.flatten(F.collect_set(words))).alias("w"), F.collect_set(F.left("p_type", F.lit(5))).alias("codes"))
+    kinds = read(spark, sf_dir, "part").select("p_partkey", T.tokens(F.col("p_name")).alias("words"), F.left("p_type", F.lit(5)).alias("code"))
+    met = read(spark, sf_dir, "lineitem").join(kinds, F.col("l_partkey") == F.col("p_partkey")).select(F.col("l_orderkey").alias("o_orderkey"), "words", "code")
+    # dealt out first: an order's lines lie in many tasks, so sets made before the shuffle would only be sorted and written again
+    lines = met.repartition("o_orderkey").groupBy("o_orderkey").agg(F.array_distinct(F.flatten(F.collect_set("words"))).alias("w"), F.collect_set("code").alias("codes"))
     within = lambda terms: F.array(*(F.lit(t) for t in terms))
     o = read(spark, sf_dir, "orders").join(lines, "o_orderkey", "left").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", T.tokens(F.col("o_orderpriority")).alias("authority"), F.array_except("w", within(_OFFER_NOISE)).alias("title"), F.array_intersect("w", within(_OFFER_GOODS)).alias("goods"), "codes")
     return o.where("o_orderstatus = 'O'").withColumnsRenamed({"o_orderkey": "order_id", "o_orderdate": "d1"}), o.where("o_orderstatus IN ('F', 'P')").withColumnsRenamed({"o_orderkey": "other_id", "o_orderdate": "d2"})

@@ -183,6 +183,15 @@ def test_scored_candidates_equal_all_pairs_with_nulls(spark):
     assert got == sorted(want) and any(not x[1] for x in rows for g in got if g[0] == x[0]) and any(x[2] is None for x in rows for g in got if g[0] == x[0])
 
 
+def test_words_are_taken_once_a_part_and_sets_made_after_the_shuffle(spark):
+    for query in (tables.award_candidates, tables.award_best_match):
+        plan = query(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert plan.index("[l_partkey#") < plan.index("regexp_extract_all(lower(p_name")
+        lines = plan.split("\n")
+        partial = [k for k, line in enumerate(lines) if "partial_collect_set" in line]
+        assert partial and all("Exchange hashpartitioning(o_orderkey" in lines[k + 1] for k in partial)
+
+
 def test_shared_counts_equal_all_pairs_at_the_edges_of_buckets(spark):
     day = datetime.date(1970, 1, 1)
     rows = [(k, ("x", "y")[k % 2], day + datetime.timedelta(days=k // 2 - 40), ["a", "a", f"a{k % 3}"]) for k in range(160)]
