@@ -55,21 +55,25 @@ class Ends:
             self.refine([(0, self.total)])
 
     def refine(self, ranges: list[tuple[int, int]]) -> None:
-        """Splits the gaps of ranges whose bounds are known ends; one Spark job, at most about ``most`` rows."""
-        longest = max(b - a for a, b, hides in zip(self.known, self.known[1:], self.open, strict=False) if hides and any(x <= a and b <= y for x, y in ranges))
+        """Splits the gaps of disjoint ranges whose bounds are known ends; one Spark job.
+
+        At most about ``most`` rows come back, and the ends in closed gaps of the
+        ranges, which are known already.
+        """
+        spans = [(bisect_right(self.known, a), bisect_right(self.known, b)) for a, b in ranges]  # known[i:j] are the ends in a range
+        longest = max(self.known[k] - self.known[k - 1] for i, j in spans for k in range(i, j) if self.open[k - 1])
         step = max(1, min(-(-sum(b - a for a, b in ranges) // self.most), longest // 2))  # a gap is always split
         inside = F.lit(False)
         for a, b in ranges:
             inside |= (F.col("end") > a) & (F.col("end") <= b)
         rows = self.frame.where(inside).groupBy(F.floor(F.col("end") / F.lit(step)).alias("block")).agg(F.min("end").alias("first"), F.max("end").alias("last"), F.count("*").alias("n")).collect()
-        here = lambda x: any(a < x <= b for a, b in ranges)
-        old = [x for x in self.known if here(x)]
         hidden = {r.block: r.n for r in rows}
-        points = {*old, *(r.first for r in rows), *(r.last for r in rows)}  # so a gap that stays is at most a block long
+        firsts = {r.first for r in rows}
+        points = {*firsts, *(r.last for r in rows), *(self.known[k] for i, j in spans for k in range(i, j))}
         for x in points:
             hidden[x // step] -= 1
         kept = dict(zip(self.known[1:], self.open, strict=True))
-        kept |= {x: hidden[x // step] > 0 for x in points}
+        kept |= {x: x not in firsts and hidden[x // step] > 0 for x in points}  # so a gap that stays open is within a block
         self.known = [0, *sorted(kept)]
         self.open = [kept[x] for x in self.known[1:]]
 
@@ -90,17 +94,21 @@ class Ends:
             self.refine([(self.known[i], self.known[i + 1])])
 
     def around(self, places: list[tuple[int, int]]) -> list[tuple[int, int]]:
-        """The stretches of open gaps that touch the given closed intervals, put together."""
+        """For each given closed interval the stretch from the first to the last open gap that it touches.
+
+        Stretches that meet are put together. Closed gaps between open ones are in
+        them, so there are no more stretches than intervals, however many gaps
+        there are: a condition with a part for each gap overflows the driver's stack.
+        """
         out: list[tuple[int, int]] = []
         for low, high in sorted(places):
             i, j = bisect_right(self.known, low) - 1, bisect_right(self.known, high) - 1
-            for k in range(i, min(j, len(self.open) - 1) + 1):
-                if self.open[k]:
-                    a, b = self.known[k], self.known[k + 1]
-                    if out and a <= out[-1][1]:
-                        out[-1] = (out[-1][0], max(b, out[-1][1]))
-                    else:
-                        out.append((a, b))
+            if gaps := [k for k in range(i, min(j, len(self.open) - 1) + 1) if self.open[k]]:
+                a, b = self.known[gaps[0]], self.known[gaps[-1] + 1]
+                if out and a <= out[-1][1]:
+                    out[-1] = (out[-1][0], max(b, out[-1][1]))
+                else:
+                    out.append((a, b))
         return out
 
 

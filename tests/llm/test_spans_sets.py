@@ -345,6 +345,32 @@ def test_sharding_is_minimax(spark, seed):
         assert sorted(r.slot for r in rows if r.shard == k) == list(range(sum(r.shard == k for r in rows)))
 
 
+def test_sharding_splits_a_thousand_gaps_in_one_job(spark):
+    """Every other block hides an end, so that open and closed gaps take turns."""
+    within = F.when(F.col("id") % 2 == 0, F.array(F.lit(50), F.lit(150), F.lit(250))).otherwise(F.array(F.lit(50), F.lit(250)))
+    frame = spark.range(2000).select("id", F.explode(within).alias("at")).select((F.col("id") * 300 + F.col("at")).alias("end"), F.lit(200).alias("size"))
+    ends = sharding.Ends(frame, 2000)
+    assert sum(ends.open) >= 1000
+    ends.refine(ends.around([(0, ends.total)]))
+    assert ends.known == [0, *sorted(r.end for r in frame.collect())] and not any(ends.open)
+
+
+@pytest.mark.parametrize("sizes, shards, most, capacity", [([18, 108, 8, 8], 2, 4, 124), ([108, 9, 1008, 18, 8], 2, 4, 1034), ([8, 11, 11, 11, 18, 1008, 11, 9, 18, 18, 1008, 9, 8], 3, 2, 1046)])
+def test_sharding_ends_beside_a_large_group(spark, sizes, shards, most, capacity):
+    jobs = []
+
+    class Counted(sharding.Ends):
+        def refine(self, ranges):
+            jobs.append(ranges)
+            assert len(jobs) <= 12
+            super().refine(ranges)
+
+    ends = Counted(spark.createDataFrame([(size, sum(sizes[: i + 1])) for i, size in enumerate(sizes)], "size long, end long"), most)
+    assert sharding.smallest_capacity(ends, shards) == capacity == smallest(sizes, shards)
+    cuts = [0, *sharding.cuts_under(ends, capacity, shards), ends.total]
+    assert max(b - a for a, b in zip(cuts, cuts[1:], strict=False)) <= capacity
+
+
 def test_sharding_of_odd_rows(spark, odd, empty):
     rows = sharding.shard_documents(odd).collect()
     assert len(rows) == len(ODD) and {r.shard for r in rows} <= set(range(24))
